@@ -117,6 +117,32 @@ def protect(
     return done.select(*out)
 
 
+def token_pairs_of(
+    df: DataFrame,
+    policy: Policy,
+    secrets: Secrets = Secrets(),
+    detector: Detector | None = None,
+    columns: Sequence[str] | None = None,
+    pairs_column: str = "_pairs",
+) -> DataFrame:
+    """``protect(findings=True)`` plus the vault pairs of each row (sensitive)."""
+    done, names = protected_cells(df, policy, secrets, detector, columns)
+    at = {name: i for i, name in enumerate(names)}
+    out = [
+        F.get(F.col(RESULTS), F.lit(at[c])).getField("value").alias(c) if c in at else quoted(c)
+        for c in df.columns
+    ]
+    made = F.filter(
+        F.flatten(F.transform(RESULTS, lambda r: r.applied)),
+        lambda a: (a.method == "tokenization") & ~a.failed,
+    )
+    pairs = F.transform(
+        made,
+        lambda a: F.struct(a.text.alias("value"), a.token_prefix.alias("prefix"), a.protected.alias("token")),
+    )
+    return done.select(*out, _findings(names).alias(FINDINGS), pairs.alias(pairs_column))
+
+
 def _findings(names: list[str]) -> Column:
     labels = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
     return F.zip_with(
