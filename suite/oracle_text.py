@@ -160,12 +160,16 @@ def protected_ctes(policy: Policy, key: str, salt: str, token_key: str, encrypte
         }[r.protection_method]
         priority.append(f"WHEN '{r.entity_type}' THEN {r.priority}")
         text.append(f"WHEN '{r.entity_type}' THEN {value}")
+    fallback = {
+        "masking": mask_sql('"text"', "*", 4, "right"),
+        "redact": "'[REDACTED]'",
+    }[policy.default_protection]
     method = " ".join(f"WHEN '{r.entity_type}' THEN '{r.protection_method}'" for r in policy.effective())
     return f""",
 planned AS (
   SELECT *, CASE entity_type {' '.join(priority)} ELSE 999 END AS priority,
          CASE entity_type {method} ELSE '{policy.default_protection}' END AS method,
-         CASE entity_type {' '.join(text)} ELSE {mask_sql('"text"', '*', 4, 'right')} END AS protected
+         CASE entity_type {' '.join(text)} ELSE {fallback} END AS protected
   FROM entities WHERE score >= {policy.confidence_threshold}),
 applied AS (
   SELECT *, row_number() OVER (PARTITION BY {key}, column_name ORDER BY priority, ord) AS turn
