@@ -125,9 +125,15 @@ def read_lake(spark: SparkSession, path: str, **options) -> dict[str, DataFrame]
 def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None:
     writer = df.write.mode("append").partitionBy("source_key")
     if group.format == "csv":
-        writer.option("header", True).option("escape", '"').option("emptyValue", "").option(
-            "sep", group.delimiter if keep_delimiter else ","
-        ).csv(path)
+        (
+            writer.option("header", True)
+            .option("sep", group.delimiter if keep_delimiter else ",")
+            .option("escape", '"')
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
     elif group.format == "json":
         writer.option("ignoreNullFields", False).json(path)
     else:

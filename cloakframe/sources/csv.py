@@ -203,6 +203,8 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", mode: str = "error
         .option("quote", '"')
         .option("escape", '"')
         .option("quoteAll", False)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "")
         .option("nullValue", "")
         .csv(path)

@@ -48,7 +48,7 @@ def document_shapes(
     A document is one value and cannot be split, so each is parsed in one task,
     as Spark's own multi-line reader does.
     """
-    docs = spark.read.option("wholetext", True).text(paths).select(
+    docs = spark.read.text(paths, wholetext=True).select(
         source_path().alias("path"), "value", F.try_parse_json("value").alias("v")
     )
     kind = F.schema_of_variant("v")

@@ -45,6 +45,11 @@ ALARMS = (ERROR_RATE, LATENCY, THROTTLE, VOLUME)
 MONITOR_MINUTES = 5
 
 
+def _timed(runs: DataFrame, ts: str, late: str | None) -> DataFrame:
+    runs = runs.withColumn(ts, F.col(ts).cast("timestamp"))
+    return runs.withWatermark(ts, late) if late else runs
+
+
 def alarm_periods(
     runs: DataFrame, alarm: Alarm, ts: str = "ts", late: str | None = None
 ) -> DataFrame:
@@ -52,8 +57,7 @@ def alarm_periods(
 
     ``late`` sets the watermark of a streaming input.
     """
-    if late:
-        runs = runs.withWatermark(ts, late)
+    runs = _timed(runs, ts, late)
     step = f"{alarm.minutes} minutes"
     span = f"{alarm.minutes * alarm.periods} minutes"
     fn = {"sum": F.sum, "avg": F.avg}[alarm.statistic]
@@ -83,8 +87,7 @@ def alarm_periods(
 
 def monitor_series(runs: DataFrame, ts: str = "ts", late: str | None = None) -> DataFrame:
     """Runs, errors and mean duration per five minutes."""
-    if late:
-        runs = runs.withWatermark(ts, late)
+    runs = _timed(runs, ts, late)
     return (
         runs.groupBy(F.window(ts, f"{MONITOR_MINUTES} minutes").alias("w"))
         .agg(
@@ -104,7 +107,7 @@ def max_concurrency(runs: DataFrame, ts: str = "ts", duration_ms: str = "duratio
     hour, hours), so no window sorts more than a bounded stretch of time, no
     matter how many runs fall into it.
     """
-    start = F.unix_micros(ts)
+    start = F.unix_micros(F.col(ts).cast("timestamp"))
     end = start + F.round(F.col(duration_ms) * 1000).cast("bigint")
     second = F.floor(F.col("us") / F.lit(1_000_000))
     hour = F.floor(F.col("sec") / F.lit(3600))
