@@ -13,6 +13,7 @@ from cloakframe.operators.detect import Detector
 from cloakframe.operators.protect import FINDINGS, protect, token_pairs_of
 from cloakframe.operators.vault import append_pairs
 from cloakframe.plans import audit as audit_log
+from cloakframe.plans.layout import spread
 from cloakframe.plans.policy import Policy
 from cloakframe.plans.scratch import scratch_path
 from cloakframe.plans.secrets import Secrets
@@ -202,7 +203,7 @@ def _stage(
     detector: Detector | None,
     stringify_all: bool,
 ) -> DataFrame:
-    raw = read_group(spark, group).withColumn("source_key", _relative(source))
+    raw = spread(read_group(spark, group)).withColumn("source_key", _relative(source))
     text = [c for c in raw.columns if c not in (SOURCE, "source_key")]
     if stringify_all:
         raw = lake.stringify(raw)

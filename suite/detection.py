@@ -15,6 +15,7 @@ from cloakframe.operators.evaluate import (
     evaluation_statistics,
     threshold_sweep,
 )
+from cloakframe.plans.layout import spread
 from cloakframe.plans.policy import default_policy, effective_rules, policy_issues
 from suite.oracle_text import entities_sql
 from suite.people import PEOPLE_SQL, TEXT_COLUMNS, people
@@ -27,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a text table, on all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def as_rows(entities: DataFrame, key: str) -> DataFrame:
     return entities.select(
         key,
@@ -49,7 +55,7 @@ def rows_sql(key: str) -> str:
 
 def _spans(name: str, source: str, key: str, column: str, types: tuple[str, ...] | None, threshold: float) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return as_rows(detect(table(spark, sf_dir, source), key, Detector(threshold, types), [column]), key)
+        return as_rows(detect(texts(spark, sf_dir, source, key, column), key, Detector(threshold, types), [column]), key)
 
     QUERIES[name] = run
     ORACLES[name] = entities_sql(source, key, (column,), types, threshold) + rows_sql(key)
@@ -153,7 +159,7 @@ FROM entities"""
 
 
 def entity_counts_documents(spark, sf_dir):
-    found = detect(table(spark, sf_dir, "documents"), ["doc_id", "lang"], Detector(0.3), ["text"])
+    found = detect(texts(spark, sf_dir, "documents", "doc_id", "lang", "text"), ["doc_id", "lang"], Detector(0.3), ["text"])
     return found.groupBy("lang", "entity_type").agg(
         F.count("*").alias("entities"), F.count_distinct("doc_id").alias("documents")
     )
@@ -310,7 +316,7 @@ def greeting_model(texts: pd.Series) -> pd.Series:
 
 def model_hook_conversations(spark, sf_dir):
     found = detect(
-        table(spark, sf_dir, "conversations"), ["conv_id", "turn"], Detector(0.9, ("PERSON",), model=greeting_model), ["text"]
+        texts(spark, sf_dir, "conversations", "conv_id", "turn", "text"), ["conv_id", "turn"], Detector(0.9, ("PERSON",), model=greeting_model), ["text"]
     )
     return found.select("conv_id", "turn", "entity_type", "text", F.col("end").cast("bigint").alias("end_at"), "score")
 
@@ -362,7 +368,7 @@ SELECT entity_type, tp, fp, fn, CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE
 
 
 def consistency_documents(spark, sf_dir):
-    found = detect(table(spark, sf_dir, "documents"), "doc_id", Detector(0.5), ["text"])
+    found = detect(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", Detector(0.5), ["text"])
     runs = None
     for i in range(3):
         run = found.withColumn("run", F.lit(i))

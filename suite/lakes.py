@@ -21,7 +21,7 @@ from cloakframe.sources import parquet as parquet_source
 from cloakframe.streaming import alarms
 from cloakframe.streaming.protect_stream import alarm_stream, protect_stream
 from cloakframe.synth import plant, synthetic_records
-from suite.detection import table
+from suite.detection import table, texts
 from suite.oracle_text import entities_sql
 from suite.people import PEOPLE_SQL, people
 from suite.protection import ORACLES as PROTECT_SQL
@@ -594,7 +594,7 @@ def synthetic_records_customers(spark, sf_dir):
     SELECT t AS entity_type, n AS tp, 0 AS "fn" FROM planted, (SELECT unnest(['EMAIL_ADDRESS', 'UK_PHONE', 'CREDIT_CARD']) AS t)""",
 )
 def planted_accuracy_documents(spark, sf_dir):
-    corpus = plant(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id")
+    corpus = plant(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", "doc_id")
     truth = F.array(
         F.struct(F.lit("EMAIL_ADDRESS").alias("entity_type"), F.col("planted_email").alias("text")),
         F.struct(F.lit("UK_PHONE").alias("entity_type"), F.col("planted_phone").alias("text")),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.functions.recognizers import CITIES, FIRST_NAMES, LAST_NAMES
+from cloakframe.plans.layout import spread
 from cloakframe.synth import NINO_PREFIXES, POSTCODES, luhn_digit, nhs_check
 
 TEXT_COLUMNS = (
@@ -33,7 +34,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = nhs_check(nine)
     body = F.concat(F.lit("4111"), _pad((k * 1299709) % 100_000_000_000, 11))
     digit = luhn_digit(body)
-    base = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("row_key"))
+    base = spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("row_key")))
     return base.select(
         "row_key",
         F.concat_ws(" ", first, last).alias("name"),

@@ -22,7 +22,7 @@ from cloakframe.operators.protect import leaks, protect, protection_counts
 from cloakframe.operators.schema_check import column_differences, is_valid, schema_check
 from cloakframe.plans.policy import Policy, Rule, default_policy
 from cloakframe.plans.secrets import KEY_COLUMN, SALT_COLUMN, Secrets, secret_columns
-from suite.detection import table
+from suite.detection import table, texts
 from suite.oracle_text import entities_sql, mask_sql, protected_ctes, token_sql
 from suite.people import PEOPLE_SQL, TEXT_COLUMNS, people
 
@@ -145,7 +145,7 @@ def _protect_text(name: str, source: str, key: str, column: str, policy: Policy)
         + f' SELECT d.{key}, coalesce(r.cell, d.{column}) AS {column} FROM {source} d LEFT JOIN rewritten r ON r.{key} = d.{key}',
     )
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = table(spark, sf_dir, source).select(key, column)
+        df = texts(spark, sf_dir, source, key, column)
         return without_ciphertext(protect(df, policy, SECRETS, columns=[column]), [column])
 
 
