@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def spread(df: DataFrame) -> DataFrame:
     files = df.inputFiles()
     if not files or len(files) >= cores:
         return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    size = spark.read.format("binaryFile").load([unquote(f) for f in files]).agg(F.sum("length")).first()[0] or 0
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     split_bytes = int(split.rstrip("bB")) if split.rstrip("bB").isdigit() else 128 * 1024 * 1024
     return df if size >= cores * split_bytes else df.repartition(cores * TASKS_PER_CORE)
