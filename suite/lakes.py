@@ -104,8 +104,12 @@ _NATION_LINES = "(SELECT c_nationkey AS nation, count(*) AS n FROM customer GROU
 
 @query(
     "csv_gate_nations",
-    f"""SELECT nation, [',', ';', chr(9), '|'][nation % 4 + 1] AS delimiter, n + 1 AS lines,
-    CASE WHEN nation % 5 = 0 AND n >= 3 THEN 'Row 4 has 4 columns, expected 3' ELSE '' END AS error FROM {_NATION_LINES}""",
+    # A ragged line in a file of fewer than ten leaves no delimiter with enough
+    # agreement, so the configured comma is used.
+    f"""SELECT nation, CASE WHEN sure THEN d ELSE ',' END AS delimiter, n + 1 AS lines,
+    CASE WHEN ragged AND (sure OR d = ',') THEN 'Row 4 has 4 columns, expected 3' ELSE '' END AS error
+    FROM (SELECT *, NOT ragged OR n / (n + 1) >= 0.9 AS sure FROM (
+      SELECT *, [',', ';', chr(9), '|'][nation % 4 + 1] AS d, nation % 5 = 0 AND n >= 3 AS ragged FROM {_NATION_LINES}))""",
 )
 def csv_gate_nations(spark, sf_dir):
     files = csv_source.csv_files(spark, _text_files(spark, sf_dir))
