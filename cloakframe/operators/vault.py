@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.functions.protection import Options, keyed_token
 from cloakframe.operators.protect import applied_table
+from cloakframe.plans.scratch import scratch_path
 from cloakframe.plans.secrets import TOKEN_KEY_COLUMN, Secrets
 
 VAULT_SCHEMA = "value string, prefix string, token string, created_at timestamp"
@@ -71,13 +72,12 @@ def append_pairs(vault_path: str, pairs: DataFrame) -> int:
         vault.limit(1).count()
     except Exception:  # the vault does not exist yet
         vault = empty_vault(spark)
-    from cloakframe.plans.scratch import scratch_path
-
     staging = scratch_path(spark, "vault")
     new_pairs(pairs, vault).write.parquet(staging)
     fresh = spark.read.schema(VAULT_SCHEMA).parquet(staging)
-    merged = vault.select("token").unionByName(fresh.select("token"))
-    if not collisions(merged).isEmpty():
+    # Tokens of the vault are distinct already: only new ones can collide.
+    taken = vault.select("token").join(fresh.select("token"), "token", "left_semi")
+    if not collisions(fresh).isEmpty() or not taken.isEmpty():
         raise ValueError("token collision: change the token key")
     fresh.write.mode("append").parquet(vault_path)
     return fresh.count()

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.functions.protection import Options
@@ -85,8 +85,9 @@ def rules_frame(spark: SparkSession, policy: Policy) -> DataFrame:
 
 def effective_rules(rules: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One rule per entity type (and per ``by``): lowest priority, then first."""
-    turn = Window.partitionBy(*by, "entity_type").orderBy("priority", "pos")
-    return rules.withColumn("_turn", F.row_number().over(turn)).filter("_turn = 1").drop("_turn")
+    rest = [c for c in rules.columns if c not in (*by, "entity_type")]
+    best = F.min_by(F.struct(*rest), F.struct("priority", "pos")).alias("r")
+    return rules.groupBy(*by, "entity_type").agg(best).select(*by, "entity_type", "r.*")
 
 
 def _text(value: Column, path: str) -> Column:

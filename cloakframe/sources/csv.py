@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,18 +18,21 @@ AGREEMENT = 0.9
 BAD_ROW = "_bad_row"
 
 
-def _fields(i: int) -> Column:
-    return F.col(f"n{i}")
+COUNTS = [f"n{i}" for i in range(len(DELIMITERS))]
 
 
 def line_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines grouped by file, block and number of each delimiter outside quotes.
 
-    A regular file has one group per block, however long it is, so the shuffle
-    is tiny.  ``first_line`` numbers lines within a block.
+    A regular file has a handful of groups per block, however long it is, so
+    the shuffle is small.  ``first_line`` is the first of the group's lines.
     """
     line = F.col("value")
     unquoted = F.regexp_replace(line, '"[^"]*"', "")
+
+    def occurrences(text: Column, what: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(what), F.lit("")))
+
     lines = (
         spark.read.text(paths)
         .select(
@@ -38,24 +41,19 @@ def line_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("line"),
             "value",
             F.is_valid_utf8(line).alias("utf8"),
-            ((F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2).alias("odd_quotes"),
+            (occurrences(line, '"') % 2 == 1).alias("odd_quotes"),
             unquoted.alias("unquoted"),
             line.rlike(r"\S").alias("filled"),
         )
-        .select(
-            "*",
-            *[
-                (F.length("unquoted") - F.length(F.replace("unquoted", F.lit(d), F.lit("")))).alias(f"n{i}")
-                for i, d in enumerate(DELIMITERS)
-            ],
-        )
+        .withColumns({n: occurrences(F.col("unquoted"), d) for n, d in zip(COUNTS, DELIMITERS)})
     )
-    return lines.groupBy("path", "block", *[f"n{i}" for i in range(len(DELIMITERS))], "filled").agg(
+    first_of_file = F.when(F.col("block") == 0, F.col("value"))
+    return lines.groupBy("path", "block", *COUNTS, "filled").agg(
         F.count("*").alias("lines"),
         F.min("line").alias("first_line"),
-        F.min_by("value", "line").alias("header"),
+        F.min_by(first_of_file, "line").alias("header"),
         F.bool_and("utf8").alias("utf8"),
-        F.max("odd_quotes").alias("odd_quotes"),
+        F.bool_or("odd_quotes").alias("odd_quotes"),
     )
 
 
@@ -65,94 +63,70 @@ def csv_files(
     """One row per file: delimiter, header, whether records span lines, and the
     reason to refuse it.
 
-    ``(path, delimiter, header, multi_line, rows, error)``.  A delimiter is
+    ``(path, delimiter, header, multi_line, lines, error)``.  A delimiter is
     chosen when at least 90 % of the file's lines have as many as the header;
-    otherwise the configured one is used.
+    otherwise the configured one is used.  After the line profile everything
+    works on groups of equal lines.
     """
-    counts = [f"n{i}" for i in range(len(DELIMITERS))]
-    groups = F.collect_list(
-        F.struct("block", "first_line", "lines", "header", "filled", *counts)
-    )
-    # The list holds groups of equal lines, not lines: one per block for a
-    # regular file.
-    files = (
-        line_profile(spark, paths)
-        .groupBy("path")
-        .agg(
-            F.sum("lines").alias("all_lines"),
-            F.bool_and("utf8").alias("utf8"),
-            F.max("odd_quotes").alias("odd"),
-            F.max("filled").alias("any_filled"),
-            F.array_sort(groups).alias("groups"),
-        )
-        .withColumn("top", F.get("groups", F.lit(0)))
+    groups = line_profile(spark, paths)
+    top = F.struct(*COUNTS, "filled", "header")
+    heads = groups.groupBy("path").agg(F.min_by(top, F.struct("block", "first_line")).alias("top"))
+    with_head = groups.join(heads, "path")
+
+    def same_as_head(n: str) -> Column:
+        return (F.col(f"top.{n}") > 0) & (F.col(n) == F.col(f"top.{n}"))
+
+    files = with_head.groupBy("path", "top").agg(
+        F.sum("lines").alias("all_lines"),
+        F.bool_and("utf8").alias("utf8"),
+        F.bool_or("odd_quotes").alias("odd_quotes"),
+        F.bool_or("filled").alias("any_filled"),
+        *[F.sum(F.when(same_as_head(n), F.col("lines")).otherwise(0)).alias(f"agree_{n}") for n in COUNTS],
     )
-    base = len(DELIMITERS)
-    agree = [
-        F.when(
-            F.col("top").getField(f"n{i}") > 0,
-            F.aggregate(
-                "groups",
-                F.lit(0).cast("bigint"),
-                lambda acc, g: acc + F.when(g.getField(f"n{i}") == F.col("top").getField(f"n{i}"), g.lines).otherwise(0),
-            )
-            / F.col("all_lines"),
-        ).otherwise(0.0)
-        for i in range(base)
-    ]
+    agree = [F.col(f"agree_{n}") / F.col("all_lines") for n in COUNTS]
     best = F.greatest(*agree)
-    chosen = None
-    for i in range(base):
-        test = (agree[i] == best) & (best >= AGREEMENT)
-        chosen = F.when(test, F.lit(i)) if chosen is None else chosen.when(test, F.lit(i))
-    configured = DELIMITERS.index(delimiter) if delimiter in DELIMITERS else 0
-    files = files.withColumn("pick", chosen.otherwise(F.lit(configured)))
-
-    def width(g: Column) -> Column:
-        case = None
-        for i in range(base):
-            test = F.col("pick") == i
-            case = F.when(test, g.getField(f"n{i}")) if case is None else case.when(test, g.getField(f"n{i}"))
-        return case + 1
-
-    # Lines before a block, to turn (block, position) into a row of the file.
-    def ragged(g: Column) -> Column:
-        return (width(g) != width(F.col("top"))) | ~g.filled
-
-    def row_number(g: Column) -> Column:
-        before = F.aggregate(
-            F.filter("groups", lambda o: o.block < g.block), F.lit(0).cast("bigint"), lambda a, o: a + o.lines
-        )
-        block_start = F.array_min(
-            F.transform(F.filter("groups", lambda o: o.block == g.block), lambda o: o.first_line)
-        )
-        return before + g.first_line - block_start + 1
+    pick = F.when(best < AGREEMENT, F.lit(DELIMITERS.index(delimiter) if delimiter in DELIMITERS else 0))
+    for i, share in enumerate(agree):
+        pick = pick.when(share == best, F.lit(i))
+    files = files.withColumn("pick", pick)
 
-    bad = F.array_sort(
-        F.transform(
-            F.filter("groups", ragged),
-            lambda g: F.struct(
-                row_number(g).alias("row"), F.when(g.filled, width(g)).otherwise(0).alias("columns")
-            ),
+    def width(prefix: str) -> Column:
+        return F.element_at(F.array(*[F.col(prefix + n) for n in COUNTS]), F.col("pick") + 1) + 1
+
+    # A line's row in the file: lines of earlier blocks + its place in the block.
+    blocks = groups.groupBy("path", "block").agg(
+        F.sum("lines").alias("block_lines"), F.min("first_line").alias("block_first")
+    )
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("block_lines").over(earlier), F.lit(0)))
+    ragged = (
+        groups.join(files.select("path", "pick", "top"), "path")
+        .filter(~F.col("filled") | (width("") != width("top.")))
+        .join(blocks, ["path", "block"])
+        .select(
+            "path",
+            (F.col("before") + F.col("first_line") - F.col("block_first") + 1).alias("row"),
+            F.when(F.col("filled"), width("")).otherwise(0).alias("columns"),
         )
+        .groupBy("path")
+        .agg(F.min(F.struct("row", "columns")).alias("bad"))
     )
-    first_bad = F.get(bad, F.lit(0))
     error = (
         F.when(~F.col("any_filled"), "File is empty")
         .when(~F.col("utf8"), "Invalid encoding")
-        .when(~F.col("top").filled, "No columns found in header")
+        .when(~F.col("top.filled"), "No columns found in header")
         .when(
-            (F.col("odd") == 0) & (F.size(bad) > 0),
+            ~F.col("odd_quotes") & F.col("bad").isNotNull(),
             F.format_string(
-                "Row %d has %d columns, expected %d", first_bad.row, first_bad.columns, width(F.col("top"))
+                "Row %d has %d columns, expected %d", F.col("bad.row"), F.col("bad.columns"), width("top.")
             ),
         )
     )
-    return files.select(
+    return files.join(ragged, "path", "left").select(
         "path",
         F.element_at(F.array(*map(F.lit, DELIMITERS)), F.col("pick") + 1).alias("delimiter"),
-        F.col("top").header.alias("header"),
-        (F.col("odd") == 1).alias("multi_line"),
+        F.col("top.header").alias("header"),
+        F.col("odd_quotes").alias("multi_line"),
         F.col("all_lines").alias("lines"),
         error.alias("error"),
     )
