@@ -67,7 +67,7 @@ def applied_actions(
         lambda a: F.lit(""),
         lambda a: a.priority * 2 - a.score,
     )
-    ordered = F.array_sort(outer)
+    ordered = F.sort_array(outer)
 
     def finish(a: Column) -> Column:
         made = protect_by_name(a.text, a.method, a.options, secrets, policy.methods())

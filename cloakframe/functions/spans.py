@@ -179,7 +179,7 @@ def drop_contained(
     return let(
         spans,
         lambda some: F.when(F.size(some) < 2, some).otherwise(
-            let(F.array_sort(keyed(some)), scan)
+            let(F.sort_array(keyed(some)), scan)
         ),
     )
 
@@ -240,7 +240,7 @@ def find_spans(
     once = by_type(raw)
     raised = F.transform(once, lambda s: _with_score(s, _boosted(s, recognizers)))
     kept = F.filter(by_type(raised), lambda s: s.score >= F.lit(threshold))
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform(
             kept,
             lambda s: F.struct(
@@ -263,4 +263,4 @@ def find_spans(
             i.alias("ord"),
         ),
     )
-    return F.when(text.rlike(r"(?U)\S"), numbered.cast(SPAN_TYPE)).otherwise(empty)
+    return F.when(text.rlike(r"(?U)\S"), numbered).otherwise(empty)
