@@ -8,7 +8,7 @@ from cloakframe.functions.protection import method_named, sha256_verify
 from cloakframe.operators import vault
 from cloakframe.operators.protect import leaks, protection_summary
 from cloakframe.plans.scratch import scratch_path
-from cloakframe.plans.secrets import KEY_COLUMN, SALT_COLUMN, secret_columns
+from cloakframe.plans.secrets import SALT_COLUMN, secret_columns
 
 SECRETS = Secrets(bytes(range(32)), "salt", "tok")
 
