@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cloakframe.llm.words import texts_of
 
 #: Rows of at most three numbers that are sent to every task at once.
 BROADCAST_ROWS = 1 << 20
@@ -34,3 +40,24 @@ def saved(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for a broadcast if it has few rows; beyond that Spark shuffles both sides."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def compressed(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the column ``text`` as compressed bytes (null is empty), which halves what a shuffle moves."""
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            at = names.index(text)
+            columns = batch.columns
+            columns[at] = pa.array([press.compress(x) for x in texts_of(columns[at])], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return df.mapInArrow(run, T.StructType([T.StructField(f.name, T.BinaryType() if f.name == text else f.dataType) for f in df.schema.fields]))
+
+
+def plain(column: pa.Array) -> list[bytes]:
+    """The texts of a compressed column."""
+    unpress = zstandard.ZstdDecompressor()
+    return [unpress.decompress(x) if x else b"" for x in column.to_pylist()]
