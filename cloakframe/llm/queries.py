@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import decontaminate, lines, near_dups, packing, substrings
+from cloakframe.llm import decontaminate, lines, near_dups, neighbours, packing, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda id_: id_ % 20 == 0)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_line_dedup": op6_line_dedup,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_decontamination": op8_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
