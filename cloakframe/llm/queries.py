@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import decontaminate, lines, near_dups, neighbours, packing, substrings
+from cloakframe.llm import decontaminate, lines, near_dups, neighbours, packing, private, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.span_digest(private.find_private(table(spark, sf_dir, "documents")))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_private_data": op4_private_data,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_line_dedup": op6_line_dedup,
     "op7_nearest_neighbours": op7_nearest_neighbours,
