@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import decontaminate, lines, near_dups, neighbours, packing, private, quality, substrings
+from cloakframe.llm import decontaminate, lines, near_dups, neighbours, packing, pieces, private, quality, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.count_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
 def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.span_digest(private.find_private(table(spark, sf_dir, "documents")))
 
@@ -47,6 +51,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    chain = toxicity.train(docs, labels, ["junk", "toxic"])
+    return toxicity.rate(docs, chain, ["junk", "toxic"]).drop("text")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -55,11 +66,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_token_counts": op3_token_counts,
     "op4_private_data": op4_private_data,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_line_dedup": op6_line_dedup,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_decontamination": op8_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {}
