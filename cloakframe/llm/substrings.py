@@ -25,7 +25,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cloakframe.llm.stage import compressed, plain
 from cloakframe.llm.words import SPACED, Block, block_of, blocks, grams, list_column, mix, powers, texts_of
 
 #: Words of the runs that minimisers are chosen from.
@@ -36,13 +38,11 @@ FREQUENT_MOST = 1 << 20
 #: Bytes of text whose super-k-mers share one bucket, about a third of what the bucket receives.
 BUCKET_BYTES = 4 << 20
 #: Bytes of text that a task packs together.
-PACK_BYTES = 8 << 20
+PACK_BYTES = 6 << 20
 
 _U = np.uint64
 _ROLL = 0xB5297A4D3F84D5B5
 _ROLL_INVERSE = pow(_ROLL, -1, 1 << 64)
-#: Stands for a null doc_id: it sorts before all others.
-_NULL_ID = -(1 << 63)
 
 
 def _regular(b: Block) -> Block:
@@ -202,7 +202,7 @@ def _cut_stage(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, gone, kept = [], [], []
-            for text, ranges in zip(texts_of(batch.column("_llm_text")), batch.column("_llm_ranges").to_pylist()):
+            for text, ranges in zip(plain(batch.column("_llm_text")), batch.column("_llm_ranges").to_pylist()):
                 words = text.split()
                 drop = np.zeros(len(words), dtype=bool)
                 for lo, hi in zip((ranges or [])[::2], (ranges or [])[1::2]):
@@ -216,16 +216,16 @@ def _cut_stage(columns: list[str]):
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, bucket_bytes: int = BUCKET_BYTES, frequent: int = FREQUENT) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (kept words, one space between) added.
+    """``docs`` without ``text``, with ``n_words``, ``n_removed`` and ``kept_text`` (kept words, one space between).
 
     A word is removed if it stands in a window of ``window`` words that also starts earlier: in a row
     of smaller ``key``, or further ahead in the same text.  Windows are judged on the input.  Null
-    and empty texts have no words.  A null key counts as one key that is smaller than all others.
+    and empty texts have no words.  Rows of null key keep all words and are no one's earlier copy.
     ``key`` names a text: rows that repeat a key count as one text, so equal rows keep their words.
     Columns of ``docs`` that have the names of the added ones are replaced.
     """
     spark, columns = docs.sparkSession, [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    own = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NULL_ID)).alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("_llm_text"))
+    own = docs.select(F.col(f"`{key}`").cast("long").alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("_llm_text")).where("_llm_key is not null")
     counts = own.select("_llm_text").mapInArrow(_count_stage(window), "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
     often = [r.minimiser for r in counts.where(F.col("n") > frequent).orderBy(F.desc("n")).limit(FREQUENT_MOST).collect()]
     hot = spark.sparkContext.broadcast(np.sort(np.array(often, np.int64).view(_U)))
@@ -233,8 +233,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     packed = own.mapInArrow(_pack_stage(window, buckets, hot), "bucket long, packed binary")
     ranges = packed.groupBy("bucket").applyInArrow(_bucket_stage(window), "_llm_key long, _llm_ranges array<int>")
     ranges = ranges.groupBy("_llm_key").agg(F.flatten(F.collect_list("_llm_ranges")).alias("_llm_ranges"))
-    whole = docs.select(*(F.col(f"`{c}`") for c in columns), *(own_column for own_column in (F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NULL_ID)).alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("_llm_text"))))
-    joined = whole.join(ranges.hint("shuffle_hash"), "_llm_key", "left").select(*(F.col(f"`{c}`") for c in columns), "_llm_text", "_llm_ranges")
-    fields = [*docs.select(*(F.col(f"`{c}`") for c in columns)).schema.fields]
-    schema = type(docs.schema)(fields).add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return joined.mapInArrow(_cut_stage(columns), schema)
+    # the text itself goes on only in its compressed form
+    kept = [c for c in columns if c != text]
+    given = docs.select(*(F.col(f"`{c}`") for c in kept))
+    whole = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{key}`").cast("long").alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("_llm_text"))
+    pressed = compressed(whole, "_llm_text")
+    joined = pressed.join(ranges.hint("shuffle_hash"), "_llm_key", "left").select(*(F.col(f"`{c}`") for c in kept), "_llm_text", "_llm_ranges")
+    added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
+    return joined.mapInArrow(_cut_stage(kept), T.StructType([*given.schema.fields, *added]))
