@@ -52,59 +52,59 @@ class PatternSet:
                 shift[x] = min(shift.get(x, self.widest), self.widest - 1 - k)
         self.keys = np.array(sorted(shift), dtype=_U)
         self.shifts = np.array([shift[x] for x in self.keys.tolist()], dtype=np.int64)
-        whole = _whole(words)
-        order = np.lexsort((whole, ends))  # bucket by the last block, then by the whole pattern
-        self.suffix, self.whole, self.order = ends[order], whole[order], order
+        self.suffix, bucket = np.unique(ends, return_inverse=True)
+        keys = _keys(bucket, _blocks(words))
+        self.order = np.argsort(keys, kind="stable")
+        self.tests = keys[self.order]  # each bucket's patterns by their hash
 
     def search(self, b: Block, words: np.ndarray) -> Iterator[tuple[int, int]]:
         """(first word, pattern) of every occurrence in the block."""
-        n, size = self.length, len(words)
-        if size < n:
+        n = self.length
+        if len(words) < n:
             return
-        block = _gram(words, self.block)
+        block = grams(words, self.block)
         counts = np.diff(b.first)
         stretches = np.maximum(0, -(-(counts - n + 1) // STRETCH))
         text = np.repeat(np.arange(len(counts)), stretches)
         part = np.arange(len(text)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
         at = b.first[text] + part * STRETCH + n - 1  # the last word of the pattern's first place
         last = np.minimum(b.first[text] + (part + 1) * STRETCH + n - 2, b.first[text + 1] - 1)
+        stops = [np.empty(0, np.int64)]
         while len(at):
             here = block[at - self.block + 1]
             k = np.minimum(np.searchsorted(self.keys, here), len(self.keys) - 1)
             move = np.where(self.keys[k] == here, self.shifts[k], self.widest)
-            for end in at[move == 0].tolist():
-                yield from self._compare(b, words, end)
+            stops.append(at[move == 0])
             at = at + np.maximum(move, 1)
             alive = at <= last
             at, last = at[alive], last[alive]
-
-    def _compare(self, b: Block, words: np.ndarray, end: int) -> Iterator[tuple[int, int]]:
-        """The patterns of the bucket that stand before ``end``: by hash, then by bytes."""
-        first = end - self.length + 1
-        suffix = _gram(words[end - self.block + 1 : end + 1], self.block)[0]
-        lo, hi = np.searchsorted(self.suffix, [suffix, suffix], side="left")[0], np.searchsorted(self.suffix, suffix, side="right")
-        whole = _whole(words[first : end + 1].reshape(1, -1))[0]
-        lo, hi = lo + np.searchsorted(self.whole[lo:hi], whole, side="left"), lo + np.searchsorted(self.whole[lo:hi], whole, side="right")
-        if lo < hi:
-            text = b" ".join(b.data[s:e].tobytes() for s, e in zip(b.starts[first : end + 1], b.ends[first : end + 1]))
-            for k in self.order[lo:hi].tolist():
+        yield from self._compared(b, words, block, np.concatenate(stops))
+
+    def _compared(self, b: Block, words: np.ndarray, block: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The patterns that end at ``ends``: by the bucket of the suffix, by hash, then by bytes."""
+        bucket = np.searchsorted(self.suffix, block[ends - self.block + 1])
+        firsts = ends - self.length + 1
+        tests = _keys(bucket, _blocks(words[firsts[:, None] + np.arange(self.length)]))
+        lo, hi = np.searchsorted(self.tests, tests, side="left"), np.searchsorted(self.tests, tests, side="right")
+        some = np.flatnonzero(lo < hi)
+        for first, x, y in zip(firsts[some].tolist(), lo[some].tolist(), hi[some].tolist()):
+            text = b" ".join(b.data[s:e].tobytes() for s, e in zip(b.starts[first : first + self.length], b.ends[first : first + self.length]))
+            for k in self.order[x:y].tolist():
                 if self.texts[k] == text:
                     yield first, k
 
 
-def _gram(words: np.ndarray, n: int) -> np.ndarray:
-    return grams(words, n)
-
-
 def _blocks(words: np.ndarray) -> np.ndarray:
-    """One hash per row, equal to ``_gram`` over the same words."""
+    """One hash per row, equal to that of ``grams`` over the same words."""
     out = np.zeros(len(words), dtype=_U)
     for k in range(words.shape[1]):
         out = mix(out * _U(0xD6E8FEB86659FD93) + words[:, k] + _U(k + 1))
     return out
 
 
-_whole = _blocks
+def _keys(bucket: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Bucket number and hash in one number; the bytes are compared later."""
+    return (bucket.astype(_U) << _U(32)) | (whole >> _U(32))
 
 
 def pattern_sets(items: list[tuple[int, bytes]], window: int) -> list[PatternSet]:
