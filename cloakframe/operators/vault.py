@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.functions.protection import Options, keyed_token
 from cloakframe.operators.protect import applied_table
-from cloakframe.plans.scratch import scratch_path
+from cloakframe.plans.scratch import exists, remove, scratch_path
 from cloakframe.plans.secrets import TOKEN_KEY_COLUMN, Secrets
 
 VAULT_SCHEMA = "value string, prefix string, token string, created_at timestamp"
@@ -29,7 +29,8 @@ def lookup(left: DataFrame, key: str, table: DataFrame) -> DataFrame:
     """Left join on ``key`` to a table with one row per key, safe for hot keys.
 
     The rows of hot keys meet a broadcast table of at most HOT_SHARE rows; all
-    others go through an ordinary join, where no key is frequent any more.
+    others go through an ordinary join, where no key is frequent any more.  Null
+    keys match nothing, so they are dealt out instead of meeting in one task.
     """
     counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("t")).select("t").scalar()
@@ -37,7 +38,9 @@ def lookup(left: DataFrame, key: str, table: DataFrame) -> DataFrame:
     hot_rows = F.broadcast(table.join(F.broadcast(hot_keys), key, "left_semi"))
     marked = left.join(F.broadcast(hot_keys), key, "left")
     hot = marked.filter(F.col("_hot").isNotNull()).drop("_hot").join(hot_rows, key, "left")
-    cold = marked.filter(F.col("_hot").isNull()).drop("_hot").join(table, key, "left")
+    deal = F.when(F.col(key).isNull(), F.monotonically_increasing_id() % HOT_SHARE).otherwise(0)
+    rest = marked.filter(F.col("_hot").isNull()).drop("_hot").withColumn("_deal", deal)
+    cold = rest.join(table.filter(F.col(key).isNotNull()).withColumn("_deal", F.lit(0).cast("bigint")), [key, "_deal"], "left").drop("_deal")
     return hot.unionByName(cold)
 
 
@@ -67,20 +70,25 @@ def append_pairs(vault_path: str, pairs: DataFrame) -> int:
     collision check and the append see the same rows even if executors fail.
     """
     spark = pairs.sparkSession
-    try:
-        vault = spark.read.schema(VAULT_SCHEMA).parquet(vault_path)
-        vault.limit(1).count()
-    except Exception:  # the vault does not exist yet
-        vault = empty_vault(spark)
+    vault = spark.read.schema(VAULT_SCHEMA).parquet(vault_path) if exists(spark, vault_path) else empty_vault(spark)
     staging = scratch_path(spark, "vault")
-    new_pairs(pairs, vault).write.parquet(staging)
-    fresh = spark.read.schema(VAULT_SCHEMA).parquet(staging)
-    # Tokens of the vault are distinct already: only new ones can collide.
-    taken = vault.select("token").join(fresh.select("token"), "token", "left_semi")
-    if not collisions(fresh).isEmpty() or not taken.isEmpty():
-        raise ValueError("token collision: change the token key")
-    fresh.write.mode("append").parquet(vault_path)
-    return fresh.count()
+    try:
+        new_pairs(pairs, vault).write.parquet(staging)
+        fresh = spark.read.schema(VAULT_SCHEMA).parquet(staging)
+        # Tokens of the vault are distinct already: only new ones can collide.
+        taken = vault.select("token").join(fresh.select("token"), "token", "left_semi")
+        if not collisions(fresh).isEmpty() or not taken.isEmpty():
+            raise ValueError("token collision: change the token key")
+        fresh.write.mode("append").parquet(vault_path)
+        return fresh.count()
+    finally:
+        remove(spark, staging)
+
+
+def _known(vault: DataFrame, options: Options) -> DataFrame:
+    """``(value, token)`` of one prefix, one row per value: the oldest of pairs that repeat."""
+    own = vault.filter(F.col("prefix") == options.token_prefix)
+    return own.groupBy("value").agg(F.min(F.struct("created_at", "token")).alias("first")).select("value", "first.token")
 
 
 def tokenize(
@@ -110,7 +118,7 @@ def tokenize(
     if vault is None:
         out = keyed_df.withColumn(column, F.when(blank, F.col(column)).otherwise(token))
         return out.select(*df.columns), new_pairs(pairs, empty_vault(spark))
-    known = vault.filter(F.col("prefix") == prefix).select(F.col("value").alias(column), F.col("token").alias("_known"))
+    known = _known(vault, options).select(F.col("value").alias(column), F.col("token").alias("_known"))
     merged = secrets.attach(lookup(df, column, known))
     out = merged.withColumn(
         column, F.when(blank, F.col(column)).otherwise(F.coalesce("_known", keyed(merged, F.col(column))))
@@ -142,9 +150,9 @@ def token_pairs(df: DataFrame, key: str, policy, secrets: Secrets, detector=None
     )
 
 
-def tokens_of(vault: DataFrame, values: DataFrame) -> DataFrame:
-    """Token of each row's ``value`` (null if none): values joined to the vault."""
-    return lookup(values, "value", vault.select("value", "token"))
+def tokens_of(vault: DataFrame, values: DataFrame, options: Options = Options()) -> DataFrame:
+    """Token of each row's ``value`` (null if none) under the options' prefix: one row in, one row out."""
+    return lookup(values, "value", _known(vault, options).select("value", "token"))
 
 
 def vault_size(vault: DataFrame) -> DataFrame:

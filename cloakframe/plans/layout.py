@@ -2,29 +2,14 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-# Cells differ in length, so a few tasks per core even out their run times.
-TASKS_PER_CORE = 3
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that is too small to occupy all cores.
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """``df`` dealt out to so many tasks.
 
     Detection costs far more than reading, and a table of a few small files is
-    read by as many tasks.  Tables with at least as many files as cores, or
-    large enough to be split that often, are returned as they are: no shuffle.
+    read by as many tasks.  It is a shuffle and rows lose their order, so the
+    caller decides; the library itself never does it.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    size = spark.read.format("binaryFile").load([unquote(f) for f in files]).agg(F.sum("length")).first()[0] or 0
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    split_bytes = int(split.rstrip("bB")) if split.rstrip("bB").isdigit() else 128 * 1024 * 1024
-    return df if size >= cores * split_bytes else df.repartition(cores * TASKS_PER_CORE)
+    return df.repartition(tasks)

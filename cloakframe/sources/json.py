@@ -48,36 +48,32 @@ def document_shapes(
     A document is one value and cannot be split, so each is parsed in one task,
     as Spark's own multi-line reader does.
     """
-    docs = spark.read.text(paths, wholetext=True).select(
-        source_path().alias("path"), "value", F.try_parse_json("value").alias("v")
-    )
-    kind = F.schema_of_variant("v")
-    is_array, is_object = F.startswith(kind, F.lit("ARRAY")), F.startswith(kind, F.lit("OBJECT"))
+    docs = spark.read.text(paths, wholetext=True).select(source_path().alias("path"), "value")
+    # Functions that read the text as a stream: a parsed variant has a size limit.
+    size, own_keys = F.json_array_length("value"), F.json_object_keys("value")
+    is_array, is_object = size.isNotNull(), own_keys.isNotNull()
 
-    def members(path: str) -> Column:
-        return F.try_variant_get("v", path, "array<variant>")
+    def members(text: Column) -> Column:
+        return F.from_json(text, "array<string>")
 
-    def all_objects(path: str) -> Column:
-        return F.forall(members(path), _is_object)
+    def all_objects(text: Column) -> Column:
+        return F.forall(members(text), lambda x: x.isNotNull() & F.json_object_keys(x).isNotNull())
 
-    top = members("$")
     shape = F.when(is_array, "array").when(is_object, "nested")
     if records_path:
-        here = f"$.{records_path}"
-        path_kind = F.schema_of_variant(F.try_variant_get("v", here, "variant"))
-        found = F.when(F.startswith(path_kind, F.lit("ARRAY")), F.lit(records_path))
-        nested_error = F.when(path_kind.isNull(), f"Path '{records_path}' not found in JSON").when(
-            ~F.startswith(path_kind, F.lit("ARRAY")), f"Path '{records_path}' is not an array"
+        inner = F.get_json_object("value", f"$.{records_path}")
+        found = F.when(F.json_array_length(inner).isNotNull(), F.lit(records_path))
+        nested_error = F.when(inner.isNull(), f"Path '{records_path}' not found in JSON").when(
+            F.json_array_length(inner).isNull(), f"Path '{records_path}' is not an array"
         )
     else:
         # Preferred keys first, then the file's own order.
-        entries = F.try_variant_get("v", "$", "map<string,variant>")
-        keys = F.array_union(F.array(*map(F.lit, RECORD_KEYS)), F.json_object_keys("value"))
+        entries = F.from_json("value", "map<string,string>")
+        keys = F.array_union(F.array(*map(F.lit, RECORD_KEYS)), own_keys)
 
         def holds_records(k: Column) -> Column:
             inner = F.try_element_at(entries, k)
-            as_list = F.try_variant_get(inner, "$", "array<variant>")
-            return F.coalesce((F.size(as_list) > 0) & F.forall(as_list, _is_object), F.lit(False))
+            return F.coalesce((F.json_array_length(inner) > 0) & all_objects(inner), F.lit(False))
 
         found = F.get(F.filter(keys, holds_records), F.lit(0))
         nested_error = F.when(
@@ -85,11 +81,11 @@ def document_shapes(
         )
     error = (
         F.when(~F.col("value").rlike(r"\S"), "File is empty")
-        .when(F.col("v").isNull(), "Invalid JSON")
-        .when(is_array & (F.size(top) == 0), "Empty JSON array")
-        .when(is_array & ~F.coalesce(all_objects("$"), F.lit(False)), "Array must contain only objects")
+        .when(is_array & (size == 0), "Empty JSON array")
+        .when(is_array & ~F.coalesce(all_objects(F.col("value")), F.lit(False)), "Array must contain only objects")
         .when(is_object, nested_error)
-        .when(~is_array, "JSON must be an array or object")
+        .when(~is_array & F.col("value").rlike(r"^\s*(?:\"(?:[^\"\\\\]|\\\\.)*\"|-?[0-9][0-9.eE+-]*|true|false|null)\s*$"), "JSON must be an array or object")
+        .when(~is_array, "Invalid JSON")
     )
     return docs.select(
         "path",
@@ -106,10 +102,11 @@ def json_files(
 
     Files whose filled lines are all objects are NDJSON, without parsing any
     of them whole; a single object only counts as such in an ``.ndjson`` file.
+    A file in which most lines are objects is NDJSON with bad lines, and refused.
     """
     lines = line_shapes(spark, paths)
     named = F.endswith(F.lower("path"), F.lit(".ndjson"))
-    by_line = named | ((F.col("objects") > 1) & (F.col("others") == 0))
+    by_line = named | ((F.col("objects") > 1) & (F.col("objects") > F.col("others")))
     line_error = (
         F.when(~F.col("utf8"), "Invalid encoding")
         .when(F.col("lines") == 0, "File is empty")
@@ -167,8 +164,7 @@ def write_json(df: DataFrame, path: str, records_path: str | None = None, mode:
             body = ([head + lines[0]] if first else ["," + lines[0]]) + ["," + x for x in lines[1:]]
             first = False
             yield pd.DataFrame({"value": body})
-        if not first:
-            yield pd.DataFrame({"value": [tail]})
+        yield pd.DataFrame({"value": [head + tail if first else tail]})
 
     rows = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
     rows.mapInPandas(bracket, "value string").write.mode(mode).text(path)

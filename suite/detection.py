@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The columns of a text table, on all cores."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    return spread(table(spark, sf_dir, name).select(*columns), 3 * spark.sparkContext.defaultParallelism)
 
 
 def as_rows(entities: DataFrame, key: str) -> DataFrame:

@@ -29,12 +29,13 @@ def _pad(number: Column, width: int) -> Column:
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("row_key")
-    first, last = _pick(FIRST_NAMES[:10], k), _pick(LAST_NAMES[:10], F.floor(k / 10))
+    first, last = _pick(FIRST_NAMES, k), _pick(LAST_NAMES, F.floor(k / len(FIRST_NAMES)))
     nine = _pad((k * 104729) % 1_000_000_000, 9)
     check = nhs_check(nine)
     body = F.concat(F.lit("4111"), _pad((k * 1299709) % 100_000_000_000, 11))
     digit = luhn_digit(body)
-    base = spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("row_key")))
+    keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("row_key"))
+    base = spread(keys, 3 * spark.sparkContext.defaultParallelism)
     return base.select(
         "row_key",
         F.concat_ws(" ", first, last).alias("name"),
@@ -48,7 +49,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(nine, F.when(check == 10, 0).otherwise(check).cast("string")).alias("nhs"),
         F.concat(body, F.when(k % 13 == 0, (digit + 1) % 10).otherwise(digit).cast("string")).alias("card"),
         _pick(POSTCODES, k).alias("postcode"),
-        _pick(CITIES[:10], k).alias("city"),
+        _pick(CITIES, k).alias("city"),
         F.concat(_pick(("AB", "CD", "EF", "GH"), k), _pad(k % 100, 2), F.lit(" "), _pick(("KLM", "NPR", "STU"), k)).alias("vrn"),
         F.concat_ws("-", _pad(k % 100, 2), _pad((k * 3) % 100, 2), _pad((k * 7) % 100, 2)).alias("sort_code"),
         F.concat_ws(".", F.lit("10"), (k % 256).cast("string"), ((k * 7) % 256).cast("string"), ((k * 13) % 256).cast("string")).alias("ip"),
@@ -72,8 +73,8 @@ PEOPLE_SQL = f"""
 people_keys AS (SELECT c_custkey AS k FROM customer),
 people_parts AS (
   SELECT k,
-    {_list(FIRST_NAMES[:10])}[k % 10 + 1] AS first_name,
-    {_list(LAST_NAMES[:10])}[CAST(floor(k / 10) AS BIGINT) % 10 + 1] AS last_name,
+    {_list(FIRST_NAMES)}[k % {len(FIRST_NAMES)} + 1] AS first_name,
+    {_list(LAST_NAMES)}[CAST(floor(k / {len(FIRST_NAMES)}) AS BIGINT) % {len(LAST_NAMES)} + 1] AS last_name,
     {_NINE} AS nine,
     CAST((11 - list_sum(list_transform(range(1, 10), lambda i: CAST(substr({_NINE}, i, 1) AS INT) * (11 - i))) % 11) % 11 AS INT) AS nhs_digit,
     {_BODY} AS body,
@@ -92,7 +93,7 @@ people_base AS (
     nine || CAST(CASE WHEN nhs_digit = 10 THEN 0 ELSE nhs_digit END AS VARCHAR) AS nhs,
     body || CAST(CASE WHEN k % 13 = 0 THEN (luhn + 1) % 10 ELSE luhn END AS VARCHAR) AS card,
     {_list(POSTCODES)}[k % 15 + 1] AS postcode,
-    {_list(CITIES[:10])}[k % 10 + 1] AS city,
+    {_list(CITIES)}[k % {len(CITIES)} + 1] AS city,
     ['AB','CD','EF','GH'][k % 4 + 1] || lpad(CAST(k % 100 AS VARCHAR), 2, '0') || ' ' || ['KLM','NPR','STU'][k % 3 + 1] AS vrn,
     lpad(CAST(k % 100 AS VARCHAR), 2, '0') || '-' || lpad(CAST((k*3) % 100 AS VARCHAR), 2, '0') || '-' || lpad(CAST((k*7) % 100 AS VARCHAR), 2, '0') AS sort_code,
     '10.' || CAST(k % 256 AS VARCHAR) || '.' || CAST((k*7) % 256 AS VARCHAR) || '.' || CAST((k*13) % 256 AS VARCHAR) AS ip
