@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.operators.detect import Detector
 from cloakframe.operators.protect import FINDINGS, protect, token_pairs_of
 from cloakframe.operators.vault import append_pairs
 from cloakframe.plans import audit as audit_log
-from cloakframe.plans.layout import spread
 from cloakframe.plans.policy import Policy
-from cloakframe.plans.scratch import scratch_path
+from cloakframe.plans.scratch import qualified, remove, scratch_path
 from cloakframe.plans.secrets import Secrets
 from cloakframe.sources import csv as csv_source
 from cloakframe.sources import json as json_source
@@ -37,6 +39,7 @@ class Group:
     multi_line: bool = False
     shape: str = ""
     records_path: str | None = None
+    layout: str = ""
 
 
 def gate_files(
@@ -65,38 +68,38 @@ def gate_files(
             if r.error:
                 refused.append((r.path, "validate", r.error))
             else:
-                groups.setdefault(("json", r.shape, r.records_path), []).append(r.path)
+                groups.setdefault(("json", r.shape, r.records_path, r.layout), []).append(r.path)
     if paths := by_format.get("parquet"):
         for r in parquet_source.parquet_files(spark, paths).collect():
             if r.error:
                 refused.append((r.path, "validate", r.error))
             else:
-                groups.setdefault(("parquet",), []).append(r.path)
+                # Its footer tells a file's layout, and whether it can be read at all.
+                try:
+                    groups.setdefault(("parquet", spark.read.parquet(r.path).schema.json()), []).append(r.path)
+                except (PySparkException, Py4JJavaError):
+                    refused.append((r.path, "validate", "Failed to read Parquet"))
     out = []
     for k, paths in groups.items():
         if k[0] == "csv":
             out.append(Group("csv", tuple(paths), delimiter=k[1], header=k[2], multi_line=k[3]))
         elif k[0] == "json":
-            out.append(Group("json", tuple(paths), shape=k[1], records_path=k[2]))
+            out.append(Group("json", tuple(paths), shape=k[1], records_path=k[2], layout=k[3] or ""))
         else:
-            out.append(Group("parquet", tuple(paths)))
+            out.append(Group("parquet", tuple(paths), layout=k[1]))
     return out, spark.createDataFrame(refused, lake.QUARANTINE_SCHEMA)
 
 
 def read_group(spark: SparkSession, group: Group) -> DataFrame:
-    """Rows of a group of files, with the file of each row in ``_source``."""
+    """Rows of a group of files, with the file of each row in ``_source``.
+
+    Where records span lines only the reader sees their width: rows of another
+    width than the header's have their text in ``csv.BAD_ROW``.
+    """
     paths = list(group.paths)
     path_of = lake.source_path().alias(SOURCE)
     if group.format == "csv":
-        raw = (
-            spark.read.option("header", True)
-            .option("sep", group.delimiter)
-            .option("escape", '"')
-            .option("multiLine", group.multi_line)
-            .option("inferSchema", False)
-            .csv(paths)
-        )
-        return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c.strip()) for c in raw.columns], path_of)
+        return csv_source.read_csv(spark, paths, group.delimiter, multi_line=group.multi_line, mark_bad_rows=group.multi_line, with_path=SOURCE)
     if group.format == "json":
         if group.shape == "ndjson":
             raw = spark.read.json(paths)
@@ -106,8 +109,7 @@ def read_group(spark: SparkSession, group: Group) -> DataFrame:
             raw = raw.select(F.explode(F.col(group.records_path)).alias("rec"), path_of).select("rec.*", SOURCE)
             return lake.flatten_structs(raw)
         return lake.flatten_structs(raw.select("*", path_of))
-    raw = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
-    return raw.select("*", path_of)
+    return spark.read.parquet(*paths).select("*", path_of)
 
 
 def read_lake(spark: SparkSession, path: str, **options) -> dict[str, DataFrame]:
@@ -118,7 +120,7 @@ def read_lake(spark: SparkSession, path: str, **options) -> dict[str, DataFrame]
     groups, _ = gate_files(spark, path, **options)
     out: dict[str, DataFrame] = {}
     for g in groups:
-        df = read_group(spark, g)
+        df = read_group(spark, g).drop(csv_source.BAD_ROW)
         out[g.format] = out[g.format].unionByName(df, allowMissingColumns=True) if g.format in out else df
     return out
 
@@ -141,11 +143,23 @@ def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None
         writer.option("compression", "snappy").parquet(path)
 
 
-def _relative(path: str):
-    """Key of a file below the input root."""
-    root = "/" + path.replace("file:", "").strip("/") + "/"
-    bare = F.regexp_replace(SOURCE, "^[a-z0-9]+:/+", "/")
-    return F.replace(bare, F.lit(root), F.lit(""))
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
+def root_of(spark: SparkSession, path: str) -> str:
+    """The input root as files are named below it, with its scheme and one slash behind that."""
+    full = path if re.match(_SCHEME, path) else qualified(spark, path)
+    return re.sub(_SCHEME, r"\1:/", full).rstrip("/")
+
+
+def key_of(path: Column, root: str) -> Column:
+    """Key of a file below the root, which is cut off once, at the start."""
+    plain = F.regexp_replace(path, _SCHEME, "$1:/")
+    below = F.substring(plain, F.lit(len(root) + 2), F.length(plain))
+    return F.when(F.startswith(plain, F.lit(root + "/")), below).otherwise(F.element_at(F.split(plain, "/"), -1))
+
+
+RESULT_SCHEMA = "source_key string, rows bigint, error string"
 
 
 def protect_files(
@@ -164,59 +178,95 @@ def protect_files(
 ) -> DataFrame:
     """Protect every supported file below ``source`` into ``target/protected``.
 
-    Bad files go to ``target/quarantine`` and the others go on.  Returns one
-    row per file: ``source_key, rows, error``; ``audit.run_summary`` counts them.
+    Bad files go to ``target/quarantine`` and the others go on: a group that
+    fails is halved until the files that make it fail stand alone.  Returns one
+    row per file, ``source_key, rows, error``, also kept in ``target/runs``;
+    ``audit.run_summary`` counts them.  Every file has an audit row.
 
     Detection runs once per row: its result is staged as a table, from which
-    the output, the vault pairs and the audit counts are read.
+    the output, the vault pairs and the audit counts are read.  The stage is
+    removed at the end, also after a failure; it holds vault pairs only if a
+    vault is asked for.
     """
     request = uuid.uuid4().hex
+    root = root_of(spark, source)
+    run_path, work = f"{target}/runs/run={request}", scratch_path(spark, "protected")
     groups, quarantine = gate_files(spark, source, **gate_options)
-    quarantine.write.mode("append").parquet(f"{target}/quarantine")
-    results = quarantine.select(
-        F.element_at(F.split("path", "/"), -1).alias("source_key"),
-        F.lit(0).cast("bigint").alias("rows"),
-        "error",
-    )
-    for group in groups:
+
+    def done(per_file: DataFrame) -> None:
+        if audit_path:
+            audit_log.write_audit(audit_log.audit_rows(per_file), audit_path)
+        per_file.select("source_key", "rows", "error").write.mode("append").parquet(run_path)
+
+    def refuse(files: DataFrame) -> None:
+        """Files (path, stage, error) that are not protected."""
+        files.write.mode("append").parquet(f"{target}/quarantine")
+        keys = files.select(key_of(F.col("path"), root).alias("source_key"), F.upper(F.coalesce(lake.file_format(F.col("path")), F.lit("unknown"))).alias("file_format"), "error")
+        done(_audit_rows(keys, None, request, bucket, {}))
+
+    def run(group: Group) -> None:
         started = time.monotonic()
-        staged = _stage(spark, group, source, policy, secrets, detector, stringify_all)
+        path = f"{work}/{uuid.uuid4().hex}"
+        try:
+            staged = _stage(spark, group, root, policy, secrets, detector, stringify_all, bool(vault_path), path)
+        except (PySparkException, Py4JJavaError) as error:
+            if len(group.paths) > 1:
+                half = len(group.paths) // 2
+                for paths in (group.paths[:half], group.paths[half:]):
+                    run(replace(group, paths=paths))
+            else:
+                refuse(spark.createDataFrame([(group.paths[0], "process", type(error).__name__)], lake.QUARANTINE_SCHEMA))
+            return
+        staged_ms = int((time.monotonic() - started) * 1000)
+        paths = list(group.paths)
+        if csv_source.BAD_ROW in staged.columns:
+            bad = {r[SOURCE] for r in staged.where(F.col(csv_source.BAD_ROW).isNotNull()).select(SOURCE).distinct().collect()}
+            if bad:
+                refuse(spark.createDataFrame([(p, "validate", "A row has another number of columns than the header") for p in sorted(bad)], lake.QUARANTINE_SCHEMA))
+                paths = [p for p in paths if p not in bad]
+                staged = staged.where(~F.col(SOURCE).isin(*bad))
         if vault_path:
-            pairs = staged.select(F.explode(ROW_RESULTS).alias("p")).select("p.*")
-            append_pairs(vault_path, pairs)
-        out = staged.drop(FINDINGS, ROW_RESULTS)
-        _write(out, group, f"{target}/protected/{group.format}", keep_delimiter)
+            append_pairs(vault_path, staged.select(F.explode(ROW_RESULTS).alias("p")).select("p.*"))
+        _write(staged.drop(FINDINGS, ROW_RESULTS, SOURCE, csv_source.BAD_ROW), group, f"{target}/protected/{group.format}", keep_delimiter)
         took = int((time.monotonic() - started) * 1000)
-        per_file = _audit_inputs(staged, group, request, bucket, took)
-        if audit_path:
-            audit_log.write_audit(audit_log.audit_rows(per_file), audit_path)
-        results = results.unionByName(per_file.select("source_key", "rows", "error"))
-    return results
+        if paths:
+            keys = spark.createDataFrame([(p,) for p in paths], "path string").select(key_of(F.col("path"), root).alias("source_key"), F.lit(group.format.upper()).alias("file_format"), F.lit(None).cast("string").alias("error"))
+            done(_audit_rows(keys, staged, request, bucket, {"protect": staged_ms, "output": took - staged_ms}))
+
+    try:
+        refuse(quarantine)
+        for group in groups:
+            run(group)
+    finally:
+        remove(spark, work)
+    return spark.read.schema(RESULT_SCHEMA).parquet(run_path)
 
 
 def _stage(
     spark: SparkSession,
     group: Group,
-    source: str,
+    root: str,
     policy: Policy,
     secrets: Secrets,
     detector: Detector | None,
     stringify_all: bool,
+    pairs: bool,
+    path: str,
 ) -> DataFrame:
-    raw = spread(read_group(spark, group)).withColumn("source_key", _relative(source))
-    text = [c for c in raw.columns if c not in (SOURCE, "source_key")]
+    raw = read_group(spark, group).withColumn("source_key", key_of(F.col(SOURCE), root))
+    own = (SOURCE, "source_key", csv_source.BAD_ROW)
+    text = [c for c in raw.columns if c not in own]
     if stringify_all:
         raw = lake.stringify(raw)
-    done = token_pairs_of(
-        raw.drop(SOURCE), policy, secrets, detector, columns=text, pairs_column=ROW_RESULTS
-    )
-    path = scratch_path(spark, "protected")
+    done = token_pairs_of(raw, policy, secrets, detector, columns=text, pairs_column=ROW_RESULTS)
+    if not pairs:
+        done = done.drop(ROW_RESULTS)
     done.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(done.schema).parquet(path)
 
 
-def _audit_inputs(staged: DataFrame, group: Group, request: str, bucket: str, took: int) -> DataFrame:
-    """One row per file with its counts, from the findings column alone."""
+def _counts(staged: DataFrame) -> DataFrame:
+    """Per source_key the row count and summaries, from the findings column alone."""
     facts = F.flatten(
         F.transform(
             FINDINGS,
@@ -252,19 +302,42 @@ def _audit_inputs(staged: DataFrame, group: Group, request: str, bucket: str, to
         F.coalesce(F.sum(F.when(F.col("kind") == "failure", F.col("n"))), F.lit(0)).alias("failures"),
     )
     rows = staged.groupBy("source_key").agg(F.count("*").alias("rows"))
-    return rows.join(summary, "source_key").select(
+    return rows.join(summary, "source_key")
+
+
+def _audit_rows(keys: DataFrame, staged: DataFrame | None, request: str, bucket: str, stages: dict[str, int]) -> DataFrame:
+    """One row per file of ``keys`` (source_key, file_format, error), also for files without rows."""
+    if staged is not None:
+        keys = keys.join(_counts(staged), "source_key", "left")
+    else:
+        keys = keys.withColumns(
+            {c: F.lit(None).cast(kind) for c, kind in (
+                ("rows", "bigint"), ("entity_counts", "map<string,bigint>"), ("columns_with_pii", "array<string>"), ("cells_scanned", "bigint"),
+                ("cells_with_pii", "bigint"), ("methods_used", "map<string,bigint>"), ("applied", "bigint"), ("failures", "bigint"))}
+        )
+    no_map, nought = F.create_map().cast("map<string,bigint>"), F.lit(0).cast("bigint")
+    stage_map = F.create_map(*(x for k, v in stages.items() for x in (F.lit(k), F.lit(v).cast("bigint")))) if stages else no_map
+    return keys.select(
         "source_key",
-        "rows",
+        F.coalesce("rows", nought).alias("rows"),
         F.lit(request).alias("request_id"),
         F.lit(bucket).alias("source_bucket"),
-        F.concat(F.lit("protected/"), "source_key").alias("secure_key"),
-        F.upper(F.lit(group.format)).alias("file_format"),
-        F.lit(True).alias("success"),
-        F.lit(took).cast("bigint").alias("duration_ms"),
+        F.when(F.col("error").isNull(), F.concat(F.lit("protected/"), "source_key")).alias("secure_key"),
+        "file_format",
+        F.col("error").isNull().alias("success"),
+        F.lit(sum(stages.values())).cast("bigint").alias("duration_ms"),
         F.current_timestamp().alias("processed_at"),
-        F.struct("entity_counts", "columns_with_pii", "cells_scanned", "cells_with_pii").alias("detection_summary"),
-        F.struct(F.col("applied").alias("protections_applied"), "methods_used", "failures").alias("protection_summary"),
-        F.create_map(F.lit("protect"), F.lit(took).cast("bigint")).alias("stage_durations"),
-        F.lit(None).cast("string").alias("error"),
+        F.struct(
+            F.coalesce("entity_counts", no_map).alias("entity_counts"),
+            F.coalesce("columns_with_pii", F.array().cast("array<string>")).alias("columns_with_pii"),
+            F.coalesce("cells_scanned", nought).alias("cells_scanned"),
+            F.coalesce("cells_with_pii", nought).alias("cells_with_pii"),
+        ).alias("detection_summary"),
+        F.struct(
+            F.coalesce("applied", nought).alias("protections_applied"),
+            F.coalesce("methods_used", no_map).alias("methods_used"),
+            F.coalesce("failures", nought).alias("failures"),
+        ).alias("protection_summary"),
+        stage_map.alias("stage_durations"),
+        "error",
     )
-

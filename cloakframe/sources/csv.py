@@ -140,12 +140,14 @@ def read_csv(
     multi_line: bool = True,
     columns: Sequence[str] | None = None,
     mark_bad_rows: bool = False,
+    with_path: str | None = None,
 ) -> DataFrame:
     """CSV with a header, all columns text, '' for empty, names trimmed.
 
     Pass ``multi_line=False`` for files without line breaks inside quotes: only
     then can Spark split a file over tasks.  ``mark_bad_rows`` adds the raw
-    text of rows whose width differs from the header.
+    text of rows whose width differs from the header, ``with_path`` a column
+    with the file of each row.
     """
     reader = (
         spark.read.option("header", True)
@@ -165,7 +167,8 @@ def read_csv(
         reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
     raw = reader.option("enforceSchema", True).schema(T.StructType(fields)).csv(paths)
     out = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names]
-    return raw.select(*out, *([BAD_ROW] if mark_bad_rows else []))
+    path = [source_path().alias(with_path)] if with_path else []
+    return raw.select(*out, *([BAD_ROW] if mark_bad_rows else []), *path)
 
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ",", mode: str = "error") -> None:

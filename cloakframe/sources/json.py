@@ -27,6 +27,7 @@ def line_shapes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             source_path().alias("path"),
             F.is_valid_utf8("value").alias("utf8"),
             F.col("value").rlike(r"\S").alias("filled"),
+            v.alias("v"),
             F.coalesce(_is_object(v), F.lit(False)).alias("object"),
             F.monotonically_increasing_id().alias("line"),
         )
@@ -36,6 +37,7 @@ def line_shapes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             F.count_if(F.col("filled") & F.col("object")).alias("objects"),
             F.bool_and("utf8").alias("utf8"),
             F.count_if(F.col("filled") & ~F.col("object")).alias("others"),
+            F.schema_of_variant_agg(F.when(F.col("object"), F.col("v"))).alias("layout"),
         )
     )
 
@@ -43,7 +45,7 @@ def line_shapes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def document_shapes(
     spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
 ) -> DataFrame:
-    """Shape of files that are one JSON document: ``(path, shape, records_path, error)``.
+    """Shape of files that are one JSON document: ``(path, shape, records_path, error, layout)``.
 
     A document is one value and cannot be split, so each is parsed in one task,
     as Spark's own multi-line reader does.
@@ -92,13 +94,17 @@ def document_shapes(
         shape.alias("shape"),
         F.when(is_object, found).alias("records_path"),
         error.alias("error"),
+        F.schema_of_variant(F.try_parse_json("value")).alias("layout"),
     )
 
 
 def json_files(
     spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
 ) -> DataFrame:
-    """One row per file: ``(path, shape, records_path, error)``.
+    """One row per file: ``(path, shape, records_path, error, layout)``.
+
+    ``layout`` tells files of different fields apart; it is null for documents
+    too large for a variant, which are read like any other.
 
     Files whose filled lines are all objects are NDJSON, without parsing any
     of them whole; a single object only counts as such in an ``.ndjson`` file.
@@ -117,6 +123,7 @@ def json_files(
         F.lit("ndjson").alias("shape"),
         F.lit(None).cast("string").alias("records_path"),
         line_error.alias("error"),
+        "layout",
     )
     # The driver lists files anyway; only these are small enough to be documents.
     rest = [r.path for r in lines.filter(~by_line & F.col("utf8") & (F.col("lines") > 0)).select("path").collect()]

@@ -11,6 +11,7 @@ from cloakframe.operators.detect import Detector
 from cloakframe.operators.protect import FINDINGS, protection_counts, token_pairs_of
 from cloakframe.operators.vault import append_pairs
 from cloakframe.plans.policy import Policy
+from cloakframe.plans.scratch import remove
 from cloakframe.plans.secrets import Secrets
 
 
@@ -52,16 +53,19 @@ def protect_stream(
         spark = batch.sparkSession
         path = f"{target}/batch={batch_id}"
         work = f"{checkpoint}/work/batch={batch_id}"
-        done.write.mode("overwrite").parquet(work)
-        staged = spark.read.parquet(work)
-        if vault_path:
-            append_pairs(vault_path, staged.select(F.explode("_pairs").alias("p")).select("p.*"))
-        staged.drop(FINDINGS, "_pairs").write.mode("overwrite").parquet(path)
-        if audit_path:
-            counts = protection_counts(staged).withColumn("rows", F.lit(staged.count()))
-            counts.withColumn("processed_at", F.current_timestamp()).write.mode("overwrite").parquet(
-                f"{audit_path}/batch={batch_id}"
-            )
+        try:
+            (done if vault_path else done.drop("_pairs")).write.mode("overwrite").parquet(work)
+            staged = spark.read.parquet(work)
+            if vault_path:
+                append_pairs(vault_path, staged.select(F.explode("_pairs").alias("p")).select("p.*"))
+            staged.drop(FINDINGS, "_pairs").write.mode("overwrite").parquet(path)
+            if audit_path:
+                counts = protection_counts(staged).withColumn("rows", F.lit(staged.count()))
+                counts.withColumn("processed_at", F.current_timestamp()).write.mode("overwrite").parquet(
+                    f"{audit_path}/batch={batch_id}"
+                )
+        finally:
+            remove(spark, work)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{checkpoint}/offsets")
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from cloakframe import Policy, Rule, Secrets, default_policy, gate_files, protect_files, read_lake
 from cloakframe.plans import audit
+from cloakframe.plans.jobs import key_of, root_of
+from cloakframe.plans.scratch import shared_folder
 from cloakframe.sources import csv as csv_source
 from cloakframe.sources import json as json_source
 from cloakframe.sources import lake
@@ -219,6 +221,52 @@ def test_file_job(spark, folder, tmp_path):
     assert "john@" not in text and "Ava Wood" not in text
 
 
+def test_file_job_on_a_mixed_lake(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    put(src, "x/a.csv", "id,email\n1,q@example.org\n")
+    put(src, "y/a.csv", "id,note\n1,w@example.org\n2,z\n")
+    put(src, "ragged.csv", 'id,a,b\n1,"two\nlines",x\n2,z\n3,p,q\n')
+    put(src, "x/bad.csv", "a,b\n1\n")
+    put(src, "y/bad.csv", "a,b\n1\n")
+    put(src, "header.csv", "id,email\n")
+    put(src, "one.ndjson", '{"a":1}\n{"a":2}\n')
+    put(src, "two.ndjson", '{"b":"v@example.org"}\n')
+    put(src, "lines.json", '{"a":1}\n{"a":2}\n{"a":\n{"a":4}\n')
+    spark.createDataFrame([(1, "u@example.org")], "id int, email string").coalesce(1).write.parquet(f"{src}/p")
+    spark.createDataFrame([("s",)], "id string").coalesce(1).write.parquet(f"{src}/q")
+    with open(f"{src}/junk.parquet", "wb") as f:
+        f.write(b"PAR1" + b"junk" * 10 + b"PAR1")
+    before = set(os.listdir(shared_folder(spark)))
+    results = protect_files(spark, src, out, default_policy(), SECRETS, audit_path=f"{tmp_path}/audit")
+    got = {("parquet " + str(r.rows) if r.source_key.startswith(("p/", "q/")) else r.source_key): (r.rows, bool(r.error)) for r in results.collect()}
+    assert got == {
+        "x/a.csv": (1, False), "y/a.csv": (2, False), "ragged.csv": (0, True), "x/bad.csv": (0, True), "y/bad.csv": (0, True),
+        "header.csv": (0, False), "one.ndjson": (2, False), "two.ndjson": (1, False), "lines.json": (0, True),
+        "parquet 1": (1, False), "junk.parquet": (0, True),
+    }
+    assert results.count() == 12 and set(os.listdir(shared_folder(spark))) == before
+    log = spark.read.parquet(f"{tmp_path}/audit")
+    assert log.count() == 12 and log.where("not success").count() == 5 and set(log.where("success").first().stage_durations) == {"protect", "output"}
+    one = {r.value for r in spark.read.text(f"{out}/protected/json/source_key=one.ndjson").collect()}
+    assert one == {'{"a":1}', '{"a":2}'}
+    assert "example.org" not in str([r for f in ("csv", "json") for r in spark.read.text(f"{out}/protected/{f}").collect()])
+
+
+def test_keys_below_any_root(spark):
+    cases = [
+        ("s3a://raw/in", "s3a://raw/in/a/b.csv", "a/b.csv"), ("s3a://raw/in/", "s3a://raw/in/in/in.csv", "in/in.csv"),
+        ("file:///x/in", "file:/x/in/f.csv", "f.csv"), ("/x/in", "file:///x/in/data/in/f.csv", "data/in/f.csv"),
+        ("data/in", f"file:{os.getcwd()}/data/in/f.csv", "f.csv"), ("/x/in/f.csv", "file:/x/in/f.csv", "f.csv"),
+    ]
+    for root, path, key in cases:
+        assert spark.range(1).select(key_of(F.lit(path), root_of(spark, root)).alias("k")).first().k == key
+
+
+def test_a_large_json_array_passes_the_gate(spark, tmp_path):
+    put(tmp_path, "large.json", "[" + ",".join('{"a":"' + "x" * 1000 + '"}' for _ in range(140_000)) + "]")
+    assert [(r.shape, r.error) for r in json_source.json_files(spark, f"{tmp_path}/large.json").collect()] == [("array", None)]
+
+
 def test_file_job_keeps_delimiter_on_request(spark, tmp_path):
     put(f"{tmp_path}/in", "b.csv", "id;email\n1;q@example.org\n2;x\n")
     policy = Policy((Rule("EMAIL_ADDRESS", "redact"),))
