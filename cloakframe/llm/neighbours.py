@@ -211,7 +211,7 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
     classes = saved(least.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     count, longest = classes.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)))).first()
     chosen = classes.select("vector").orderBy(F.xxhash64("vector")).limit(sample).collect()
-    points = np.array([r.vector for r in chosen], dtype=np.float64).reshape(len(chosen), -1)
+    points = np.array([r.vector for r in chosen], dtype=np.float64).reshape(len(chosen), len(chosen[0].vector) if chosen else 1)
     held = max(LEAST, leaf * len(points) // max(count, 1))
     forest = spark.sparkContext.broadcast(Forest(_longer(points, longest or 0.0), held, trees))
     index = classes.mapInArrow(_place_stage(forest, longest or 0.0), "leaf long, ids array<long>, vector array<double>")
