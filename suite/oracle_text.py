@@ -35,6 +35,25 @@ IBAN_DIGITS = f"""array_to_string(list_transform(string_split(substr({IBAN_BARE}
     lambda c: CASE WHEN c BETWEEN 'A' AND 'Z' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), '')"""
 IBAN = f"(length({IBAN_BARE}) BETWEEN 15 AND 34 AND CAST({IBAN_DIGITS} AS HUGEINT) % 97 = 1)"
 
+# The UK patterns and their scores, stated again so that a wrong
+# one in the library shows.  Names and cities come from its word lists.
+UK_PATTERNS = {
+    "UK_NHS": ((r"\b\d{3}\s\d{3}\s\d{4}\b", 0.85), (r"\b\d{10}\b", 0.6)),
+    "UK_NINO": ((r"\b[A-CEGHJ-NPR-TW-Z]{2}\s?\d{2}\s?\d{2}\s?\d{2}\s?[A-D]\b", 0.85),),
+    "UK_POSTCODE": ((r"\b[A-Z]{1,2}\d[A-Z\d]?\s?\d[A-Z]{2}\b", 0.95),),
+    "UK_PHONE": (
+        (r"\+44\s?\d{4}\s?\d{6}", 0.9),
+        (r"\+44\s\d{2,3}\s\d{3,4}\s\d{3,4}", 0.9),
+        (r"\b07\d{3}\s?\d{6}\b", 0.85),
+        (r"\b0[1-9]\d{2,4}\s?\d{5,6}\b", 0.75),
+        (r"\b0\d{2,3}\s\d{3,4}\s\d{3,4}\b", 0.85),
+    ),
+    "UK_DRIVERS_LICENSE": ((r"\b[A-Z]{5}\d{6}[A-Z\d]{5}\b", 0.8), (r"\b[A-Z]{5}\s?\d{6}\s?[A-Z\d]{5}\b", 0.75)),
+    "UK_PASSPORT": ((r"\b\d{9}\b", 0.5),),
+    "UK_BANK_ACCOUNT": ((r"\b\d{2}-\d{2}-\d{2}\b", 0.8), (r"\b\d{8}\b", 0.4), (r"\b\d{6}\b", 0.3)),
+    "UK_VRN": ((r"\b[A-Z]{2}\d{2}\s?[A-Z]{3}\b", 0.8), (r"\b[A-Z]\d{1,3}\s?[A-Z]{3}\b", 0.7)),
+}
+
 VALIDATED = {"UK_NHS": NHS, "UK_NINO": NINO, "CREDIT_CARD": LUHN, "IBAN_CODE": IBAN}
 
 
@@ -56,10 +75,11 @@ def entity_ctes(
     """CTEs from ``cells`` to ``entities``: findings with 0-based offsets and ord."""
     hits = []
     for r in recognizers:
-        for p in r.patterns:
-            rx = quote(("(?i)" if p.any_case else "") + p.regex)
+        stated = [(x, score, True) for x, score in UK_PATTERNS.get(r.entity_type, ())]
+        for regex, score, any_case in stated or [(p.regex, p.score, p.any_case) for p in r.patterns]:
+            rx = quote(("(?i)" if any_case else "") + regex)
             hits.append(
-                f"SELECT {key}, column_name, '{r.entity_type}' AS entity_type, CAST({p.score} AS DOUBLE) AS score, "
+                f"SELECT {key}, column_name, '{r.entity_type}' AS entity_type, CAST({score} AS DOUBLE) AS score, "
                 f"string_split(regexp_replace(cell, {rx}, chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS parts "
                 f"FROM cells WHERE regexp_matches(cell, {rx})"
             )

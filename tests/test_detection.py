@@ -216,3 +216,26 @@ def test_random_cells_against_python(spark):
     plain = tuple(Recognizer(r.entity_type, r.patterns) for r in recs)
     got = {(r.id, r.entity_type, r.start, r.end) for r in detect(df, "id", Detector(0.0, recognizers=plain)).collect()}
     assert got == want and len(want) > 100
+
+
+def test_gates_are_necessary_conditions_at_any_length(spark):
+    """Whatever a pattern matches opens its gate, also in Unicode text around 256 characters."""
+    import random
+
+    from cloakframe.functions.recognizers import default_recognizers
+
+    rng = random.Random(7)
+    bits = ["Lisa Smith", "L\u0130sa Smith", "L\u0131sa Smith", "James\u00a0Jones", "United\u00a0Kingdom", "London", "\u212Aeith Brown", "Mr Smith", "a@b.co", "07700 900123", "12-34-56", "AB12 CDE", "10.0.0.1", "\u0663\u0664", "x", "\u00e9", "\u2003", "-", "."]
+    rows = []
+    for n in range(300):
+        text = " ".join(rng.choice(bits) for _ in range(rng.randrange(1, 6)))
+        rows.append((n, text + " " * rng.choice([0, 0, 1]) + "z" * rng.choice([0, 0, 230, 256 - len(text) % 256, 300])))
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    missed = []
+    for r in default_recognizers():
+        for k, p in enumerate(r.patterns):
+            gate = p.gate
+            while gate is not None:
+                missed.append(F.count_if(F.col("text").rlike(p.java) & ~gate.test(F.col("text"))).alias(f"{r.entity_type}_{k}_{len(missed)}"))
+                gate = gate.parent
+    assert not any(df.agg(*missed).first())
