@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.operators.detect import Detector
-from cloakframe.operators.protect import FINDINGS, protect, token_pairs_of
+from cloakframe.operators.protect import FINDINGS, token_pairs_of
 from cloakframe.operators.vault import append_pairs
 from cloakframe.plans import audit as audit_log
 from cloakframe.plans.policy import Policy
