@@ -99,7 +99,7 @@ class Model:
                 else:  # code = context * 64 + symbol; its suffix is the code without the first symbol
                     p = (back.reshape(SYMBOLS, -1, 1) * lower.reshape(1, -1, SYMBOLS)).reshape(-1)
                 p[grams] = seen
-            self._surprise = -np.log(p)
+            self._surprise = np.negative(np.log(p, out=p), out=p)
         return self._surprise
 
     def __getstate__(self):

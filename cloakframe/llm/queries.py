@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.llm import decontaminate, lines, near_dups, neighbours, oracles, packing, pieces, private, quality, substrings, toxicity
+from cloakframe.llm.stage import bounded_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

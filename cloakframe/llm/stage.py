@@ -16,6 +16,18 @@ from cloakframe.llm.words import texts_of
 
 #: Rows of at most three numbers that are sent to every task at once.
 BROADCAST_ROWS = 1 << 20
+#: Rows and bytes that reach a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 4000, "16m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to a size of which an executor can hold several.
+
+    Spark's own bounds suit numbers; of texts, a batch of 10,000 rows or 64 MB is held by the JVM, by
+    the worker and once more as Python objects.  Applications call this once; no result depends on it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -14,7 +14,7 @@ import os
 import numpy as np
 
 #: Words that a worker remembers; beyond that it forgets all and begins anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 #: Punctuation that the tokenizer splits from the letters before it.
 _TAIL = b".,;:!?"
 

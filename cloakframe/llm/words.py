@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one block holds at most, unless a single text is longer.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes whose hashes are computed at once.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(0x5EED)
