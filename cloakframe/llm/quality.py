@@ -10,6 +10,9 @@ scored in the scan, by one look-up per byte, and no text is shuffled.
 
 A text's threshold is its language's: the median of trusted texts' cross-entropies, and ``SPREAD``
 times the way from there to their ``UPPER`` quantile.
+
+Symbols do not show ordinary words in bad order, so a text has to pass the word model of ``word_model``
+as well, whose limit is the ``WORD_UPPER`` quantile of its language's trusted texts.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cloakframe.llm import word_model
 from cloakframe.llm.stage import saved, small
 from cloakframe.llm.words import texts_of
 
@@ -30,6 +34,8 @@ ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
 #: The threshold: median + SPREAD * (UPPER quantile - median), from LEAST trusted texts of a language or else from all.
 UPPER, SPREAD, LEAST = 0.99, 3.0, 100
+#: The quantile of trusted texts that is the limit of the word model.
+WORD_UPPER = 0.998
 #: Bytes that are counted or scored at once.
 STEP = 1 << 20
 
@@ -158,22 +164,36 @@ def score(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
-def thresholds(scores: DataFrame) -> DataFrame:
+def thresholds(scores: DataFrame, upper: float = UPPER, spread: float = SPREAD) -> DataFrame:
     """lang, limit: from trusted texts' (lang, nats); the row of null lang holds for all other languages."""
 
     def limit(*by: str) -> DataFrame:
-        q = F.percentile_approx("nats", F.array(F.lit(0.5), F.lit(UPPER)), 10_000)
-        return scores.where("nats is not null").groupBy(*by).agg(F.count(F.lit(1)).alias("n"), q.alias("q")).withColumn("limit", F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0]))
+        q = F.percentile_approx("nats", F.array(F.lit(0.5), F.lit(upper)), 10_000)
+        return scores.where("nats is not null").groupBy(*by).agg(F.count(F.lit(1)).alias("n"), q.alias("q")).withColumn("limit", F.col("q")[0] + spread * (F.col("q")[1] - F.col("q")[0]))
 
     whole = limit().where("n > 0").select(F.lit(None).cast("string").alias("lang"), "limit")
     return limit("lang").where((F.col("n") >= LEAST) & F.col("lang").isNotNull()).select("lang", "limit").union(whole)
 
 
+def word_nats(docs: DataFrame, good_keys: DataFrame, key: str, text: str, lang: str) -> DataFrame | None:
+    """id (hash of the text), trusted, lang, nats: the mean of -log p per word; none if no trusted text has a word."""
+    own = docs.select(F.col(f"`{key}`").cast("long").alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    flagged = own.join(good_keys.withColumn("good", F.lit(True)), "_llm_key", "left").select("text", "lang", F.xxhash64("text").alias("id"), F.coalesce("good", F.lit(False)).alias("trusted"))
+    trained = word_model.train(flagged.where("trusted").select("text"))
+    if trained is None:
+        return None
+    model, base = trained
+    above = word_model.scores(flagged.select("id", "trusted", "text"), model)
+    words = F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda x: x != ""))
+    sizes = flagged.select("id", "trusted", "lang", words.alias("n")).distinct()
+    return sizes.join(above, ["id", "trusted"]).select("id", "trusted", "lang", (-F.lit(base) - F.col("above") / (F.col("n") + 1)).alias("nats"))
+
+
 def rate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", good: str = "quality") -> DataFrame:
-    """``docs`` with ``perplexity`` (per byte), ``limit`` and ``kept`` added.
+    """``docs`` with ``perplexity`` (per byte), its ``limit`` and ``kept`` added.
 
     Trusted are the rows of ``docs`` whose key has ``good`` = 1 in ``labels``; a key that repeats there
-    counts once.  A text is rejected if its perplexity is above its language's limit; languages
+    counts once.  A text is rejected if its perplexity per byte or per word is above its language's limit; languages
     with few trusted texts, and null, have the limit of all.  Null and empty texts have no
     perplexity and are kept, and all are kept where nothing is trusted.  Rows are independent, so
     repeated ones get equal results.  Columns that have the names of the added ones are replaced.
@@ -191,4 +211,18 @@ def rate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     whole = limits.where("lang is null").first().limit
     rated = score(docs, model, text, "_llm_nats").join(small(own, own.count()), F.col(f"`{lang}`").cast("string") == F.col("_llm_lang"), "left")
     limit = F.coalesce("_llm_own", F.lit(whole))
-    return rated.select(*columns, F.exp("_llm_nats").alias("perplexity"), F.exp(limit).alias("limit"), F.coalesce(F.col("_llm_nats") <= limit, F.lit(True)).alias("kept"))
+    fits = F.coalesce(F.col("_llm_nats") <= limit, F.lit(True))
+    worded = word_nats(docs, keys, key, text, lang)
+    if worded is not None:
+        worded = saved(worded)
+        limits = saved(thresholds(worded.where("trusted").select("lang", "nats"), WORD_UPPER, 1.0))
+        most = limits.where("lang is null").first().limit
+        named = limits.where("lang is not null").select("lang", "limit")
+        odd = worded.join(small(named, named.count()), "lang", "left").where(F.col("nats") > F.coalesce("limit", F.lit(most)))
+        odd = saved(odd.select(F.col("id").alias("_llm_id"), F.col("trusted").alias("_llm_good"), F.col("lang").alias("_llm_odd_lang"), F.lit(True).alias("_llm_odd")))
+        flag = keys.withColumnRenamed("_llm_key", "_llm_good_key").withColumn("_llm_trusted", F.lit(True))
+        rated = rated.withColumn("_llm_hash", F.xxhash64(F.col(f"`{text}`").cast("string"))).join(flag, F.col(f"`{key}`").cast("long") == F.col("_llm_good_key"), "left")
+        same = (F.col("_llm_hash") == F.col("_llm_id")) & (F.coalesce("_llm_trusted", F.lit(False)) == F.col("_llm_good")) & F.col(f"`{lang}`").cast("string").eqNullSafe(F.col("_llm_odd_lang"))
+        rated = rated.join(small(odd, odd.count()), same, "left")
+        fits = fits & F.col("_llm_odd").isNull()
+    return rated.select(*columns, F.exp("_llm_nats").alias("perplexity"), F.exp(limit).alias("limit"), fits.alias("kept"))

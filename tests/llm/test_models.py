@@ -269,6 +269,75 @@ def test_quality_of_odd_tables(spark, edge, nothing):
     assert quality.rate(edge, labels.limit(0)).where("kept").count() == edge.count()
 
 
+def brute_word_nats(trusted, text, own):
+    """Interpolated Kneser-Ney of order 3; for a trusted text (``own``) without what stands in no other one."""
+    pad = lambda t: ["<s>", "<s>", *t.lower().split(), "</s>"]
+    held = [pad(t) for t in trusted]
+    counts = {3: collections.Counter(tuple(v[k : k + 3]) for v in held for k in range(len(v) - 2))}
+    for n in (2, 1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    taken = {n: [max(d, 0.1) for d in quality.discounts(*(sum(v == k for v in c.values()) for k in (1, 2, 3, 4)))] for n, c in counts.items()}
+    totals = {n: collections.defaultdict(lambda: [0, 0.0]) for n in counts}
+    for n, c in counts.items():
+        for g, v in c.items():
+            totals[n][g[:-1]][0] += v
+            totals[n][g[:-1]][1] += taken[n][min(v, 3) - 1]
+    among = collections.Counter(g for v in held for g in {tuple(v[k : k + n]) for n in (1, 2) for k in range(len(v) - n + 1)} | {tuple(v[k : k + 3]) for k in range(len(v) - 2)})
+    lost = lambda g: own and among[g] == 1 and g != ("</s>",)
+
+    def p(g):  # the model's own value
+        if not g:
+            return 1 / (len(counts[1]) + 1)
+        total, mass = totals[len(g)][g[:-1]] if g[:-1] in totals[len(g)] else (1, 1.0)
+        v = counts[len(g)].get(g, 0)
+        return (v - taken[len(g)][min(v, 3) - 1] if v else 0) / total + mass / total * p(g[1:])
+
+    def back(g):  # of a context
+        return np.log(totals[len(g) + 1][g][1] / totals[len(g) + 1][g][0]) if g in totals[len(g) + 1] and not lost(g) else 0.0
+
+    def log_p(g):
+        if not g:
+            return np.log(p(()))
+        below = back(g[:-1]) + log_p(g[1:])
+        seen = g in counts[len(g)] and not lost(g)
+        return below + (np.log(p(g)) - np.log(totals[len(g)][g[:-1]][1] / totals[len(g)][g[:-1]][0] * p(g[1:])) if seen else 0.0)
+
+    v = pad(text)
+    return -np.mean([log_p(tuple(v[k : k + 3])) for k in range(len(v) - 2)])
+
+
+def test_word_perplexity_is_kneser_neys_with_a_text_left_out(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghijkl") + rng.choice("xyz") for _ in range(rng.randrange(1, 12))) for _ in range(80)]
+    texts += [texts[3], "never seen words", "ax"]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    good = spark.createDataFrame([(k,) for k in range(40)], "_llm_key long")
+    got = {(r.id, r.trusted): r.nats for r in quality.word_nats(docs, good, "doc_id", "text", "lang").collect()}
+    for r in docs.select("doc_id", "text", F.xxhash64("text").alias("id")).collect():
+        assert np.isclose(got[r.id, r.doc_id < 40], brute_word_nats(texts[:40], r.text, r.doc_id < 40)), r
+
+
+def test_ordinary_words_in_bad_order_are_rejected(spark):
+    rng = random.Random(4)
+    after = {k: [(k + rng.randrange(1, 60)) % 60 for _ in range(3)] for k in range(60)}
+    words = ["".join(rng.choice("etaoinsh") for _ in range(5)) for _ in range(60)]
+
+    def good():
+        at, out = rng.randrange(60), []
+        for _ in range(60):
+            out.append(words[at])
+            at = rng.choice(after[at])
+        return " ".join(out)
+
+    texts = [good() for _ in range(500)]
+    shuffled = [" ".join(rng.sample(t.split(), 60)) for t in texts[300:340]]
+    repeated = [" ".join([w] * 60) for w in words[:20]]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate([*texts, *shuffled, *repeated])], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1) for k in range(300)], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality.rate(docs, labels).where("kept").collect()}
+    assert len(kept & set(range(300, 500))) >= 190 and not kept & set(range(500, 560))
+
+
 # --- toxicity
 
 
