@@ -5,7 +5,8 @@ nearby lines only and come back after an insertion.  A chunk has two lines at le
 rest at a text's end.  A chunk whose bytes occur earlier (in a smaller key, or further ahead in the
 same text) is removed.
 
-Chunks are counted by hash, combined before the shuffle.  Only for hashes that repeat do the bytes
+Chunks are counted by hash, combined before the shuffle.  The hash covers all bytes, empty lines too, so the
+first of a hash is the first with these bytes.  Only for hashes that repeat do the bytes
 travel: each later chunk is joined with the first of its hash and compared byte by byte.
 Both joins are ordinary ones, whose frequent keys Spark splits.
 """
@@ -50,7 +51,11 @@ def chunks(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     stop = np.array(stops, dtype=np.int64)
     start = np.concatenate([[0], stop[:-1] + 1])
     long = stop - start + 1 >= LINES
-    total = np.concatenate([np.zeros(1, _U), np.cumsum(mix(lines + (np.arange(len(lines)) - np.repeat(start, stop - start + 1)).astype(_U)))])
+    blank = np.zeros(len(lines), dtype=_U)  # empty lines before each line of a chunk but its first
+    blank[1:] = (b.starts[1:] - b.ends[:-1] - 1).astype(_U)
+    blank[start] = 0
+    spaced = np.where(blank > 0, mix(lines ^ mix(blank)), lines)
+    total = np.concatenate([np.zeros(1, _U), np.cumsum(mix(spaced + (np.arange(len(lines)) - np.repeat(start, stop - start + 1)).astype(_U)))])
     hashed = mix(total[stop + 1] - total[start] + (stop - start).astype(_U))
     start, stop = start[long], stop[long]
     return owner[start], b.starts[start], b.ends[stop], hashed[long]

@@ -194,6 +194,12 @@ def test_boundaries_come_back_after_an_insertion(spark):
     assert gone[0] == 0 and gone[1] >= 45
 
 
+def test_other_blank_lines_in_the_first_copy_do_not_keep_the_rest(spark):
+    texts = ["first line\n\nsecond line", *["first line\nsecond line"] * 3, "first line\n\nsecond line"]
+    got = {r.doc_id: r.n_removed for r in lines.remove_repeated_lines(frame(spark, texts)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 2}
+
+
 def test_lines_of_odd_tables(spark, edge, nothing):
     found = lines.remove_repeated_lines(edge)
     assert found.count() == edge.count() and {r.doc_id: r.n_removed for r in found.collect()}[5] == 0
