@@ -15,6 +15,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 import corpus_pipeline
 from cloakframe.llm import neighbours, packing, pieces, private, quality, queries, toxicity
 from cloakframe.llm.tokens import WordTokens
+from cloakframe.llm.words import hashes
 
 SF = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -361,6 +362,17 @@ def test_later_categories_use_earlier_ones():
     assert ((toxicity.predict_chain(chain, flat, owner, 600)[:, 0] > 0.5) == first).all()
 
 
+def test_words_and_limits_come_from_all_labelled_texts(spark):
+    texts = [(k, f"plain words here {'vile' + str(k // 2 % 20) if k % 2 else 'mild' + str(k // 2 % 20)}") for k in range(800)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(800)], "doc_id long, toxic int")
+    ((chosen, _, limit),) = toxicity.train(docs, labels, ["toxic"], sample=30)
+    told = [f"{kind}{k}".encode() for kind in ("vile", "mild") for k in range(20)]
+    assert {int(hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in told} <= set(chosen.tolist())
+    assert 0 < limit < 1
+    assert np.isclose(toxicity.limit_of(np.array([400, 0, -400]), np.array([5, 4, 90]), np.array([5, 1, 0])), (toxicity._sigmoid(2.0) + toxicity._sigmoid(0.005)) / 2)
+
+
 def test_toxicity_of_odd_tables(spark, edge, nothing):
     labels = spark.createDataFrame([(5, 1), (5, 1), (10, 0), (None, 1), (6, 0), (7, None), (99, 1)], "doc_id long, toxic int")
     chain = toxicity.train(edge, labels, ["toxic"])
