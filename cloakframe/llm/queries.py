@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import decontaminate, lines, near_dups, neighbours, oracles, packing, pieces, private, quality, substrings, suffixes, toxicity
+from cloakframe.llm import decontaminate, lines, merkle, near_dups, neighbours, oracles, packing, pieces, private, quality, substrings, suffixes, toxicity
 from cloakframe.llm.stage import bounded_batches
 
 
@@ -70,6 +70,12 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), presented={"text": F.when(tampered, lower).otherwise(F.col("text"))})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -82,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
