@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import decontaminate, lines, merkle, near_dups, neighbours, oracles, packing, pieces, private, quality, substrings, suffixes, toxicity
+from cloakframe.llm import decontaminate, hard_negatives, lines, merkle, near_dups, neighbours, oracles, packing, pieces, private, quality, substrings, suffixes, toxicity
 from cloakframe.llm.stage import bounded_batches
 
 
@@ -76,6 +76,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), presented={"text": F.when(tampered, lower).otherwise(F.col("text"))})
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), lambda id_: id_ % 100 == 0).drop("positive_rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -89,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
