@@ -86,7 +86,7 @@ def bounds(a: Block, k: int, b: Block, rows: np.ndarray, level: int) -> tuple[np
         middle = b.levels[level][0][rows] @ a.levels[level][0][k]
         about = b.levels[level][1][rows] @ a.levels[level][1][k]
         slack = 0.5 + 1e-9 * (np.abs(middle) + about)  # rounding; scores are whole numbers
-        return middle - about - slack, middle + about + slack
+        return np.clip(middle - about - slack, -LONG, LONG), np.clip(middle + about + slack, -LONG, LONG)
 
 
 def scores(a: Block, k: int, b: Block, rows: np.ndarray) -> np.ndarray:

@@ -24,7 +24,8 @@ def brute(rows, is_anchor, scale=256):
             anchors.setdefault(id_, (label, v))
     out = []
     for a, (label, v) in anchors.items():
-        scored = sorted((-sum(x * y for x, y in zip(v, w)), i, lab) for i, lab, w in kept if len(w) == len(v))
+        long = 2**63 - 1
+        scored = sorted((-max(-long, min(long, sum(x * y for x, y in zip(v, w)))), i, lab) for i, lab, w in kept if len(w) == len(v))
         positives = [(i, -s) for s, i, lab in scored if lab == label and i != a][:5]
         for p, ps in positives:
             inside = [(i, -s) for s, i, lab in scored if lab != label and 80 * ps <= -100 * s <= 100 * ps][:5]
