@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,6 +40,8 @@ from cloakframe.llm.words import hashes, list_column, mix, texts_of
 BLOCK_BYTES = 8 << 20
 #: Bytes of text whose hashes share a shard, and whose stretches share a bucket.
 SHARD_BYTES, BUCKET_BYTES = 32 << 20, 8 << 20
+#: Compressed bytes of texts that a task cuts at once.
+CUT_BYTES = 1 << 20
 #: Stretches of one hash beyond which their windows travel singly.
 FREQUENT = 20_000
 #: Bits of the hash that blocks ask by.
@@ -114,10 +117,8 @@ class Texts:
         first = np.concatenate(firsts)
         if not len(first):
             return none
-        starts = np.zeros(len(inside), np.int64)
-        starts[first] = 1
-        count = np.bincount(np.cumsum(starts)[inside] - 1, minlength=len(first))
-        return first, count, np.concatenate(least)
+        end = self.first[np.searchsorted(self.first, first, side="right")] - window + 1
+        return first, np.minimum(np.append(first[1:], n), end) - first, np.concatenate(least)
 
 
 def _pack(*parts: np.ndarray) -> bytes:
@@ -159,7 +160,8 @@ def _texts(batch: pa.RecordBatch, k: int) -> Texts:
 
 
 def _asked(least: np.ndarray) -> np.ndarray:
-    return least >> _U(64 - ASKED_BITS)
+    """Mixed anew, as least hashes crowd at the lower end."""
+    return mix(least) >> _U(64 - ASKED_BITS)
 
 
 def _shards(asked: np.ndarray, shards: int) -> np.ndarray:
@@ -339,9 +341,23 @@ def _sort_stage(window: int):
     return run
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches whose ``column`` has at most ``most`` bytes, or one row."""
+    for batch in batches:
+        size = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        at = 0
+        while at < batch.num_rows:
+            stop, held = at, 0
+            while stop < batch.num_rows and (stop == at or held + size[stop] <= most):
+                held += size[stop]
+                stop += 1
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _cut_stage(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, "_llm_text", CUT_BYTES):
             total, gone, spans, kept = [], [], [], []
             for text, ranges in zip(plain(batch.column("_llm_text")), batch.column("_llm_ranges").to_pylist()):
                 total.append(len(text))
