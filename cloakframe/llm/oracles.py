@@ -77,8 +77,112 @@ select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n
 from words left join kept using (doc_id)
 """
 
+SUFFIX_DEDUP = """
+with texts as (
+  select doc_id, encode(coalesce(text, '')) as b from documents
+), windows as (
+  select doc_id, s, row_number() over (partition by b[s + 1 : s + 100] order by doc_id, s) as nth
+  from (select doc_id, b, unnest(range(0, greatest(octet_length(b) - 99, 0))) as s from texts)
+), later as (
+  select doc_id, s, lag(s) over (partition by doc_id order by s) as previous from windows where nth > 1
+), marked as (
+  select doc_id, s, sum(case when previous is null or s > previous + 100 then 1 else 0 end) over (partition by doc_id order by s) as run from later
+), runs as (
+  select doc_id, min(s) as lo, max(s) + 100 as hi from marked group by doc_id, run
+), gaps as (
+  select doc_id, hi as lo, lead(lo) over (partition by doc_id order by lo) as hi from runs
+  union all
+  select doc_id, 0, min(lo) from runs group by doc_id
+), parts as (
+  select g.doc_id, g.lo, hex(b[g.lo + 1 : coalesce(g.hi, octet_length(b))]) as part from gaps g join texts using (doc_id)
+), kept as (
+  select doc_id, string_agg(part, '' order by lo) as bytes from parts group by doc_id
+), cut as (
+  select doc_id, sum(hi - lo) as n_removed, count(*) as n_spans from runs group by doc_id
+)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(case when bytes is null then b else unhex(bytes) end) as kept_sha256
+from texts left join cut using (doc_id) left join kept using (doc_id)
+"""
+
+
+def _framed(column: str) -> str:
+    return f"case when {column} is null then '-' else octet_length(encode({column}::varchar))::varchar || ':' || {column}::varchar end"
+
+
+_LEAF = " || ".join(map(_framed, ("doc_id", "source", "lang", "n_chars", "text")))
+_TAMPERED = _LEAF.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+#: crc32 bit by bit, then both trees level by level; a path has the siblings of one row on all levels.
+MERKLE_MANIFEST = f"""
+with recursive crc(doc_id, k, c) as (
+  select doc_id, 0, 4294967295::bigint from documents
+  union all
+  select doc_id, k + 1, case when k % 9 = 0 then xor(c, ascii(substr(doc_id::varchar, k // 9 + 1, 1))::bigint)
+    when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end
+  from crc where k < 9 * length(doc_id::varchar)
+), sums as (
+  select doc_id, xor(max_by(c, k), 4294967295) as crc from crc group by doc_id
+), leaves as (
+  select doc_id, source, row_number() over (partition by source order by doc_id) - 1 as place, count(*) over (partition by source) as n,
+    sha256({_LEAF}) as leaf, case when crc % 5 = 0 then sha256({_TAMPERED}) else sha256({_LEAF}) end as shown
+  from documents left join sums using (doc_id)
+), nodes(source, level, place, n, h) as (
+  select source, 0, place, n, leaf from leaves
+  union all
+  select source, level + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' order by place)) from nodes where n > 1 group by source, level, place // 16, n
+), tops as (
+  select source, h as subroot, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n from nodes where n = 1
+), upper(level, place, n, h) as (
+  select 0, place, n, subroot from tops
+  union all
+  select level + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' order by place)) from upper where n > 1 group by level, place // 16, n
+), steps as (
+  select doc_id, d.level, string_agg(h, '' order by d.place) filter (d.place < l.place // (16 ** d.level)::bigint) as before, string_agg(h, '' order by d.place) filter (d.place > l.place // (16 ** d.level)::bigint) as after
+  from leaves l join nodes d on d.source is not distinct from l.source and d.n > 1 and d.place // 16 = l.place // (16 ** (d.level + 1))::bigint
+  group by doc_id, d.level
+  union all
+  select doc_id, 1000 + u.level, string_agg(h, '' order by u.place) filter (u.place < t.place // (16 ** u.level)::bigint), string_agg(h, '' order by u.place) filter (u.place > t.place // (16 ** u.level)::bigint)
+  from leaves l join tops t on t.source is not distinct from l.source join upper u on u.n > 1 and u.place // 16 = t.place // (16 ** (u.level + 1))::bigint
+  group by doc_id, u.level
+), path as (
+  select doc_id, row_number() over (partition by doc_id order by level) as step, coalesce(before, '') as before, coalesce(after, '') as after from steps
+), folded(doc_id, step, h) as (
+  select doc_id, 0, shown from leaves
+  union all
+  select f.doc_id, p.step, sha256(p.before || f.h || p.after) from folded f join path p on p.doc_id = f.doc_id and p.step = f.step + 1
+), ends as (
+  select doc_id, max_by(h, step) as folded_root from folded group by doc_id
+), proofs as (
+  select doc_id, string_agg(before || after, '' order by step) as siblings from path group by doc_id
+)
+select l.doc_id, leaf, subroot, r.h as root, sha256(coalesce(siblings, '')) as proof_sha256, folded_root, folded_root = r.h as verified
+from leaves l join tops t on t.source is not distinct from l.source join upper r on r.n = 1 join ends using (doc_id) left join proofs using (doc_id)
+"""
+
+HARD_NEGATIVES = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same, list_inner_product(a.v, r.v)::bigint as score
+  from rows a join rows r on a.vec_id % 100 = 0 and r.vec_id <> a.vec_id
+), positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, other_id) as rank,
+  other_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5
+"""
+
 ORACLES = {
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op8_decontamination": DECONTAMINATION,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op11_suffix_dedup": SUFFIX_DEDUP,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }
