@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +20,7 @@ def widening_allowed(before: T.DataType, after: T.DataType) -> bool:
     return isinstance(before, T.NumericType) and isinstance(after, T.NumericType)
 
 
-def _schema_issues(original: T.StructType, protected: T.StructType, strict: bool) -> list[tuple]:
+def schema_issues(original: T.StructType, protected: T.StructType, strict: bool) -> list[tuple]:
     """Issues that follow from the two schemas alone."""
     before = {f.name: f.dataType for f in original.fields}
     after = {f.name: f.dataType for f in protected.fields}
@@ -48,17 +49,58 @@ def _schema_issues(original: T.StructType, protected: T.StructType, strict: bool
     return issues
 
 
-def _null_counts(df: DataFrame, names: list[str], side: str) -> DataFrame:
-    """Rows and nulls per column in one aggregation: ``(column, rows, nulls)``."""
-    nulls = [F.count_if(F.col(f"`{n}`").isNull()).alias(f"c{i}") for i, n in enumerate(names)]
-    one = df.agg(F.count("*").alias("rows"), *nulls)
+def fingerprint(df: DataFrame, nulls: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """Rows and nulls per column in one aggregation: ``(*by, column, rows, nulls)``.
+
+    ``nulls`` has a condition per column that tells its nulls; the entry with the empty name counts rows alone.
+    """
+    counts = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(nulls.values())]
+    one = df.groupBy(*by).agg(F.count("*").alias("rows"), *counts)
     entries = [F.struct(F.lit("").alias("column"), F.lit(0).cast("bigint").alias("nulls"))]
-    entries += [
-        F.struct(F.lit(n).alias("column"), F.col(f"c{i}").alias("nulls")) for i, n in enumerate(names)
-    ]
-    return one.select("rows", F.inline(F.array(*entries))).select(
-        "column", F.col("rows").alias(f"{side}_rows"), F.col("nulls").alias(f"{side}_nulls")
+    entries += [F.struct(F.lit(n).alias("column"), F.col(f"c{i}").alias("nulls")) for i, n in enumerate(nulls)]
+    return one.select(*by, "rows", F.inline(F.array(*entries))).select(*by, "column", "rows", "nulls")
+
+
+def null_conditions(names: Sequence[str]) -> dict[str, Column]:
+    return {n: F.col("`" + n.replace("`", "``") + "`").isNull() for n in names}
+
+
+def content_issues(before: DataFrame, after: DataFrame, by: Sequence[str] = (), validate_row_count: bool = True) -> DataFrame:
+    """Issues ``(*by, severity, message, column, details)`` from two fingerprints.
+
+    A group that only one of them has counts as one without rows in the other.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*by, "column", F.col("rows").alias(f"{name}_rows"), F.col("nulls").alias(f"{name}_nulls"))
+
+    both = side(before, "original").join(side(after, "protected"), [*by, "column"], "full").na.fill(
+        0, ["original_rows", "protected_rows", "original_nulls", "protected_nulls"]
+    )
+
+    def details(kind: str) -> Column:
+        return F.create_map(
+            F.lit(f"original_{kind}"), F.col(f"original_{kind}").cast("string"),
+            F.lit(f"protected_{kind}"), F.col(f"protected_{kind}").cast("string"),
+        ).alias("details")
+
+    gained = both.filter("column <> '' AND original_nulls = 0 AND protected_nulls > 0").select(
+        *by,
+        F.lit(WARNING).alias("severity"),
+        F.format_string("Column '%s' gained null values after protection", "column").alias("message"),
+        "column",
+        details("nulls"),
+    )
+    if not validate_row_count:
+        return gained
+    rows = both.filter("column = '' AND original_rows <> protected_rows").select(
+        *by,
+        F.lit(ERROR).alias("severity"),
+        F.format_string("Row count mismatch: %d -> %d", "original_rows", "protected_rows").alias("message"),
+        F.lit(None).cast("string").alias("column"),
+        details("rows"),
     )
+    return gained.unionByName(rows)
 
 
 def schema_check(
@@ -76,31 +118,10 @@ def schema_check(
         raise ValueError("exactly one of strict_types and allow_type_widening must be set")
     spark = original.sparkSession
     fixed = spark.createDataFrame(
-        _schema_issues(original.schema, protected.schema, strict_types), ISSUE_SCHEMA
-    )
-    shared = [c for c in original.columns if c in set(protected.columns)]
-    both = _null_counts(original, shared, "original").join(_null_counts(protected, shared, "protected"), "column")
-
-    def details(kind: str):
-        return F.create_map(
-            F.lit(f"original_{kind}"), F.col(f"original_{kind}").cast("string"),
-            F.lit(f"protected_{kind}"), F.col(f"protected_{kind}").cast("string"),
-        ).alias("details")
-
-    rows = both.filter("column = '' AND original_rows <> protected_rows").select(
-        F.lit(ERROR).alias("severity"),
-        F.format_string("Row count mismatch: %d -> %d", "original_rows", "protected_rows").alias("message"),
-        F.lit(None).cast("string").alias("column"),
-        details("rows"),
-    )
-    gained = both.filter("column <> '' AND original_nulls = 0 AND protected_nulls > 0").select(
-        F.lit(WARNING).alias("severity"),
-        F.format_string("Column '%s' gained null values after protection", "column").alias("message"),
-        "column",
-        details("nulls"),
+        schema_issues(original.schema, protected.schema, strict_types), ISSUE_SCHEMA
     )
-    issues = fixed.unionByName(gained)
-    return issues.unionByName(rows) if validate_row_count else issues
+    shared = null_conditions([c for c in original.columns if c in set(protected.columns)])
+    return fixed.unionByName(content_issues(fingerprint(original, shared), fingerprint(protected, shared), (), validate_row_count))
 
 
 def is_valid(issues: DataFrame) -> DataFrame:

@@ -5,19 +5,23 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cloakframe.operators.detect import Detector
 from cloakframe.operators.protect import FINDINGS, token_pairs_of
+from cloakframe.operators.schema_check import ERROR, ISSUE_SCHEMA, content_issues, fingerprint, null_conditions, schema_issues
 from cloakframe.operators.vault import append_pairs
 from cloakframe.plans import audit as audit_log
+from cloakframe.plans.layout import partition_folder, partition_value
 from cloakframe.plans.policy import Policy
-from cloakframe.plans.scratch import qualified, remove, scratch_path
+from cloakframe.plans.scratch import exists, qualified, remove, scratch_path
 from cloakframe.plans.secrets import Secrets
 from cloakframe.sources import csv as csv_source
 from cloakframe.sources import json as json_source
@@ -26,6 +30,7 @@ from cloakframe.sources import parquet as parquet_source
 
 SOURCE = "_source"
 ROW_RESULTS = "_pairs"
+NULLS = "_nulls"
 
 
 @dataclass(frozen=True)
@@ -47,47 +52,49 @@ def gate_files(
 ) -> tuple[list[Group], DataFrame]:
     """Groups of files that may be read, and the quarantine of those that may not.
 
-    The driver sees one small row per file, as Spark's own file index does.
+    Contents are looked at in tasks, a job or two per format whatever the number of files; the driver
+    sees one small row per file, as Spark's own file index does.
     """
-    listed = lake.classify_files(spark, path)
-    rows = listed.select("path", "format", "error").collect()
+    groups, refused, _ = _gated(spark, path, delimiter, records_path)
+    return groups, spark.createDataFrame(refused, lake.QUARANTINE_SCHEMA)
+
+
+def _gated(
+    spark: SparkSession, path: str, delimiter: str = ",", records_path: str | None = None
+) -> tuple[list[Group], list[tuple[str, str, str]], dict[str, int]]:
+    """Groups, refused files (path, stage, error), and the milliseconds of both gates."""
+    started = time.monotonic()
+    rows = lake.classify_files(spark, path).select("path", "format", "error").collect()
+    received = time.monotonic()
     refused = [(r.path, "receive", r.error) for r in rows if r.error]
     by_format: dict[str, list[str]] = {}
     for r in rows:
         if not r.error:
             by_format.setdefault(r.format, []).append(r.path)
-    groups: dict[tuple, list[str]] = {}
-    if paths := by_format.get("csv"):
-        for r in csv_source.csv_files(spark, paths, delimiter).collect():
+    groups: dict[Group, list[str]] = {}
+
+    def sort_in(found: list[Row], group_of: Callable[[Row], Group]) -> None:
+        for r in found:
             if r.error:
                 refused.append((r.path, "validate", r.error))
             else:
-                groups.setdefault(("csv", r.delimiter, r.header, r.multi_line), []).append(r.path)
+                groups.setdefault(group_of(r), []).append(r.path)
+
+    if paths := by_format.get("csv"):
+        sort_in(csv_source.csv_files(spark, paths, delimiter).collect(), lambda r: Group("csv", (), delimiter=r.delimiter, header=r.header, multi_line=r.multi_line))
     if paths := by_format.get("json"):
-        for r in json_source.json_files(spark, paths, records_path).collect():
-            if r.error:
-                refused.append((r.path, "validate", r.error))
-            else:
-                groups.setdefault(("json", r.shape, r.records_path, r.layout), []).append(r.path)
+        sort_in(json_source.json_files(spark, paths, records_path).collect(), lambda r: Group("json", (), shape=r.shape, records_path=r.records_path, layout=r.layout or ""))
     if paths := by_format.get("parquet"):
-        for r in parquet_source.parquet_files(spark, paths).collect():
-            if r.error:
-                refused.append((r.path, "validate", r.error))
-            else:
-                # Its footer tells a file's layout, and whether it can be read at all.
-                try:
-                    groups.setdefault(("parquet", spark.read.parquet(r.path).schema.json()), []).append(r.path)
-                except (PySparkException, Py4JJavaError):
-                    refused.append((r.path, "validate", "Failed to read Parquet"))
-    out = []
-    for k, paths in groups.items():
-        if k[0] == "csv":
-            out.append(Group("csv", tuple(paths), delimiter=k[1], header=k[2], multi_line=k[3]))
-        elif k[0] == "json":
-            out.append(Group("json", tuple(paths), shape=k[1], records_path=k[2], layout=k[3] or ""))
-        else:
-            out.append(Group("parquet", tuple(paths), layout=k[1]))
-    return out, spark.createDataFrame(refused, lake.QUARANTINE_SCHEMA)
+        found = parquet_source.parquet_files(spark, paths).collect()
+        unopened = [r.path for r in found if not r.error and r.layout is None]
+        told = [Row(path=p, error=None if layout else "Failed to read Parquet", layout=layout) for p, layout in parquet_source.schemas_of(spark, unopened)]
+        sort_in([*(r for r in found if r.error or r.layout is not None), *told], lambda r: Group("parquet", (), layout=r.layout))
+    took = {"receive": _ms(started, received), "validate": _ms(received)}
+    return [replace(g, paths=tuple(paths)) for g, paths in groups.items()], refused, took
+
+
+def _ms(start: float, end: float | None = None) -> int:
+    return int(((time.monotonic() if end is None else end) - start) * 1000)
 
 
 def read_group(spark: SparkSession, group: Group) -> DataFrame:
@@ -102,9 +109,9 @@ def read_group(spark: SparkSession, group: Group) -> DataFrame:
         return csv_source.read_csv(spark, paths, group.delimiter, multi_line=group.multi_line, mark_bad_rows=group.multi_line, with_path=SOURCE)
     if group.format == "json":
         if group.shape == "ndjson":
-            raw = spark.read.json(paths)
+            raw = spark.read.options(**json_source.ANY_LENGTH).json(paths)
             return lake.flatten_structs(raw.select("*", path_of))
-        raw = spark.read.option("multiLine", True).json(paths)
+        raw = spark.read.options(**json_source.ANY_LENGTH, multiLine=True).json(paths)
         if group.records_path:
             raw = raw.select(F.explode(F.col(group.records_path)).alias("rec"), path_of).select("rec.*", SOURCE)
             return lake.flatten_structs(raw)
@@ -126,11 +133,12 @@ def read_lake(spark: SparkSession, path: str, **options) -> dict[str, DataFrame]
 
 
 def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None:
-    writer = df.write.mode("append").partitionBy("source_key")
+    """Output by source key; a key that is processed again replaces what it wrote before."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_key")
     if group.format == "csv":
         (
             writer.option("header", True)
-            .option("sep", group.delimiter if keep_delimiter else ",")
+            .option("sep", _output_delimiter(group, keep_delimiter))
             .option("escape", '"')
             .option("emptyValue", "")
             .option("ignoreLeadingWhiteSpace", False)
@@ -143,6 +151,21 @@ def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None
         writer.option("compression", "snappy").parquet(path)
 
 
+def _output_delimiter(group: Group, keep_delimiter: bool) -> str:
+    return group.delimiter if keep_delimiter else ","
+
+
+def _read_written(spark: SparkSession, group: Group, folders: list[str], keep_delimiter: bool) -> DataFrame:
+    """The output of some keys as its reader sees it, with ``source_key`` from the folder's name."""
+    if group.format == "csv":
+        df = csv_source.read_csv(spark, folders, _output_delimiter(group, keep_delimiter), multi_line=group.multi_line, with_path=SOURCE)
+    elif group.format == "json":
+        df = spark.read.options(**json_source.ANY_LENGTH).json(folders).select("*", lake.source_path().alias(SOURCE))
+    else:
+        df = spark.read.parquet(*folders).select("*", lake.source_path().alias(SOURCE))
+    return df.withColumn("source_key", partition_value(F.col(SOURCE), "source_key")).drop(SOURCE)
+
+
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
 
 
@@ -174,6 +197,9 @@ def protect_files(
     keep_delimiter: bool = False,
     stringify_all: bool = False,
     bucket: str = "lake",
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    strict_types: bool = False,
+    validate_row_count: bool = True,
     **gate_options,
 ) -> DataFrame:
     """Protect every supported file below ``source`` into ``target/protected``.
@@ -183,6 +209,12 @@ def protect_files(
     row per file, ``source_key, rows, error``, also kept in ``target/runs``;
     ``audit.run_summary`` counts them.  Every file has an audit row.
 
+    ``finish`` is a last step on the protected rows of each group (drop or blank a column, say); it must
+    keep ``source_key``.  What was written is then read back and compared with the input, file by file:
+    columns, order, types, rows and nulls.  Issues go to ``target/schema_issues``; a file with an
+    issue of severity ``error`` loses its output and goes to quarantine.  ``strict_types`` makes every
+    change of a type an error.
+
     Detection runs once per row: its result is staged as a table, from which
     the output, the vault pairs and the audit counts are read.  The stage is
     removed at the end, also after a failure; it holds vault pairs only if a
@@ -191,7 +223,8 @@ def protect_files(
     request = uuid.uuid4().hex
     root = root_of(spark, source)
     run_path, work = f"{target}/runs/run={request}", scratch_path(spark, "protected")
-    groups, quarantine = gate_files(spark, source, **gate_options)
+    groups, refused, gate_ms = _gated(spark, source, **gate_options)
+    quarantine = spark.createDataFrame(refused, lake.QUARANTINE_SCHEMA)
 
     def done(per_file: DataFrame) -> None:
         if audit_path:
@@ -202,13 +235,13 @@ def protect_files(
         """Files (path, stage, error) that are not protected."""
         files.write.mode("append").parquet(f"{target}/quarantine")
         keys = files.select(key_of(F.col("path"), root).alias("source_key"), F.upper(F.coalesce(lake.file_format(F.col("path")), F.lit("unknown"))).alias("file_format"), "error")
-        done(_audit_rows(keys, None, request, bucket, {}))
+        done(_audit_rows(keys, None, request, bucket, gate_ms))
 
     def run(group: Group) -> None:
         started = time.monotonic()
         path = f"{work}/{uuid.uuid4().hex}"
         try:
-            staged = _stage(spark, group, root, policy, secrets, detector, stringify_all, bool(vault_path), path)
+            staged, original = _stage(spark, group, root, policy, secrets, detector, stringify_all, bool(vault_path), path)
         except (PySparkException, Py4JJavaError) as error:
             if len(group.paths) > 1:
                 half = len(group.paths) // 2
@@ -217,21 +250,46 @@ def protect_files(
             else:
                 refuse(spark.createDataFrame([(group.paths[0], "process", type(error).__name__)], lake.QUARANTINE_SCHEMA))
             return
-        staged_ms = int((time.monotonic() - started) * 1000)
+        took = gate_ms | {"protect": _ms(started)}
         paths = list(group.paths)
+
+        def turn_away(reasons: dict[str, str], stage: str) -> None:
+            """Files of this group that go to quarantine after all."""
+            nonlocal paths, staged
+            refuse(spark.createDataFrame([(p, stage, reasons[p]) for p in sorted(reasons)], lake.QUARANTINE_SCHEMA))
+            paths = [p for p in paths if p not in reasons]
+            staged = staged.where(~F.col(SOURCE).isin(*reasons))
+
         if csv_source.BAD_ROW in staged.columns:
             bad = {r[SOURCE] for r in staged.where(F.col(csv_source.BAD_ROW).isNotNull()).select(SOURCE).distinct().collect()}
             if bad:
-                refuse(spark.createDataFrame([(p, "validate", "A row has another number of columns than the header") for p in sorted(bad)], lake.QUARANTINE_SCHEMA))
-                paths = [p for p in paths if p not in bad]
-                staged = staged.where(~F.col(SOURCE).isin(*bad))
+                turn_away(dict.fromkeys(bad, "A row has another number of columns than the header"), "validate")
+        started = time.monotonic()
+        final = staged.drop(FINDINGS, ROW_RESULTS, SOURCE, csv_source.BAD_ROW, NULLS)
+        folder = f"{target}/protected/{group.format}"
+        _write(finish(final) if finish else final, group, folder, keep_delimiter)
+        took["output"] = _ms(started)
+        started = time.monotonic()
+        before = fingerprint(staged, {n: F.get(NULLS, F.lit(i)) for i, n in enumerate(original.names)}, ["source_key", SOURCE])
+        before.write.parquet(f"{path}-before")
+        before = spark.read.schema(before.schema).parquet(f"{path}-before")
+        keys = {r.source_key: r[SOURCE] for r in before.select("source_key", SOURCE).distinct().collect()}
+        folders = [f for f in (f"{folder}/{partition_folder('source_key', k)}" for k in sorted(keys)) if exists(spark, f)]
+        found = _schema_check(spark, group, folders, original, before.drop(SOURCE), sorted(keys), keep_delimiter, strict_types, validate_row_count)
+        found.write.mode("append").parquet(f"{target}/schema_issues/run={request}")
+        failed = spark.read.schema(FILE_ISSUES).parquet(f"{target}/schema_issues/run={request}").where(F.col("severity") == ERROR)
+        failed = failed.where(F.col("source_key").isin(*keys)) if keys else failed.limit(0)
+        failed = failed.groupBy("source_key").agg(F.array_join(F.array_sort(F.collect_list("message")), "; ").alias("error")).collect()
+        for r in failed:
+            remove(spark, f"{folder}/{partition_folder('source_key', r.source_key)}")
+        if failed:
+            turn_away({keys[r.source_key]: r.error for r in failed}, "schema_check")
+        took["schema_check"] = _ms(started)
         if vault_path:
             append_pairs(vault_path, staged.select(F.explode(ROW_RESULTS).alias("p")).select("p.*"))
-        _write(staged.drop(FINDINGS, ROW_RESULTS, SOURCE, csv_source.BAD_ROW), group, f"{target}/protected/{group.format}", keep_delimiter)
-        took = int((time.monotonic() - started) * 1000)
         if paths:
-            keys = spark.createDataFrame([(p,) for p in paths], "path string").select(key_of(F.col("path"), root).alias("source_key"), F.lit(group.format.upper()).alias("file_format"), F.lit(None).cast("string").alias("error"))
-            done(_audit_rows(keys, staged, request, bucket, {"protect": staged_ms, "output": took - staged_ms}))
+            keyed = spark.createDataFrame([(p,) for p in paths], "path string").select(key_of(F.col("path"), root).alias("source_key"), F.lit(group.format.upper()).alias("file_format"), F.lit(None).cast("string").alias("error"))
+            done(_audit_rows(keyed, staged, request, bucket, took))
 
     try:
         refuse(quarantine)
@@ -252,17 +310,50 @@ def _stage(
     stringify_all: bool,
     pairs: bool,
     path: str,
-) -> DataFrame:
-    raw = read_group(spark, group).withColumn("source_key", key_of(F.col(SOURCE), root))
+) -> tuple[DataFrame, T.StructType]:
+    """Protected rows as a table, with what is null in the input, and the schema of that."""
     own = (SOURCE, "source_key", csv_source.BAD_ROW)
+    raw = read_group(spark, group).withColumn("source_key", key_of(F.col(SOURCE), root))
     text = [c for c in raw.columns if c not in own]
+    original = T.StructType([f for f in raw.schema.fields if f.name in text])
+    raw = raw.withColumn(NULLS, F.array(*null_conditions(text).values()) if text else F.array().cast("array<boolean>"))
     if stringify_all:
-        raw = lake.stringify(raw)
+        raw = lake.stringify(raw, keep=(*own, NULLS))
     done = token_pairs_of(raw, policy, secrets, detector, columns=text, pairs_column=ROW_RESULTS)
     if not pairs:
         done = done.drop(ROW_RESULTS)
     done.write.parquet(path)
-    return spark.read.schema(done.schema).parquet(path)
+    return spark.read.schema(done.schema).parquet(path), original
+
+
+FILE_ISSUES = f"source_key string, {ISSUE_SCHEMA}"
+
+
+def _schema_check(
+    spark: SparkSession,
+    group: Group,
+    folders: list[str],
+    original: T.StructType,
+    before: DataFrame,
+    keys: list[str],
+    keep_delimiter: bool,
+    strict_types: bool,
+    validate_row_count: bool,
+) -> DataFrame:
+    """Issues of every file of a group: its schema, and one aggregation over what was written."""
+    if not folders:
+        written, after = original, before.limit(0)
+    else:
+        df = _read_written(spark, group, folders, keep_delimiter)
+        written = T.StructType([f for f in df.schema.fields if f.name != "source_key"])
+        if group.format == "json":  # an object has no order, and the reader sorts by name
+            at = {n: i for i, n in enumerate(original.names)}
+            written = T.StructType(sorted(written.fields, key=lambda f: at.get(f.name, len(at))))
+        shared = null_conditions([n for n in original.names if n in set(written.names)])
+        after = fingerprint(df, shared, ["source_key"])
+    fixed = [(k, *issue) for k in keys for issue in schema_issues(original, written, strict_types)]
+    shown = spark.createDataFrame(fixed, FILE_ISSUES)
+    return shown.unionByName(content_issues(before.where(F.col("column").isin("", *written.names)), after, ["source_key"], validate_row_count))
 
 
 def _counts(staged: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -13,125 +14,199 @@ from cloakframe.sources.lake import flatten_structs, source_path
 # Keys that hold the records of a wrapped file, in order.
 RECORD_KEYS = ("records", "data", "items", "results", "rows")
 
+#: Reader options: a text in a record may be as long as a row can hold, where the parser would stop at 20 MB.
+ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+
 
 def _is_object(v: Column) -> Column:
     return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
 
 
+def _unsure(text: Column, v: Column) -> Column:
+    """Starts like an object, but is no variant: too large for one, of repeated keys, or no JSON."""
+    return v.isNull() & F.json_object_keys(text).isNotNull()
+
+
+def _field_paths(value, at: str, out: set[str]) -> set[str]:
+    """Every path in a value with the type it has there."""
+    if isinstance(value, dict):
+        for k, v in value.items():
+            _field_paths(v, f"{at}.{k}", out)
+    elif isinstance(value, list):
+        for v in value:
+            _field_paths(v, f"{at}[]", out)
+    if not value or not isinstance(value, (dict, list)):
+        out.add(f"{at}:{type(value).__name__}")
+    return out
+
+
+def _parsed_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Field paths of each object; none for what is no JSON object after all."""
+
+    def paths(text: str) -> list[str] | None:
+        try:
+            value = json.loads(text)
+        except ValueError:
+            return None
+        return sorted(_field_paths(value, "", set())) if isinstance(value, dict) else None
+
+    for batch in batches:
+        yield pd.DataFrame({"path": batch["path"], "fields": [paths(t) for t in batch["value"]]})
+
+
+def _settled(values: DataFrame) -> dict[str, tuple[int, list[str]]]:
+    """Per file of unsure values (path, value): how many are objects, and the field paths of all of them."""
+    parsed = values.select("path", "value").mapInPandas(_parsed_paths, "path string, fields array<string>")
+    # A field path per file and task is what the aggregation holds, not one per value.
+    counted = parsed.where("fields is not null").select("path", F.posexplode("fields").alias("k", "field")).groupBy("path", "field").agg(F.count_if(F.col("k") == 0).alias("n"))
+    files = counted.groupBy("path").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("field")).alias("fields"))
+    return {r.path: (r.n, r.fields) for r in files.collect()}
+
+
+def _layout(schema: str | None, fields: list[str]) -> str | None:
+    """What files must share to be read together: the schema of all variants, and the fields of the other objects."""
+    return "\n".join([schema or "", *fields]) if schema or fields else None
+
+
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    lines = spark.read.text(paths).select(source_path().alias("path"), "value", F.try_parse_json("value").alias("v"))
+    return lines.withColumn("unsure", _unsure(F.col("value"), F.col("v")))
+
+
 def line_shapes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Per file: filled lines, how many are objects, and encoding; splittable."""
-    v = F.try_parse_json("value")
+    """Per file: filled lines, how many are objects or unsure, encoding and layout; splittable."""
+    is_object = F.coalesce(_is_object(F.col("v")), F.lit(False))
     return (
-        spark.read.text(paths)
-        .select(
-            source_path().alias("path"),
-            F.is_valid_utf8("value").alias("utf8"),
-            F.col("value").rlike(r"\S").alias("filled"),
-            v.alias("v"),
-            F.coalesce(_is_object(v), F.lit(False)).alias("object"),
-            F.monotonically_increasing_id().alias("line"),
-        )
+        _lines(spark, paths)
+        .withColumns({"utf8": F.is_valid_utf8("value"), "filled": F.col("value").rlike(r"\S"), "object": is_object})
         .groupBy("path")
         .agg(
             F.count_if("filled").alias("lines"),
             F.count_if(F.col("filled") & F.col("object")).alias("objects"),
             F.bool_and("utf8").alias("utf8"),
-            F.count_if(F.col("filled") & ~F.col("object")).alias("others"),
+            F.count_if("unsure").alias("unsure"),
             F.schema_of_variant_agg(F.when(F.col("object"), F.col("v"))).alias("layout"),
         )
     )
 
 
-def document_shapes(
-    spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
-) -> DataFrame:
-    """Shape of files that are one JSON document: ``(path, shape, records_path, error, layout)``.
+def _documents(spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None) -> DataFrame:
+    """One row per file and record, or one for a file without: ``(path, shape, records_path, error, value, v)``.
 
     A document is one value and cannot be split, so each is parsed in one task,
     as Spark's own multi-line reader does.
     """
-    docs = spark.read.text(paths, wholetext=True).select(source_path().alias("path"), "value")
-    # Functions that read the text as a stream: a parsed variant has a size limit.
-    size, own_keys = F.json_array_length("value"), F.json_object_keys("value")
-    is_array, is_object = size.isNotNull(), own_keys.isNotNull()
+    docs = spark.read.text(paths, wholetext=True).select(source_path().alias("path"), F.col("value").alias("document"))
+    # Functions that read the text as a stream: a parsed variant has a size limit.  What several
+    # columns need is a column itself, so a document is not parsed again for each of them.
+    docs = docs.withColumns({"size": F.json_array_length("document"), "own_keys": F.json_object_keys("document")})
+    is_array, is_object = F.col("size").isNotNull(), F.col("own_keys").isNotNull()
 
     def members(text: Column) -> Column:
-        return F.from_json(text, "array<string>")
+        return F.from_json(text, "array<string>", ANY_LENGTH)
 
-    def all_objects(text: Column) -> Column:
-        return F.forall(members(text), lambda x: x.isNotNull() & F.json_object_keys(x).isNotNull())
+    def all_objects(values: Column) -> Column:
+        return F.coalesce(F.forall(values, lambda x: x.isNotNull() & F.json_object_keys(x).isNotNull()), F.lit(False))
 
-    shape = F.when(is_array, "array").when(is_object, "nested")
     if records_path:
-        inner = F.get_json_object("value", f"$.{records_path}")
-        found = F.when(F.json_array_length(inner).isNotNull(), F.lit(records_path))
-        nested_error = F.when(inner.isNull(), f"Path '{records_path}' not found in JSON").when(
-            F.json_array_length(inner).isNull(), f"Path '{records_path}' is not an array"
+        inner = F.get_json_object("document", f"$.{records_path}")
+        docs = docs.withColumn("inner", F.when(is_object, inner)).withColumn("records", members(F.when(is_array, F.col("document")).otherwise(F.col("inner"))))
+        listed = F.json_array_length("inner").isNotNull()
+        found = F.when(listed, F.lit(records_path))
+        nested_error = F.when(F.col("inner").isNull(), f"Path '{records_path}' not found in JSON").when(
+            ~listed, f"Path '{records_path}' is not an array"
         )
     else:
         # Preferred keys first, then the file's own order.
-        entries = F.from_json("value", "map<string,string>")
-        keys = F.array_union(F.array(*map(F.lit, RECORD_KEYS)), own_keys)
+        docs = docs.withColumn("entries", F.when(is_object, F.from_json("document", "map<string,string>", ANY_LENGTH)))
+        keys = F.array_union(F.array(*map(F.lit, RECORD_KEYS)), F.col("own_keys"))
 
         def holds_records(k: Column) -> Column:
-            inner = F.try_element_at(entries, k)
-            return F.coalesce((F.json_array_length(inner) > 0) & all_objects(inner), F.lit(False))
+            inner = F.try_element_at(F.col("entries"), k)
+            return F.coalesce((F.json_array_length(inner) > 0) & all_objects(members(inner)), F.lit(False))
 
-        found = F.get(F.filter(keys, holds_records), F.lit(0))
+        docs = docs.withColumn("found", F.when(is_object, F.get(F.filter(keys, holds_records), F.lit(0))))
+        docs = docs.withColumn("records", members(F.when(is_array, F.col("document")).otherwise(F.try_element_at("entries", F.col("found")))))
+        found = F.col("found")
         nested_error = F.when(
             found.isNull(), "No records array found. Specify records_path or use array format"
         )
     error = (
-        F.when(~F.col("value").rlike(r"\S"), "File is empty")
-        .when(is_array & (size == 0), "Empty JSON array")
-        .when(is_array & ~F.coalesce(all_objects(F.col("value")), F.lit(False)), "Array must contain only objects")
+        F.when(~F.col("document").rlike(r"\S"), "File is empty")
+        .when(is_array & (F.col("size") == 0), "Empty JSON array")
+        .when(is_array & ~all_objects(F.col("records")), "Array must contain only objects")
         .when(is_object, nested_error)
-        .when(~is_array & F.col("value").rlike(r"^\s*(?:\"(?:[^\"\\\\]|\\\\.)*\"|-?[0-9][0-9.eE+-]*|true|false|null)\s*$"), "JSON must be an array or object")
+        .when(~is_array & F.col("document").rlike(r"^\s*(?:\"(?:[^\"\\\\]|\\\\.)*\"|-?[0-9][0-9.eE+-]*|true|false|null)\s*$"), "JSON must be an array or object")
         .when(~is_array, "Invalid JSON")
     )
-    return docs.select(
-        "path",
-        shape.alias("shape"),
-        F.when(is_object, found).alias("records_path"),
-        error.alias("error"),
-        F.schema_of_variant(F.try_parse_json("value")).alias("layout"),
+    shape = F.when(is_array, "array").when(is_object, "nested")
+    told = docs.select("path", shape.alias("shape"), F.when(is_object, found).alias("records_path"), error.alias("error"), "records")
+    each = told.select("path", "shape", "records_path", "error", F.explode_outer("records").alias("value"))
+    return each.withColumn("v", F.try_parse_json("value"))
+
+
+def document_shapes(
+    spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
+) -> DataFrame:
+    """Shape of files that are one JSON document: ``(path, shape, records_path, error, layout, unsure)``."""
+    return (
+        _documents(spark, paths, records_path)
+        .groupBy("path", "shape", "records_path", "error")
+        .agg(F.schema_of_variant_agg("v").alias("layout"), F.count_if(_unsure(F.col("value"), F.col("v"))).alias("unsure"))
     )
 
 
+JSON_FILES = "path string, shape string, records_path string, error string, layout string"
+
+
 def json_files(
     spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
 ) -> DataFrame:
     """One row per file: ``(path, shape, records_path, error, layout)``.
 
-    ``layout`` tells files of different fields apart; it is null for documents
-    too large for a variant, which are read like any other.
+    ``layout`` tells files of different fields apart.  It is gathered record by
+    record, so no size of a file or a record changes it: variants are merged by
+    their schema, and the few objects that are none add their field paths.
 
     Files whose filled lines are all objects are NDJSON, without parsing any
     of them whole; a single object only counts as such in an ``.ndjson`` file.
     A file in which most lines are objects is NDJSON with bad lines, and refused.
     """
-    lines = line_shapes(spark, paths)
-    named = F.endswith(F.lower("path"), F.lit(".ndjson"))
-    by_line = named | ((F.col("objects") > 1) & (F.col("objects") > F.col("others")))
-    line_error = (
-        F.when(~F.col("utf8"), "Invalid encoding")
-        .when(F.col("lines") == 0, "File is empty")
-        .when(F.col("others") > 0, F.format_string("%d lines are not JSON objects", F.col("others")))
-    )
-    ndjson = lines.filter(by_line | ~F.col("utf8") | (F.col("lines") == 0)).select(
-        "path",
-        F.lit("ndjson").alias("shape"),
-        F.lit(None).cast("string").alias("records_path"),
-        line_error.alias("error"),
-        "layout",
-    )
-    # The driver lists files anyway; only these are small enough to be documents.
-    rest = [r.path for r in lines.filter(~by_line & F.col("utf8") & (F.col("lines") > 0)).select("path").collect()]
-    return ndjson.unionByName(document_shapes(spark, rest, records_path)) if rest else ndjson
+    lines = line_shapes(spark, paths).collect()
+
+    def by_line(r, objects: int) -> bool:
+        return r.path.lower().endswith(".ndjson") or (objects > 1 and 2 * objects > r.lines)
+
+    doubtful = [r.path for r in lines if r.unsure and by_line(r, r.objects + r.unsure)]
+    sure = _settled(_lines(spark, doubtful).where("unsure")) if doubtful else {}
+    out, rest = [], []
+    for r in lines:
+        more, fields = sure.get(r.path, (0, []))
+        objects = r.objects + more
+        if r.utf8 and r.lines and not by_line(r, objects):
+            rest.append(r.path)
+            continue
+        error = None
+        if not r.utf8:
+            error = "Invalid encoding"
+        elif not r.lines:
+            error = "File is empty"
+        elif objects < r.lines:
+            error = f"{r.lines - objects} lines are not JSON objects"
+        out.append((r.path, "ndjson", None, error, _layout(r.layout, fields)))
+    if rest:
+        found = document_shapes(spark, rest, records_path).collect()
+        doubtful = [r.path for r in found if r.unsure and not r.error]
+        sure = {}
+        if doubtful:
+            records = _documents(spark, doubtful, records_path)
+            sure = _settled(records.where(_unsure(F.col("value"), F.col("v"))))
+        out += [(r.path, r.shape, r.records_path, r.error, _layout(r.layout, sure.get(r.path, (0, []))[1])) for r in found]
+    return spark.createDataFrame(out, JSON_FILES)
 
 
 def read_ndjson(spark: SparkSession, paths: str | Sequence[str], flatten: bool = True) -> DataFrame:
-    df = spark.read.json(paths)
+    df = spark.read.options(**ANY_LENGTH).json(paths)
     return flatten_structs(df) if flatten else df
 
 
@@ -142,7 +217,7 @@ def read_json(
     flatten: bool = True,
 ) -> DataFrame:
     """A file that is an array of objects, or an object holding one at ``records_path``."""
-    df = spark.read.option("multiLine", True).json(paths)
+    df = spark.read.options(**ANY_LENGTH, multiLine=True).json(paths)
     if records_path:
         df = df.select(F.explode(F.col(records_path)).alias("rec")).select("rec.*")
     return flatten_structs(df) if flatten else df

@@ -246,7 +246,7 @@ def test_file_job_on_a_mixed_lake(spark, tmp_path):
     }
     assert results.count() == 12 and set(os.listdir(shared_folder(spark))) == before
     log = spark.read.parquet(f"{tmp_path}/audit")
-    assert log.count() == 12 and log.where("not success").count() == 5 and set(log.where("success").first().stage_durations) == {"protect", "output"}
+    assert log.count() == 12 and log.where("not success").count() == 5 and set(log.where("success").first().stage_durations) == {"receive", "validate", "protect", "schema_check", "output"}
     one = {r.value for r in spark.read.text(f"{out}/protected/json/source_key=one.ndjson").collect()}
     assert one == {'{"a":1}', '{"a":2}'}
     assert "example.org" not in str([r for f in ("csv", "json") for r in spark.read.text(f"{out}/protected/{f}").collect()])
@@ -281,3 +281,74 @@ def test_file_profile(spark, tmp_path):
     spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/p")
     r = lake.file_profile(spark.read.parquet(f"{tmp_path}/p")).first()
     assert (r.row_count, r.column_count, r.columns, r.schema) == (5, 1, ["id"], {"id": "bigint"}) and r.size_bytes > 0
+
+
+def test_layouts_do_not_depend_on_size(spark, tmp_path):
+    long, src = "x" * 10_000_000, f"{tmp_path}/in"
+    for name in ("a", "b"):  # documents beyond what one variant may hold, of records that each are none too large
+        put(src, f"{name}.json", "[" + ",".join('{"%s":"%s"}' % (name, long) for _ in range(14)) + "]")
+    put(src, "line.ndjson", '{"k":1}\n{"k":2,"t":"' + long * 14 + '"}\n')
+    put(src, "twice.ndjson", '{"k":1,"k":2}\n')
+    put(src, "quotes.ndjson", "{'k':1}\n{\"k\":2}\n")
+    got = {r.path.split("/")[-1]: r for r in json_source.json_files(spark, src).collect()}
+    assert got["a.json"].layout == "OBJECT<a: STRING>" and got["b.json"].layout == "OBJECT<b: STRING>"
+    assert got["line.ndjson"].error is None and got["line.ndjson"].layout.split("\n") == ["OBJECT<k: BIGINT>", ".k:int", ".t:str"]
+    assert got["twice.ndjson"].error is None and got["quotes.ndjson"].error == "1 lines are not JSON objects"
+    groups, refused = gate_files(spark, src)
+    assert sorted(len(g.paths) for g in groups) == [1, 1, 1, 1] and refused.count() == 1
+
+
+def test_a_record_beyond_a_variant_in_a_document(spark, tmp_path):
+    long = "x" * 140_000_000
+    put(tmp_path, "a.json", '{"data":[{"a":{"b":[1,{}]}},{"a":"' + long + '","c":null}]}')
+    (r,) = json_source.json_files(spark, f"{tmp_path}/a.json").collect()
+    assert (r.shape, r.records_path, r.error) == ("nested", "data", None)
+    assert r.layout.split("\n")[1:] == [".a:str", ".c:NoneType"]
+
+
+def test_a_file_that_fails_the_schema_check_has_no_output(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    put(src, "good.ndjson", '{"id":1,"email":"q@example.org","n":null}\n{"id":2,"email":"x","n":1}\n')
+    put(src, "x/lost é.ndjson", '{"id":7,"email":"w@example.org","n":2}\n{"id":8,"email":"y","n":3}\n')
+    put(src, "id.csv", "id;email\n1;q@example.org\n2;x\n")
+
+    def finish(df):
+        kept = df.where("cast(id as int) <> 7").withColumn("more", F.lit("m"))
+        return kept.withColumn("n", F.when(F.col("id") != 8, F.col("n"))).withColumn("id", F.col("id").cast("string")) if "n" in df.columns else kept.drop("email")
+
+    results = protect_files(spark, src, out, default_policy(), SECRETS, finish=finish, audit_path=f"{tmp_path}/audit", vault_path=f"{tmp_path}/vault")
+    errors = {r.source_key: r.error for r in results.collect()}
+    assert errors == {"good.ndjson": None, "x/lost é.ndjson": "Row count mismatch: 2 -> 1", "id.csv": "Column 'email' missing in protected data"}
+    found = {(r.source_key, r.severity, r.column, r.message) for r in spark.read.parquet(f"{out}/schema_issues").collect()}
+    both = {(k, *x) for k in ("good.ndjson", "x/lost é.ndjson") for x in (("warning", "more", "Extra column 'more' in protected data"), ("info", "id", "Type widened for 'id': bigint -> string"))}
+    assert found == both | {
+        ("x/lost é.ndjson", "error", None, "Row count mismatch: 2 -> 1"), ("x/lost é.ndjson", "warning", "n", "Column 'n' gained null values after protection"),
+        ("id.csv", "error", "email", "Column 'email' missing in protected data"), ("id.csv", "warning", "more", "Extra column 'more' in protected data"),
+    }
+    assert os.listdir(f"{out}/protected/json") and not [d for d in os.listdir(f"{out}/protected/json") if "lost" in d]
+    assert {r.stage for r in spark.read.parquet(f"{out}/quarantine").collect()} == {"schema_check"}
+    log = spark.read.parquet(f"{tmp_path}/audit")
+    assert log.count() == 3 and set(log.where("success").first().stage_durations) == {"receive", "validate", "protect", "schema_check", "output"}
+    assert "w@example.org" not in str(spark.read.parquet(f"{tmp_path}/vault").collect()) if os.path.exists(f"{tmp_path}/vault") else True
+    protect_files(spark, src, out, default_policy(), SECRETS, finish=finish)
+    assert spark.read.json(f"{out}/protected/json").count() == 2  # a key that is processed again replaces its output
+
+
+def test_footers_of_many_files_in_one_job(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(f"{tmp_path}/in")
+    for k in range(600):
+        table = pa.table({"a": [k]}) if k % 3 else pa.table({"a": [k], "b": ["x"]})
+        pq.write_table(table, f"{tmp_path}/in/{k}.parquet")
+    put(tmp_path, "in/junk.parquet", b"PAR1" + b"junk" * 10 + b"PAR1")
+    context = spark.sparkContext
+    context.setJobGroup("footers", "one job for all footers")
+    found = parquet_source.parquet_files(spark, f"{tmp_path}/in").collect()
+    context.setJobGroup("rest", "")
+    assert len(context.statusTracker().getJobIdsForGroup("footers")) <= 2  # the listing may be a job as well
+    assert len(found) == 601 and len({r.layout for r in found if r.layout}) == 2 and sum(r.error is not None for r in found) == 1
+    groups, refused = gate_files(spark, f"{tmp_path}/in")
+    assert sorted(len(g.paths) for g in groups) == [200, 400] and refused.count() == 1
+    assert [k for k, v in parquet_source.schemas_of(spark, [r.path for r in found if r.error or r.path.endswith("/1.parquet")]) if not v] == [r.path for r in found if r.error]
