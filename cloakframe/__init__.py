@@ -11,13 +11,13 @@ from cloakframe.plans.jobs import gate_files, protect_files, read_lake
 from cloakframe.plans.policy import Policy, Rule, default_policy, effective_rules, load_policy
 from cloakframe.plans.secrets import Secrets
 from cloakframe.sources.lake import classify_files
-from cloakframe.streaming.protect_stream import protect_stream
+from cloakframe.streaming.protect_stream import protect_arrivals, protect_stream
 
 __all__ = [
     "Detector", "Gate", "Options", "Pattern", "Policy", "Recognizer", "Rule", "Secrets",
     "classify_files", "default_policy", "default_recognizers", "detect", "detection_summary",
     "detokenize", "effective_rules", "evaluate", "evaluation_statistics", "gate_files",
-    "load_policy", "protect", "protect_col", "protect_files", "protect_stream",
+    "load_policy", "protect", "protect_arrivals", "protect_col", "protect_files", "protect_stream",
     "protection_summary", "read_lake", "register_protection", "schema_check", "threshold_sweep",
     "tokenize", "unprotect_col", "with_recognizers",
 ]

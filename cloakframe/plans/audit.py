@@ -47,11 +47,19 @@ def exact(number: Column) -> Column:
     return number.cast("decimal(18,6)")
 
 
-def write_audit(audit: DataFrame, path: str) -> bool:
-    """Append, partitioned by day; failure is reported, not raised."""
+def write_audit(audit: DataFrame, path: str, run: str | None = None) -> bool:
+    """Append, partitioned by day; failure is reported, not raised.
+
+    Rows of a named ``run`` have a partition of their own in their day, which the same run, done
+    again, replaces.
+    """
     try:
         by_day = audit.withColumn("dt", F.substring("timestamp", 1, 10))
-        by_day.write.mode("append").partitionBy("dt").parquet(path)
+        if run is None:
+            by_day.write.mode("append").partitionBy("dt").parquet(path)
+        else:
+            named = by_day.withColumn("run", F.lit(run)).write.mode("overwrite")
+            named.option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").parquet(path)
         return True
     except Exception as e:
         import logging

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
@@ -48,7 +49,7 @@ class Group:
 
 
 def gate_files(
-    spark: SparkSession, path: str, delimiter: str = ",", records_path: str | None = None
+    spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", records_path: str | None = None
 ) -> tuple[list[Group], DataFrame]:
     """Groups of files that may be read, and the quarantine of those that may not.
 
@@ -60,7 +61,7 @@ def gate_files(
 
 
 def _gated(
-    spark: SparkSession, path: str, delimiter: str = ",", records_path: str | None = None
+    spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", records_path: str | None = None
 ) -> tuple[list[Group], list[tuple[str, str, str]], dict[str, int]]:
     """Groups, refused files (path, stage, error), and the milliseconds of both gates."""
     started = time.monotonic()
@@ -200,9 +201,12 @@ def protect_files(
     finish: Callable[[DataFrame], DataFrame] | None = None,
     strict_types: bool = False,
     validate_row_count: bool = True,
+    files: Sequence[str] | None = None,
+    request: str | None = None,
+    processed_at: dt.datetime | None = None,
     **gate_options,
 ) -> DataFrame:
-    """Protect every supported file below ``source`` into ``target/protected``.
+    """Protect every supported file below ``source`` (or just ``files`` of them) into ``target/protected``.
 
     Bad files go to ``target/quarantine`` and the others go on: a group that
     fails is halved until the files that make it fail stand alone.  Returns one
@@ -219,21 +223,28 @@ def protect_files(
     the output, the vault pairs and the audit counts are read.  The stage is
     removed at the end, also after a failure; it holds vault pairs only if a
     vault is asked for.
+
+    A job that is done again under the same ``request`` and ``processed_at`` replaces all it wrote before: output by
+    key, and results, quarantine, issues and audit rows by request.
     """
-    request = uuid.uuid4().hex
+    request = request or uuid.uuid4().hex
     root = root_of(spark, source)
     run_path, work = f"{target}/runs/run={request}", scratch_path(spark, "protected")
-    groups, refused, gate_ms = _gated(spark, source, **gate_options)
+    aside, issues = f"{target}/quarantine/run={request}", f"{target}/schema_issues/run={request}"
+    for place in (run_path, aside, issues):
+        remove(spark, place)
+    groups, refused, gate_ms = _gated(spark, source if files is None else list(files), **gate_options)
     quarantine = spark.createDataFrame(refused, lake.QUARANTINE_SCHEMA)
 
     def done(per_file: DataFrame) -> None:
+        per_file = per_file.withColumn("processed_at", F.lit(processed_at) if processed_at else F.col("processed_at"))
         if audit_path:
-            audit_log.write_audit(audit_log.audit_rows(per_file), audit_path)
+            audit_log.audit_rows(per_file).write.mode("append").parquet(f"{work}/audit")
         per_file.select("source_key", "rows", "error").write.mode("append").parquet(run_path)
 
     def refuse(files: DataFrame) -> None:
         """Files (path, stage, error) that are not protected."""
-        files.write.mode("append").parquet(f"{target}/quarantine")
+        files.write.mode("append").parquet(aside)
         keys = files.select(key_of(F.col("path"), root).alias("source_key"), F.upper(F.coalesce(lake.file_format(F.col("path")), F.lit("unknown"))).alias("file_format"), "error")
         done(_audit_rows(keys, None, request, bucket, gate_ms))
 
@@ -276,8 +287,8 @@ def protect_files(
         keys = {r.source_key: r[SOURCE] for r in before.select("source_key", SOURCE).distinct().collect()}
         folders = [f for f in (f"{folder}/{partition_folder('source_key', k)}" for k in sorted(keys)) if exists(spark, f)]
         found = _schema_check(spark, group, folders, original, before.drop(SOURCE), sorted(keys), keep_delimiter, strict_types, validate_row_count)
-        found.write.mode("append").parquet(f"{target}/schema_issues/run={request}")
-        failed = spark.read.schema(FILE_ISSUES).parquet(f"{target}/schema_issues/run={request}").where(F.col("severity") == ERROR)
+        found.write.mode("append").parquet(issues)
+        failed = spark.read.schema(FILE_ISSUES).parquet(issues).where(F.col("severity") == ERROR)
         failed = failed.where(F.col("source_key").isin(*keys)) if keys else failed.limit(0)
         failed = failed.groupBy("source_key").agg(F.array_join(F.array_sort(F.collect_list("message")), "; ").alias("error")).collect()
         for r in failed:
@@ -295,6 +306,8 @@ def protect_files(
         refuse(quarantine)
         for group in groups:
             run(group)
+        if audit_path:  # at once, as one partition of the day
+            audit_log.write_audit(spark.read.parquet(f"{work}/audit"), audit_path, request)
     finally:
         remove(spark, work)
     return spark.read.schema(RESULT_SCHEMA).parquet(run_path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,7 @@ def source_path() -> Column:
     return plain(F.col("_metadata.file_path"))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``(path, file_name, length, modified)``; file contents are not read.
 
     A scan skips empty files, so they are added from the driver's file index.
@@ -60,7 +62,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def classify_files(spark: SparkSession, path: str) -> DataFrame:
+def classify_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """The listing with the format of each file and the reason to refuse it."""
     return receive_gate(list_files(spark, path))
 

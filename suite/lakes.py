@@ -19,7 +19,7 @@ from cloakframe.sources import json as json_source
 from cloakframe.sources import lake
 from cloakframe.sources import parquet as parquet_source
 from cloakframe.streaming import alarms
-from cloakframe.streaming.protect_stream import alarm_stream, protect_stream
+from cloakframe.streaming.protect_stream import alarm_stream, protect_arrivals, protect_stream
 from cloakframe.synth import plant, synthetic_records
 from suite.detection import table, texts
 from suite.oracle_text import entities_sql
@@ -290,16 +290,7 @@ def read_lake_people(spark, sf_dir):
 def protect_files_people(spark, sf_dir):
     target = scratch_path(spark, "out")
     protect_files(spark, _lake_folder(spark, sf_dir), target, POLICY, SECRETS)
-    read = {
-        "csv": csv_source.read_csv(spark, f"{target}/protected/csv/*/*.csv"),
-        "json": spark.read.json(f"{target}/protected/json"),
-        "parquet": spark.read.parquet(f"{target}/protected/parquet"),
-    }
-    out = None
-    for fmt, df in read.items():
-        one = df.select(F.lit(fmt).alias("format"), F.col("row_key").cast("string").alias("row_key"), "email", "notes")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return _protected(spark, target)
 
 
 @query(
@@ -350,6 +341,47 @@ def protect_files_schema_issues(spark, sf_dir):
     ).agg(sum_of("original_rows", "protected_rows").alias("lost"), sum_of("protected_nulls", "original_nulls").alias("nulls"))
 
 
+def _protected(spark, target: str) -> DataFrame:
+    """The rewritten columns of what a job wrote, all formats."""
+    read = {
+        "csv": csv_source.read_csv(spark, f"{target}/protected/csv/*/*.csv"),
+        "json": spark.read.json(f"{target}/protected/json"),
+        "parquet": spark.read.parquet(f"{target}/protected/parquet"),
+    }
+    out = None
+    for fmt, df in read.items():
+        one = df.select(F.lit(fmt).alias("format"), F.col("row_key").cast("string").alias("row_key"), "email", "notes")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "stream_protect_mixed_lake",
+    f"""SELECT 'output' AS kind, format, row_key, email, notes, 1 AS n FROM ({ORACLES["protect_files_people"]})
+    UNION ALL SELECT 'cells', f.format, '', '', '', count(*) * f.width FROM customer, (VALUES ('CSV', 4), ('JSON', 3), ('PARQUET', 3)) f(format, width) GROUP BY f.format, f.width
+    UNION ALL SELECT 'issues', '', '', '', '', 0
+    UNION ALL SELECT 'refused', 'txt', '', '', '', 1 WHERE (SELECT count(*) FROM customer) > 0""",
+)
+def stream_protect_mixed_lake(spark, sf_dir):
+    target = scratch_path(spark, "out")
+    # Two batches at least, so that outputs of several batches meet in one folder.
+    protect_arrivals(
+        spark, _lake_folder(spark, sf_dir), target, f"{target}/check", POLICY, SECRETS, files_per_trigger=60, audit_path=f"{target}/audit"
+    ).awaitTermination()
+    none = F.lit("")
+
+    def counts(df: DataFrame, kind: str, fmt, n) -> DataFrame:
+        return df.groupBy(fmt.alias("format")).agg(n.cast("bigint").alias("n")).select(F.lit(kind).alias("kind"), "format", none.alias("row_key"), none.alias("email"), none.alias("notes"), "n")
+
+    log = spark.read.parquet(f"{target}/audit")
+    cells = counts(log.where("success"), "cells", F.col("file_format"), F.sum("detection_summary.cells_scanned"))
+    issues = spark.read.parquet(f"{target}/schema_issues").agg(F.count("*").alias("n")).select(F.lit("issues").alias("kind"), none.alias("format"), none.alias("row_key"), none.alias("email"), none.alias("notes"), "n")
+    aside = spark.read.parquet(f"{target}/quarantine").select(F.element_at(F.split("path", "[.]"), -1).alias("suffix")).distinct()
+    refused = counts(aside, "refused", F.col("suffix"), F.count("*"))
+    rows = _protected(spark, target).select(F.lit("output").alias("kind"), "format", "row_key", "email", "notes", F.lit(1).cast("bigint").alias("n"))
+    return rows.unionByName(cells).unionByName(issues).unionByName(refused)
+
+
 @query("run_summary_people", "SELECT true AS some_processed, true AS some_failed, 207 AS status")
 def run_summary_people(spark, sf_dir):
     results = protect_files(spark, _lake_folder(spark, sf_dir), scratch_path(spark, "out"), POLICY, SECRETS)

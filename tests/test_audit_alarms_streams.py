@@ -3,12 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cloakframe import Secrets, default_policy, detect, protect, protect_stream, schema_check
+from cloakframe import Secrets, default_policy, detect, protect, protect_arrivals, protect_stream, schema_check
 from cloakframe.operators import compare
 from cloakframe.operators.schema_check import is_valid
 from cloakframe.plans import audit
 from cloakframe.streaming import alarms
-from cloakframe.streaming.protect_stream import alarm_stream, arriving_files
+from cloakframe.plans.scratch import remove
+from cloakframe.streaming.protect_stream import alarm_stream, arriving_files, run_batch
 from cloakframe.synth import generate, plant, rows_for_size, synthetic_records
 
 SECRETS = Secrets(bytes(32), "salt", "tok")
@@ -207,3 +208,40 @@ def test_planted_corpus(spark):
     n = df.filter("planted_email IS NOT NULL").count()
     assert 20 < n < 90 and df.filter("text <> 'Some text.'").count() == n
     assert synthetic_records(spark.range(2), "id").count() == 2
+
+
+def test_arriving_files_are_gated_and_a_repeated_batch_adds_nothing(spark, tmp_path):
+    src, out = tmp_path / "in", f"{tmp_path}/out"
+    (src / "sub").mkdir(parents=True)
+    (src / "a.csv").write_text("id,email\n1,q@example.org\n2,x\n")
+    (src / "bad.csv").write_text("a,b\n1\n")
+    (src / "sub" / "é b.ndjson").write_text('{"id":1,"email":"w@example.org"}\n')
+    (src / "note.txt").write_text("x")
+
+    def state():
+        return (
+            sorted(r.value for r in spark.read.text(f"{out}/protected/csv").collect()),
+            sorted(r.email for r in spark.read.json(f"{out}/protected/json").collect()),
+            sorted((r.path.split("/")[-1], r.stage) for r in spark.read.parquet(f"{out}/quarantine").collect()),
+            sorted((r.source_key, r.success, str(r.dt)) for r in spark.read.parquet(f"{tmp_path}/audit").collect()),
+            spark.read.parquet(f"{out}/runs").count(),
+        )
+
+    def arrive():
+        protect_arrivals(spark, str(src), out, f"{tmp_path}/check", default_policy(), SECRETS, audit_path=f"{tmp_path}/audit").awaitTermination()
+
+    arrive()
+    first = state()
+    assert [r[0] for r in first[3]] == ["a.csv", "bad.csv", "note.txt", "sub/é b.ndjson"] and len(first[2]) == 2 and first[4] == 4
+    assert "example.org" not in str(first) and len(first[0]) == 3 and len(first[1]) == 1
+    (name,) = [d.name for d in (tmp_path / "out" / "commits").iterdir() if not d.name.startswith(".")]
+    again = spark.read.parquet(f"{out}/batches/{name}").select("path")
+    run_batch(spark, again, name, str(src), out, default_policy(), SECRETS, audit_path=f"{tmp_path}/audit")  # committed
+    assert state() == first
+    remove(spark, f"{out}/commits/{name}")  # as if it had broken off before its end
+    run_batch(spark, again, name, str(src), out, default_policy(), SECRETS, audit_path=f"{tmp_path}/audit")
+    assert state() == first
+    (src / "c.csv").write_text("id,email\n3,e@example.org\n")
+    arrive()
+    more = state()
+    assert len(more[3]) == 5 and len(more[0]) == 5 and more[2] == first[2]
