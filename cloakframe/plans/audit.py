@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cloakframe.plans.scratch import children, exists, move, remove
+
 # Days a record is kept, and the order of processing stages.
 RETENTION_DAYS = 90
 STAGES = ("receive", "validate", "detect", "evaluate", "protect", "schema_check", "output")
@@ -48,18 +52,13 @@ def exact(number: Column) -> Column:
 
 
 def write_audit(audit: DataFrame, path: str, run: str | None = None) -> bool:
-    """Append, partitioned by day; failure is reported, not raised.
+    """Rows partitioned by day and run; failure is reported, not raised.
 
-    Rows of a named ``run`` have a partition of their own in their day, which the same run, done
-    again, replaces.
+    A run, done again under the same name, replaces its rows of that day and no others.
     """
     try:
-        by_day = audit.withColumn("dt", F.substring("timestamp", 1, 10))
-        if run is None:
-            by_day.write.mode("append").partitionBy("dt").parquet(path)
-        else:
-            named = by_day.withColumn("run", F.lit(run)).write.mode("overwrite")
-            named.option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").parquet(path)
+        named = audit.withColumns({"dt": F.substring("timestamp", 1, 10), "run": F.lit(run or uuid.uuid4().hex)})
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").parquet(path)
         return True
     except Exception as e:
         import logging
@@ -88,6 +87,37 @@ def unexpired(audit: DataFrame, now: Column | None = None) -> DataFrame:
     return audit.filter(F.col("ttl") > (F.unix_timestamp() if now is None else now))
 
 
+def expire(spark: SparkSession, path: str, now: int) -> dict[str, list[str]]:
+    """Takes records whose time to live has passed by ``now`` (seconds) out of the table at ``path``.
+
+    A day without any other records goes as a whole, a day with some is written anew beside the table and
+    swapped in by renaming, and no other day is touched.  Returns the days ``dropped`` and ``rewritten``.  A
+    swap that broke off is completed, or taken back, by the next call; one call may run at a time.  Appends to
+    a day that is being rewritten are not seen, so that day should be over, as one of past time to live is.
+    """
+    aside = f"{path}/_retention"
+    for day in children(spark, aside):
+        if not exists(spark, f"{path}/{day}"):
+            whole = exists(spark, f"{aside}/{day}/new/_SUCCESS")
+            move(spark, f"{aside}/{day}/{'new' if whole else 'old'}", f"{path}/{day}")
+    remove(spark, aside)
+    days = spark.read.parquet(path).groupBy("dt").agg(F.min("ttl").alias("first"), F.max("ttl").alias("last")).orderBy("dt").collect()
+    out: dict[str, list[str]] = {"dropped": [], "rewritten": []}
+    for r in days:
+        day = f"dt={r.dt}"
+        if r.last <= now:
+            remove(spark, f"{path}/{day}")
+            out["dropped"].append(str(r.dt))
+        elif r.first <= now:
+            place = f"{aside}/{day}"
+            spark.read.parquet(f"{path}/{day}").where(F.col("ttl") > now).write.partitionBy("run").parquet(f"{place}/new")
+            move(spark, f"{path}/{day}", f"{place}/old")
+            move(spark, f"{place}/new", f"{path}/{day}")
+            out["rewritten"].append(str(r.dt))
+    remove(spark, aside)
+    return out
+
+
 def stage_rows(audit: DataFrame, keys: tuple[str, ...] = ("pk", "sk")) -> DataFrame:
     """Stage durations in processing order, absent stages left out."""
     order = F.array(*map(F.lit, STAGES))

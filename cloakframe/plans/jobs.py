@@ -22,7 +22,7 @@ from cloakframe.operators.vault import append_pairs
 from cloakframe.plans import audit as audit_log
 from cloakframe.plans.layout import partition_folder, partition_value
 from cloakframe.plans.policy import Policy
-from cloakframe.plans.scratch import exists, qualified, remove, scratch_path
+from cloakframe.plans.scratch import children, qualified, remove, scratch_path
 from cloakframe.plans.secrets import Secrets
 from cloakframe.sources import csv as csv_source
 from cloakframe.sources import json as json_source
@@ -138,7 +138,7 @@ def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_key")
     if group.format == "csv":
         (
-            writer.option("header", True)
+            writer.option("header", bool(group.header))
             .option("sep", _output_delimiter(group, keep_delimiter))
             .option("escape", '"')
             .option("emptyValue", "")
@@ -152,6 +152,18 @@ def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None
         writer.option("compression", "snappy").parquet(path)
 
 
+def _write_empty(spark: SparkSession, group: Group, schema: T.StructType, keys: list[str], path: str, keep_delimiter: bool) -> None:
+    """Output of files without rows: a header, or an empty table.  JSON without records does not pass the gate."""
+    folders = {k: f"{path}/{partition_folder('source_key', k)}" for k in keys}
+    if group.format == "csv" and keys:
+        names = [f"c{i}" for i in range(len(schema.names))]
+        heads = spark.createDataFrame([(*schema.names, k) for k in keys], ", ".join(f"{n} string" for n in [*names, "source_key"]))
+        _write(heads, replace(group, header=""), path, keep_delimiter)
+    elif group.format == "parquet":
+        for folder in folders.values():
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
+
+
 def _output_delimiter(group: Group, keep_delimiter: bool) -> str:
     return group.delimiter if keep_delimiter else ","
 
@@ -281,16 +293,20 @@ def protect_files(
         _write(finish(final) if finish else final, group, folder, keep_delimiter)
         took["output"] = _ms(started)
         started = time.monotonic()
-        before = fingerprint(staged, {n: F.get(NULLS, F.lit(i)) for i, n in enumerate(original.names)}, ["source_key", SOURCE])
-        before.write.parquet(f"{path}-before")
-        before = spark.read.schema(before.schema).parquet(f"{path}-before")
+        before = fingerprint(staged, {n: F.get(NULLS, F.lit(i)) for i, n in enumerate(original.names)}, ["source_key", SOURCE]).persist()
         keys = {r.source_key: r[SOURCE] for r in before.select("source_key", SOURCE).distinct().collect()}
-        folders = [f for f in (f"{folder}/{partition_folder('source_key', k)}" for k in sorted(keys)) if exists(spark, f)]
+        if len(keys) < len(paths):
+            seen = set(keys.values())
+            bare = spark.createDataFrame([(p,) for p in paths if p not in seen], "path string").select(key_of(F.col("path"), root).alias("k"))
+            _write_empty(spark, group, T.StructType([f for f in final.schema.fields if f.name != "source_key"]), [r.k for r in bare.collect()], folder, keep_delimiter)
+        there = set(children(spark, folder))
+        folders = [f"{folder}/{f}" for f in (partition_folder("source_key", k) for k in sorted(keys)) if f in there]
         found = _schema_check(spark, group, folders, original, before.drop(SOURCE), sorted(keys), keep_delimiter, strict_types, validate_row_count)
+        found = found.persist()
         found.write.mode("append").parquet(issues)
-        failed = spark.read.schema(FILE_ISSUES).parquet(issues).where(F.col("severity") == ERROR)
-        failed = failed.where(F.col("source_key").isin(*keys)) if keys else failed.limit(0)
-        failed = failed.groupBy("source_key").agg(F.array_join(F.array_sort(F.collect_list("message")), "; ").alias("error")).collect()
+        failed = found.where(F.col("severity") == ERROR).groupBy("source_key").agg(F.array_join(F.array_sort(F.collect_list("message")), "; ").alias("error")).collect()
+        found.unpersist()
+        before.unpersist()
         for r in failed:
             remove(spark, f"{folder}/{partition_folder('source_key', r.source_key)}")
         if failed:

@@ -49,3 +49,18 @@ def qualified(spark: SparkSession, path: str) -> str:
     """A path without a scheme as the default file system's full one."""
     files, place = _at(spark, path)
     return files.makeQualified(place).toString()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    files, place = _at(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Renames a folder; ``new`` must not exist."""
+    files, place = _at(spark, old)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    files.mkdirs(target.getParent())
+    if not files.rename(place, target):
+        raise OSError(f"cannot move {old} to {new}")

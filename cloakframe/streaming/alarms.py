@@ -102,17 +102,20 @@ def monitor_series(runs: DataFrame, ts: str = "ts", late: str | None = None) ->
 def max_concurrency(runs: DataFrame, ts: str = "ts", duration_ms: str = "duration_ms") -> DataFrame:
     """Most runs in progress at once per five minutes: ``(period_start, max_running)``.
 
-    A run counts from its start up to, not including, its end.  The running sum
-    of +1/-1 goes in three steps (instants within a second, seconds within an
-    hour, hours), so no window sorts more than a bounded stretch of time, no
-    matter how many runs fall into it.
+    A run counts from its start up to, not including, its end.  There is a row for every period in which a
+    run starts, ends or goes on.  The running sum of +1/-1 goes in three steps (instants within a second,
+    seconds within an hour, hours), so no window sorts more than a bounded stretch of time, no
+    matter how many runs fall into it.  Runs of null time or duration do not count.
     """
     start = F.unix_micros(F.col(ts).cast("timestamp"))
     end = start + F.round(F.col(duration_ms) * 1000).cast("bigint")
+    period = MONITOR_MINUTES * 60
+    per_hour = 3600 // period
     second = F.floor(F.col("us") / F.lit(1_000_000))
     hour = F.floor(F.col("sec") / F.lit(3600))
     instants = (
-        runs.select(
+        runs.where(start.isNotNull() & end.isNotNull())
+        .select(
             F.inline(
                 F.array(
                     F.struct(start.alias("us"), F.lit(1).alias("d")),
@@ -126,27 +129,40 @@ def max_concurrency(runs: DataFrame, ts: str = "ts", duration_ms: str = "duratio
         .withColumn("hour", hour)
     )
     up_to = (Window.unboundedPreceding, Window.currentRow)
+    before = (Window.unboundedPreceding, -1)
     in_second = Window.partitionBy("hour", "sec").orderBy("us").rowsBetween(*up_to)
+    # What runs as a period begins is in it, but for what ends at that very instant.
+    begins = (F.min("us") == F.col("sec") * 1_000_000) & (F.col("sec") % period == 0)
     seconds = (
         instants.withColumn("level", F.sum("d").over(in_second))
         .groupBy("hour", "sec")
-        .agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
+        .agg(F.sum("d").alias("net"), F.when(begins, F.max("level")).otherwise(F.greatest(F.max("level"), F.lit(0))).alias("peak"))
     )
-    before = (Window.unboundedPreceding, -1)
-    in_hour = Window.partitionBy("hour").orderBy("sec").rowsBetween(*before)
     hours = seconds.groupBy("hour").agg(F.sum("net").alias("hour_net"))
     # One row per hour of the log: 8,760 a year.
-    base = hours.withColumn(
-        "base", F.coalesce(F.sum("hour_net").over(Window.orderBy("hour").rowsBetween(*before)), F.lit(0))
-    ).select("hour", "base")
-    inside = F.coalesce(F.sum("net").over(in_hour), F.lit(0))
-    levels = (
+    by_hour = Window.orderBy("hour")
+    base = hours.select(
+        "hour", "hour_net", F.coalesce(F.sum("hour_net").over(by_hour.rowsBetween(*before)), F.lit(0)).alias("base"), F.lead("hour").over(by_hour).alias("next")
+    )
+    inside = F.coalesce(F.sum("net").over(Window.partitionBy("hour").orderBy("sec").rowsBetween(*before)), F.lit(0))
+    slots = (
         seconds.withColumn("inside", inside)
-        .join(base, "hour")
-        .withColumn("running", F.col("base") + F.col("inside") + F.greatest(F.col("peak"), F.lit(0)))
+        .groupBy("hour", F.floor(F.col("sec") / F.lit(period)).alias("slot"))
+        .agg(F.max(F.col("inside") + F.col("peak")).alias("peak"), F.max_by(F.col("inside") + F.col("net"), "sec").alias("after"))
+    )
+    own = F.sequence(F.col("hour") * per_hour, F.col("hour") * per_hour + per_hour - 1)
+    grid = base.select("hour", "base", F.explode(own).alias("slot")).join(slots, ["hour", "slot"], "left")
+    carried = F.coalesce(F.last("after", ignorenulls=True).over(Window.partitionBy("hour").orderBy("slot").rowsBetween(*before)), F.lit(0))
+    busy = grid.withColumn("going", F.col("base") + carried).select(
+        "slot", F.coalesce(F.col("base") + F.col("peak"), F.when(F.col("going") > 0, F.col("going"))).alias("max_running")
+    )
+    # Hours in which nothing starts or ends, while something goes on.
+    left = F.col("base") + F.col("hour_net")
+    quiet = base.where((left > 0) & (F.col("next") > F.col("hour") + 1)).select(
+        F.explode(F.sequence((F.col("hour") + 1) * per_hour, F.col("next") * per_hour - 1)).alias("slot"), left.alias("max_running")
     )
     return (
-        levels.groupBy(F.floor(F.col("sec") / F.lit(MONITOR_MINUTES * 60)).alias("slot"))
-        .agg(F.max("running").alias("max_running"))
-        .select(F.timestamp_seconds(F.col("slot") * F.lit(MONITOR_MINUTES * 60)).alias("period_start"), "max_running")
+        busy.where("max_running is not null")
+        .unionByName(quiet)
+        .select(F.timestamp_seconds(F.col("slot") * F.lit(period)).alias("period_start"), "max_running")
     )

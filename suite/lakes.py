@@ -456,6 +456,14 @@ def audit_unexpired_events(spark, sf_dir):
     return audit_log.unexpired(_audit(spark, sf_dir), F.lit(1712500000)).select("request_id", "ttl")
 
 
+@query("audit_retention_events", f"WITH {_AUDIT} SELECT request_id, ttl, strftime(ts, '%Y-%m-%d') AS day FROM audit WHERE ttl > 1712500000")
+def audit_retention_events(spark, sf_dir):
+    path = scratch_path(spark, "audit")
+    audit_log.write_audit(_audit(spark, sf_dir), path)
+    audit_log.expire(spark, path, 1712500000)
+    return spark.read.parquet(path).select("request_id", "ttl", F.col("dt").cast("string").alias("day"))
+
+
 @query(
     "audit_stage_rows_events",
     """SELECT 'r' || event_id AS request_id, pos, stage, ms AS duration_ms FROM (
@@ -574,8 +582,11 @@ def monitor_series_events(spark, sf_dir):
       SELECT epoch_us(ts) AS us, 1 AS d FROM events
       UNION ALL SELECT epoch_us(ts) + CAST(round(value * 1000 * 1000) AS BIGINT), -1 FROM events),
     i AS (SELECT us, sum(d) AS d FROM d GROUP BY us),
-    l AS (SELECT us, sum(d) OVER (ORDER BY us) AS after, sum(d) OVER (ORDER BY us) - d AS before FROM i)
-    SELECT us // 300000000 * 300 AS period_start, max(greatest(after, before))::BIGINT AS max_running FROM l GROUP BY 1""",
+    l AS (SELECT us, sum(d) OVER (ORDER BY us) AS after FROM i),
+    s AS (SELECT unnest(range((SELECT min(us) // 300000000 FROM l), (SELECT max(us) // 300000000 FROM l) + 1)) AS slot),
+    c AS (SELECT slot, coalesce(l.after, 0) AS going FROM s ASOF LEFT JOIN l ON s.slot * 300000000 >= l.us)
+    SELECT slot * 300 AS period_start, greatest(any_value(going), max(after))::BIGINT AS max_running
+    FROM c LEFT JOIN l ON l.us // 300000000 = slot GROUP BY slot HAVING any_value(going) > 0 OR count(after) > 0""",
 )
 def max_concurrency_events(spark, sf_dir):
     return alarms.max_concurrency(_run_log(spark, sf_dir)).select(

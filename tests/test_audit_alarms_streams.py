@@ -8,7 +8,7 @@ from cloakframe.operators import compare
 from cloakframe.operators.schema_check import is_valid
 from cloakframe.plans import audit
 from cloakframe.streaming import alarms
-from cloakframe.plans.scratch import remove
+from cloakframe.plans.scratch import move, remove
 from cloakframe.streaming.protect_stream import alarm_stream, arriving_files, run_batch
 from cloakframe.synth import generate, plant, rows_for_size, synthetic_records
 
@@ -50,6 +50,10 @@ def test_concurrency_counts_overlap_and_half_open_ends(spark):
     got = {int((r.period_start - T0).total_seconds() // 60): r.max_running for r in alarms.max_concurrency(df).collect()}
     # At minute 2 the first run ends as the third starts.
     assert got == {0: 2, 5: 0}
+    # Periods in which a run only goes on, over hours as well; one that ends as a period begins is not in it.
+    df = runs(spark, [(1, 0, 239 * minute), (60, 0, 5 * minute), (62, 0, 3 * minute), (300, 0, 4 * minute)])
+    got = {int((r.period_start - T0).total_seconds() // 60): r.max_running for r in alarms.max_concurrency(df).collect()}
+    assert got == {k: 1 for k in range(0, 240, 5)} | {60: 3, 240: 0, 300: 1}
 
 
 def test_stream_alarms_equal_batch(spark, tmp_path):
@@ -245,3 +249,27 @@ def test_arriving_files_are_gated_and_a_repeated_batch_adds_nothing(spark, tmp_p
     arrive()
     more = state()
     assert len(more[3]) == 5 and len(more[0]) == 5 and more[2] == first[2]
+
+
+def test_retention_touches_only_days_with_expired_records(spark, tmp_path):
+    path, day = f"{tmp_path}/audit", 86_400
+    rows = [(k, f"2024-01-0{d}T00:00:00", ttl * day) for k, (d, ttl) in enumerate([(1, 1), (1, 2), (2, 2), (2, 9), (3, 9), (4, 9)])]
+    df = spark.createDataFrame(rows, "request_id int, timestamp string, ttl bigint")
+    audit.write_audit(df.where("request_id <> 3"), path, "one")
+    audit.write_audit(df.where("request_id = 3"), path, "two")
+
+    def files():
+        return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in (tmp_path / "audit").rglob("*.parquet")}
+
+    old = files()
+    assert audit.expire(spark, path, 5 * day) == {"dropped": ["2024-01-01"], "rewritten": ["2024-01-02"]}
+    assert sorted(r.request_id for r in spark.read.parquet(path).collect()) == [3, 4, 5]
+    assert {n: t for n, t in files().items() if "dt=2024-01-02" not in n} == {n: t for n, t in old.items() if "-03" in n or "-04" in n}
+    assert audit.expire(spark, path, 5 * day) == {"dropped": [], "rewritten": []}
+    # A swap that broke off between its two renames, with and without a whole new day.
+    for whole in (True, False):
+        move(spark, f"{path}/dt=2024-01-03", f"{path}/_retention/dt=2024-01-03/old")
+        if whole:
+            spark.read.parquet(f"{path}/_retention/dt=2024-01-03/old").write.partitionBy("run").parquet(f"{path}/_retention/dt=2024-01-03/new")
+        assert audit.expire(spark, path, 5 * day) == {"dropped": [], "rewritten": []}
+        assert sorted(r.request_id for r in spark.read.parquet(path).collect()) == [3, 4, 5]

@@ -229,6 +229,8 @@ def test_file_job_on_a_mixed_lake(spark, tmp_path):
     put(src, "x/bad.csv", "a,b\n1\n")
     put(src, "y/bad.csv", "a,b\n1\n")
     put(src, "header.csv", "id,email\n")
+    put(src, "bare; head.csv", "id;say ""hi"";note\n")
+    spark.createDataFrame([], "id int, email string").coalesce(1).write.parquet(f"{src}/none")
     put(src, "one.ndjson", '{"a":1}\n{"a":2}\n')
     put(src, "two.ndjson", '{"b":"v@example.org"}\n')
     put(src, "lines.json", '{"a":1}\n{"a":2}\n{"a":\n{"a":4}\n')
@@ -238,15 +240,19 @@ def test_file_job_on_a_mixed_lake(spark, tmp_path):
         f.write(b"PAR1" + b"junk" * 10 + b"PAR1")
     before = set(os.listdir(shared_folder(spark)))
     results = protect_files(spark, src, out, default_policy(), SECRETS, audit_path=f"{tmp_path}/audit")
-    got = {("parquet " + str(r.rows) if r.source_key.startswith(("p/", "q/")) else r.source_key): (r.rows, bool(r.error)) for r in results.collect()}
+    got = {("parquet " + str(r.rows) if r.source_key.startswith(("p/", "q/", "none/")) else r.source_key): (r.rows, bool(r.error)) for r in results.collect()}
     assert got == {
         "x/a.csv": (1, False), "y/a.csv": (2, False), "ragged.csv": (0, True), "x/bad.csv": (0, True), "y/bad.csv": (0, True),
-        "header.csv": (0, False), "one.ndjson": (2, False), "two.ndjson": (1, False), "lines.json": (0, True),
-        "parquet 1": (1, False), "junk.parquet": (0, True),
+        "header.csv": (0, False), "bare; head.csv": (0, False), "one.ndjson": (2, False), "two.ndjson": (1, False), "lines.json": (0, True),
+        "parquet 0": (0, False), "parquet 1": (1, False), "junk.parquet": (0, True),
     }
-    assert results.count() == 12 and set(os.listdir(shared_folder(spark))) == before
+    heads = {k: [r.value for r in spark.read.text(f"{out}/protected/csv/source_key={k}").collect()] for k in ("header.csv", "bare; head.csv")}
+    assert heads == {"header.csv": ["id,email"], "bare; head.csv": ["id,say hi,note"]}
+    (bare,) = [d for d in os.listdir(f"{out}/protected/parquet") if d.startswith("source_key=none")]
+    assert spark.read.parquet(f"{out}/protected/parquet/{bare}").schema.simpleString() == "struct<id:int,email:string>"
+    assert results.count() == 14 and set(os.listdir(shared_folder(spark))) == before
     log = spark.read.parquet(f"{tmp_path}/audit")
-    assert log.count() == 12 and log.where("not success").count() == 5 and set(log.where("success").first().stage_durations) == {"receive", "validate", "protect", "schema_check", "output"}
+    assert log.count() == 14 and log.where("not success").count() == 5 and set(log.where("success").first().stage_durations) == {"receive", "validate", "protect", "schema_check", "output"}
     one = {r.value for r in spark.read.text(f"{out}/protected/json/source_key=one.ndjson").collect()}
     assert one == {'{"a":1}', '{"a":2}'}
     assert "example.org" not in str([r for f in ("csv", "json") for r in spark.read.text(f"{out}/protected/{f}").collect()])
