@@ -46,22 +46,23 @@ class Group:
     shape: str = ""
     records_path: str | None = None
     layout: str = ""
+    encoding: str = lake.UTF8
 
 
 def gate_files(
-    spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", records_path: str | None = None
+    spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", records_path: str | None = None, encoding: str = lake.UTF8
 ) -> tuple[list[Group], DataFrame]:
     """Groups of files that may be read, and the quarantine of those that may not.
 
     Contents are looked at in tasks, a job or two per format whatever the number of files; the driver
     sees one small row per file, as Spark's own file index does.
     """
-    groups, refused, _ = _gated(spark, path, delimiter, records_path)
+    groups, refused, _ = _gated(spark, path, delimiter, records_path, encoding)
     return groups, spark.createDataFrame(refused, lake.QUARANTINE_SCHEMA)
 
 
 def _gated(
-    spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", records_path: str | None = None
+    spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", records_path: str | None = None, encoding: str = lake.UTF8
 ) -> tuple[list[Group], list[tuple[str, str, str]], dict[str, int]]:
     """Groups, refused files (path, stage, error), and the milliseconds of both gates."""
     started = time.monotonic()
@@ -82,9 +83,9 @@ def _gated(
                 groups.setdefault(group_of(r), []).append(r.path)
 
     if paths := by_format.get("csv"):
-        sort_in(csv_source.csv_files(spark, paths, delimiter).collect(), lambda r: Group("csv", (), delimiter=r.delimiter, header=r.header, multi_line=r.multi_line))
+        sort_in(csv_source.csv_files(spark, paths, delimiter, encoding).collect(), lambda r: Group("csv", (), encoding=encoding, delimiter=r.delimiter, header=r.header, multi_line=r.multi_line))
     if paths := by_format.get("json"):
-        sort_in(json_source.json_files(spark, paths, records_path).collect(), lambda r: Group("json", (), shape=r.shape, records_path=r.records_path, layout=r.layout or ""))
+        sort_in(json_source.json_files(spark, paths, records_path, encoding).collect(), lambda r: Group("json", (), encoding=encoding, shape=r.shape, records_path=r.records_path, layout=r.layout or ""))
     if paths := by_format.get("parquet"):
         found = parquet_source.parquet_files(spark, paths).collect()
         unopened = [r.path for r in found if not r.error and r.layout is None]
@@ -107,12 +108,12 @@ def read_group(spark: SparkSession, group: Group) -> DataFrame:
     paths = list(group.paths)
     path_of = lake.source_path().alias(SOURCE)
     if group.format == "csv":
-        return csv_source.read_csv(spark, paths, group.delimiter, multi_line=group.multi_line, mark_bad_rows=group.multi_line, with_path=SOURCE)
+        return csv_source.read_csv(spark, paths, group.delimiter, group.encoding, multi_line=group.multi_line, mark_bad_rows=group.multi_line, with_path=SOURCE)
     if group.format == "json":
         if group.shape == "ndjson":
-            raw = spark.read.options(**json_source.ANY_LENGTH).json(paths)
+            raw = spark.read.options(**json_source.reader_options(group.encoding)).json(paths)
             return lake.flatten_structs(raw.select("*", path_of))
-        raw = spark.read.options(**json_source.ANY_LENGTH, multiLine=True).json(paths)
+        raw = spark.read.options(**json_source.reader_options(group.encoding, multi_line=True)).json(paths)
         if group.records_path:
             raw = raw.select(F.explode(F.col(group.records_path)).alias("rec"), path_of).select("rec.*", SOURCE)
             return lake.flatten_structs(raw)
@@ -133,7 +134,7 @@ def read_lake(spark: SparkSession, path: str, **options) -> dict[str, DataFrame]
     return out
 
 
-def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None:
+def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool, compression: str = "snappy") -> None:
     """Output by source key; a key that is processed again replaces what it wrote before."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_key")
     if group.format == "csv":
@@ -142,14 +143,15 @@ def _write(df: DataFrame, group: Group, path: str, keep_delimiter: bool) -> None
             .option("sep", _output_delimiter(group, keep_delimiter))
             .option("escape", '"')
             .option("emptyValue", "")
+            .option("encoding", group.encoding)
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .csv(path)
         )
     elif group.format == "json":
-        writer.option("ignoreNullFields", False).json(path)
+        writer.option("ignoreNullFields", False).option("encoding", group.encoding).json(path)
     else:
-        writer.option("compression", "snappy").parquet(path)
+        writer.option("compression", compression).parquet(path)
 
 
 def _write_empty(spark: SparkSession, group: Group, schema: T.StructType, keys: list[str], path: str, keep_delimiter: bool) -> None:
@@ -171,9 +173,9 @@ def _output_delimiter(group: Group, keep_delimiter: bool) -> str:
 def _read_written(spark: SparkSession, group: Group, folders: list[str], keep_delimiter: bool) -> DataFrame:
     """The output of some keys as its reader sees it, with ``source_key`` from the folder's name."""
     if group.format == "csv":
-        df = csv_source.read_csv(spark, folders, _output_delimiter(group, keep_delimiter), multi_line=group.multi_line, with_path=SOURCE)
+        df = csv_source.read_csv(spark, folders, _output_delimiter(group, keep_delimiter), group.encoding, multi_line=group.multi_line, with_path=SOURCE)
     elif group.format == "json":
-        df = spark.read.options(**json_source.ANY_LENGTH).json(folders).select("*", lake.source_path().alias(SOURCE))
+        df = spark.read.options(**json_source.reader_options(group.encoding)).json(folders).select("*", lake.source_path().alias(SOURCE))
     else:
         df = spark.read.parquet(*folders).select("*", lake.source_path().alias(SOURCE))
     return df.withColumn("source_key", partition_value(F.col(SOURCE), "source_key")).drop(SOURCE)
@@ -213,6 +215,7 @@ def protect_files(
     finish: Callable[[DataFrame], DataFrame] | None = None,
     strict_types: bool = False,
     validate_row_count: bool = True,
+    compression: str = "snappy",
     files: Sequence[str] | None = None,
     request: str | None = None,
     processed_at: dt.datetime | None = None,
@@ -236,6 +239,9 @@ def protect_files(
     removed at the end, also after a failure; it holds vault pairs only if a
     vault is asked for.
 
+    ``encoding`` is the charset of CSV and JSON files, in and out; bytes that are none in it send a file to
+    quarantine.  ``compression`` is that of Parquet output.
+
     A job that is done again under the same ``request`` and ``processed_at`` replaces all it wrote before: output by
     key, and results, quarantine, issues and audit rows by request.
     """
@@ -290,7 +296,7 @@ def protect_files(
         started = time.monotonic()
         final = staged.drop(FINDINGS, ROW_RESULTS, SOURCE, csv_source.BAD_ROW, NULLS)
         folder = f"{target}/protected/{group.format}"
-        _write(finish(final) if finish else final, group, folder, keep_delimiter)
+        _write(finish(final) if finish else final, group, folder, keep_delimiter, compression)
         took["output"] = _ms(started)
         started = time.monotonic()
         before = fingerprint(staged, {n: F.get(NULLS, F.lit(i)) for i, n in enumerate(original.names)}, ["source_key", SOURCE]).persist()

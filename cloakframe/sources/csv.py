@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cloakframe.sources.lake import source_path
+from cloakframe.sources.lake import is_wide, read_texts, source_path
 
 # Delimiters a file may use, in order of preference, and the
 # share of lines that must agree with the header for one to be chosen.
@@ -21,7 +21,7 @@ BAD_ROW = "_bad_row"
 COUNTS = [f"n{i}" for i in range(len(DELIMITERS))]
 
 
-def line_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def line_profile(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Lines grouped by file, block and number of each delimiter outside quotes.
 
     A regular file has a handful of groups per block, however long it is, so
@@ -34,13 +34,13 @@ def line_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         return F.length(text) - F.length(F.replace(text, F.lit(what), F.lit("")))
 
     lines = (
-        spark.read.text(paths)
+        read_texts(spark, paths, encoding)
         .select(
-            source_path().alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
+            "path",
+            "block",
             F.monotonically_increasing_id().alias("line"),
             "value",
-            F.is_valid_utf8(line).alias("utf8"),
+            F.col("valid").alias("utf8"),
             (occurrences(line, '"') % 2 == 1).alias("odd_quotes"),
             unquoted.alias("unquoted"),
             line.rlike(r"\S").alias("filled"),
@@ -58,7 +58,7 @@ def line_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def csv_files(
-    spark: SparkSession, paths: str | Sequence[str], delimiter: str = ","
+    spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
     """One row per file: delimiter, header, whether records span lines, and the
     reason to refuse it.
@@ -68,7 +68,7 @@ def csv_files(
     otherwise the configured one is used.  After the line profile everything
     works on groups of equal lines.
     """
-    groups = line_profile(spark, paths)
+    groups = line_profile(spark, paths, encoding)
     top = F.struct(*COUNTS, "filled", "header")
     heads = groups.groupBy("path").agg(F.min_by(top, F.struct("block", "first_line")).alias("top"))
     with_head = groups.join(heads, "path")
@@ -112,8 +112,8 @@ def csv_files(
         .agg(F.min(F.struct("row", "columns")).alias("bad"))
     )
     error = (
-        F.when(~F.col("any_filled"), "File is empty")
-        .when(~F.col("utf8"), "Invalid encoding")
+        F.when(~F.col("utf8"), "Invalid encoding")
+        .when(~F.col("any_filled"), "File is empty")
         .when(~F.col("top.filled"), "No columns found in header")
         .when(
             ~F.col("odd_quotes") & F.col("bad").isNotNull(),
@@ -155,7 +155,7 @@ def read_csv(
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
+        .option("multiLine", multi_line or is_wide(encoding))
         .option("mode", "PERMISSIVE")
     )
     if columns is None:

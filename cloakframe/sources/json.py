@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.sources.lake import flatten_structs, source_path
+from cloakframe.sources.lake import UTF8, flatten_structs, read_texts
 
 # Keys that hold the records of a wrapped file, in order.
 RECORD_KEYS = ("records", "data", "items", "results", "rows")
@@ -68,17 +68,17 @@ def _layout(schema: str | None, fields: list[str]) -> str | None:
     return "\n".join([schema or "", *fields]) if schema or fields else None
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    lines = spark.read.text(paths).select(source_path().alias("path"), "value", F.try_parse_json("value").alias("v"))
+def _lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    lines = read_texts(spark, paths, encoding).withColumn("v", F.try_parse_json("value"))
     return lines.withColumn("unsure", _unsure(F.col("value"), F.col("v")))
 
 
-def line_shapes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def line_shapes(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Per file: filled lines, how many are objects or unsure, encoding and layout; splittable."""
     is_object = F.coalesce(_is_object(F.col("v")), F.lit(False))
     return (
-        _lines(spark, paths)
-        .withColumns({"utf8": F.is_valid_utf8("value"), "filled": F.col("value").rlike(r"\S"), "object": is_object})
+        _lines(spark, paths, encoding)
+        .withColumns({"utf8": F.col("valid"), "filled": F.col("value").rlike(r"\S"), "object": is_object})
         .groupBy("path")
         .agg(
             F.count_if("filled").alias("lines"),
@@ -90,13 +90,13 @@ def line_shapes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _documents(spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None) -> DataFrame:
+def _documents(spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """One row per file and record, or one for a file without: ``(path, shape, records_path, error, value, v)``.
 
     A document is one value and cannot be split, so each is parsed in one task,
     as Spark's own multi-line reader does.
     """
-    docs = spark.read.text(paths, wholetext=True).select(source_path().alias("path"), F.col("value").alias("document"))
+    docs = read_texts(spark, paths, encoding, wholetext=True).select("path", F.col("value").alias("document"))
     # Functions that read the text as a stream: a parsed variant has a size limit.  What several
     # columns need is a column itself, so a document is not parsed again for each of them.
     docs = docs.withColumns({"size": F.json_array_length("document"), "own_keys": F.json_object_keys("document")})
@@ -146,11 +146,11 @@ def _documents(spark: SparkSession, paths: str | Sequence[str], records_path: st
 
 
 def document_shapes(
-    spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
+    spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None, encoding: str = "UTF-8"
 ) -> DataFrame:
     """Shape of files that are one JSON document: ``(path, shape, records_path, error, layout, unsure)``."""
     return (
-        _documents(spark, paths, records_path)
+        _documents(spark, paths, records_path, encoding)
         .groupBy("path", "shape", "records_path", "error")
         .agg(F.schema_of_variant_agg("v").alias("layout"), F.count_if(_unsure(F.col("value"), F.col("v"))).alias("unsure"))
     )
@@ -160,7 +160,7 @@ JSON_FILES = "path string, shape string, records_path string, error string, layo
 
 
 def json_files(
-    spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None
+    spark: SparkSession, paths: str | Sequence[str], records_path: str | None = None, encoding: str = "UTF-8"
 ) -> DataFrame:
     """One row per file: ``(path, shape, records_path, error, layout)``.
 
@@ -172,13 +172,13 @@ def json_files(
     of them whole; a single object only counts as such in an ``.ndjson`` file.
     A file in which most lines are objects is NDJSON with bad lines, and refused.
     """
-    lines = line_shapes(spark, paths).collect()
+    lines = line_shapes(spark, paths, encoding).collect()
 
     def by_line(r, objects: int) -> bool:
         return r.path.lower().endswith(".ndjson") or (objects > 1 and 2 * objects > r.lines)
 
     doubtful = [r.path for r in lines if r.unsure and by_line(r, r.objects + r.unsure)]
-    sure = _settled(_lines(spark, doubtful).where("unsure")) if doubtful else {}
+    sure = _settled(_lines(spark, doubtful, encoding).where("unsure")) if doubtful else {}
     out, rest = [], []
     for r in lines:
         more, fields = sure.get(r.path, (0, []))
@@ -195,16 +195,23 @@ def json_files(
             error = f"{r.lines - objects} lines are not JSON objects"
         out.append((r.path, "ndjson", None, error, _layout(r.layout, fields)))
     if rest:
-        found = document_shapes(spark, rest, records_path).collect()
+        found = document_shapes(spark, rest, records_path, encoding).collect()
         doubtful = [r.path for r in found if r.unsure and not r.error]
         sure = {}
         if doubtful:
-            records = _documents(spark, doubtful, records_path)
+            records = _documents(spark, doubtful, records_path, encoding)
             sure = _settled(records.where(_unsure(F.col("value"), F.col("v"))))
         out += [(r.path, r.shape, r.records_path, r.error, _layout(r.layout, sure.get(r.path, (0, []))[1])) for r in found]
     return spark.createDataFrame(out, JSON_FILES)
 
 
+def reader_options(encoding: str = UTF8, multi_line: bool = False) -> dict[str, str]:
+    """How Spark's reader is told the charset; it asks for a line separator with any but its own."""
+    own = encoding.upper().replace("_", "-") == UTF8
+    lines = {"multiLine": "true"} if multi_line else {} if own else {"lineSep": "\n"}
+    return ANY_LENGTH | lines | ({} if own else {"encoding": encoding})
+
+
 def read_ndjson(spark: SparkSession, paths: str | Sequence[str], flatten: bool = True) -> DataFrame:
     df = spark.read.options(**ANY_LENGTH).json(paths)
     return flatten_structs(df) if flatten else df

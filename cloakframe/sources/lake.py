@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,49 @@ def source_path() -> Column:
     return plain(F.col("_metadata.file_path"))
 
 
+UTF8 = "UTF-8"
+
+
+def is_wide(encoding: str) -> bool:
+    """A line feed is more than one byte, so lines are told apart only after decoding."""
+    return len("\n".encode(encoding)) > 1
+
+
+def _decoder(encoding: str):
+    """Bytes as text, or null where they are none in this charset."""
+
+    @F.pandas_udf("string")
+    def decoded(values: pd.Series) -> pd.Series:
+        def one(raw: bytes) -> str | None:
+            try:
+                return bytes(raw).decode(encoding).removeprefix("\ufeff")
+            except UnicodeDecodeError:
+                return None
+
+        return values.map(one, na_action="ignore")
+
+    return decoded
+
+
+def read_texts(spark: SparkSession, paths: str | Sequence[str], encoding: str = UTF8, wholetext: bool = False) -> DataFrame:
+    """Lines, or whole files, as ``(path, block, value, valid)``; ``value`` is empty where bytes are not valid.
+
+    Spark's text reader cuts lines by bytes and keeps those as they are, so they are decoded afterwards, in
+    tasks.  Files of a wide charset are read whole and cut after decoding.
+    """
+    wide = is_wide(encoding) and not wholetext
+    raw = spark.read.text(paths, wholetext=wholetext or wide)
+    raw = raw.select(source_path().alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    if encoding.upper().replace("_", "-") == UTF8:
+        return raw.withColumn("valid", F.is_valid_utf8("value"))
+    text = raw.withColumn("value", _decoder(encoding)(F.col("value").cast("binary")))
+    text = text.withColumn("valid", F.col("value").isNotNull()).withColumn("value", F.coalesce("value", F.lit("")))
+    if not wide:
+        return text
+    lines = F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")
+    return text.select("path", "block", F.explode(lines).alias("value"), "valid")
+
+
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``(path, file_name, length, modified)``; file contents are not read.
 

@@ -358,3 +358,29 @@ def test_footers_of_many_files_in_one_job(spark, tmp_path):
     groups, refused = gate_files(spark, f"{tmp_path}/in")
     assert sorted(len(g.paths) for g in groups) == [200, 400] and refused.count() == 1
     assert [k for k, v in parquet_source.schemas_of(spark, [r.path for r in found if r.error or r.path.endswith("/1.parquet")]) if not v] == [r.path for r in found if r.error]
+
+
+@pytest.mark.parametrize("encoding", ["ISO-8859-1", "windows-1252", "UTF-16LE"])
+def test_files_of_another_charset(spark, tmp_path, encoding):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    put(src, "a.csv", "näme;émail\r\nJürgen;q@example.org\r\nçx;y\r\n".encode(encoding))
+    put(src, "b.ndjson", '{"näme":"Zoë","mail":"w@example.org"}\n{"näme":"ñ","mail":"-"}\n'.encode(encoding))
+    put(src, "c.json", '[{"k":"ü","mail":"e@example.org"}]'.encode(encoding))
+    bad = {"ISO-8859-1": [], "windows-1252": [b"a,b\n1,\x81\n"], "UTF-16LE": ["a,b\n1,2\n".encode(encoding) + b"\x00\xd8"]}[encoding]
+    for content in bad:
+        put(src, "bad.csv", content)
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # Spark's readers take other charsets than its own list only so
+    try:
+        results = protect_files(spark, src, out, Policy((Rule("EMAIL_ADDRESS", "redact"),)), SECRETS, encoding=encoding)
+    finally:
+        spark.conf.unset("spark.sql.legacy.javaCharsets")
+    assert {r.source_key: (r.rows, r.error) for r in results.collect()} == {"a.csv": (2, None), "b.ndjson": (2, None), "c.json": (1, None)} | {"bad.csv": (0, "Invalid encoding") for _ in bad}
+
+    def text(fmt, key):
+        folder = f"{out}/protected/{fmt}/source_key={key}"
+        return "".join(open(f"{folder}/{f}", "rb").read().decode(encoding) for f in sorted(os.listdir(folder)) if f.startswith("part"))
+
+    assert text("csv", "a.csv").splitlines() == ["näme,émail", "Jürgen,[REDACTED]", "çx,y"]
+    assert [json.loads(x) for x in text("json", "b.ndjson").splitlines()] == [{"mail": "[REDACTED]", "näme": "Zoë"}, {"mail": "-", "näme": "ñ"}]
+    assert json.loads(text("json", "c.json")) == {"k": "ü", "mail": "[REDACTED]"}
+    assert not os.path.exists(f"{out}/schema_issues") or spark.read.parquet(f"{out}/schema_issues").count() == 0
