@@ -22,7 +22,7 @@ from cloakframe.operators.vault import append_pairs
 from cloakframe.plans import audit as audit_log
 from cloakframe.plans.layout import partition_folder, partition_value
 from cloakframe.plans.policy import Policy
-from cloakframe.plans.scratch import children, qualified, remove, scratch_path
+from cloakframe.plans.scratch import children, exists, qualified, remove, scratch_path
 from cloakframe.plans.secrets import Secrets
 from cloakframe.sources import csv as csv_source
 from cloakframe.sources import json as json_source
@@ -328,9 +328,9 @@ def protect_files(
         refuse(quarantine)
         for group in groups:
             run(group)
-        if audit_path:  # at once, as one partition of the day
-            audit_log.write_audit(spark.read.parquet(f"{work}/audit"), audit_path, request)
     finally:
+        if audit_path and exists(spark, f"{work}/audit"):  # at once, as one partition of the day; also what a broken-off run has done
+            audit_log.write_audit(spark.read.parquet(f"{work}/audit"), audit_path, request)
         remove(spark, work)
     return spark.read.schema(RESULT_SCHEMA).parquet(run_path)
 

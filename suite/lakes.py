@@ -58,10 +58,10 @@ def csv_roundtrip_people(spark, sf_dir):
     return csv_source.read_csv(spark, path)
 
 
-@query("csv_semicolon_people", f"WITH {PEOPLE_SQL} SELECT CAST(row_key AS VARCHAR) AS row_key, name, city FROM people")
+@query("csv_semicolon_people", f"WITH {PEOPLE_SQL} SELECT CAST(row_key AS VARCHAR) AS row_key, name, email, phone, nino, nhs, card, postcode, city, vrn, sort_code, ip FROM people")
 def csv_semicolon_people(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    csv_source.write_csv(people(spark, sf_dir).select("row_key", "name", "city"), path, ";")
+    csv_source.write_csv(people(spark, sf_dir).select("row_key", "name", "email", "phone", "nino", "nhs", "card", "postcode", "city", "vrn", "sort_code", "ip"), path, ";")
     groups, _ = gate_files(spark, path)
     rows = None
     for g in groups:
@@ -119,20 +119,32 @@ def csv_gate_nations(spark, sf_dir):
     )
 
 
-@query("json_array_roundtrip_orders", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+# All columns, with a number of any precision, a time and a null in every tenth row.
+_ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+  CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders"""
+
+
+def _orders(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderpriority")))
+
+
+def _times_plain(df: DataFrame) -> DataFrame:
+    """JSON has no times: they come back as texts, shown here without the T and fractions."""
+    return df.withColumn("o_orderdate", F.replace(F.substring("o_orderdate", 1, 19), F.lit("T"), F.lit(" ")))
+
+
+@query("json_array_roundtrip_orders", _ORDERS)
 def json_array_roundtrip_orders(spark, sf_dir):
     path = scratch_path(spark, "json")
-    json_source.write_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), path)
-    return json_source.read_json(spark, path)
+    json_source.write_json(_orders(spark, sf_dir), path)
+    return _times_plain(json_source.read_json(spark, path))
 
 
-@query("json_wrapped_roundtrip_orders", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+@query("json_wrapped_roundtrip_orders", _ORDERS)
 def json_wrapped_roundtrip_orders(spark, sf_dir):
     path = scratch_path(spark, "json")
-    json_source.write_json(
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), path, "rows"
-    )
-    return json_source.read_json(spark, path, "rows")
+    json_source.write_json(_orders(spark, sf_dir), path, "rows")
+    return _times_plain(json_source.read_json(spark, path, "rows"))
 
 
 @query(
@@ -153,13 +165,13 @@ def json_shapes_orders(spark, sf_dir):
 
 @query(
     "ndjson_flatten_customers",
-    """SELECT c_custkey AS id, c_name AS "who.name", c_nationkey AS "who.place.nation", c_mktsegment AS segment FROM customer""",
+    """SELECT c_custkey AS id, c_name AS "who.name", c_nationkey AS "who.place.nation", c_mktsegment AS segment, c_acctbal AS "who.balance" FROM customer""",
 )
 def ndjson_flatten_customers(spark, sf_dir):
     path = scratch_path(spark, "ndjson")
     nested = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"),
-        F.struct(F.col("c_name").alias("name"), F.struct(F.col("c_nationkey").alias("nation")).alias("place")).alias("who"),
+        F.struct(F.col("c_name").alias("name"), F.struct(F.col("c_nationkey").alias("nation")).alias("place"), F.col("c_acctbal").alias("balance")).alias("who"),
         F.col("c_mktsegment").alias("segment"),
     )
     json_source.write_ndjson(nested, path)
