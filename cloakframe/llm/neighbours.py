@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloakframe.llm.stage import saved
+from cloakframe.llm.words import list_column
 
 #: Classes that the trees are fitted on, at most.
 SAMPLE = 20_000
@@ -33,6 +34,8 @@ TREES = 8
 LEAF, LEAST = 512, 8
 #: Share of all trees' leaves that a query visits.
 SHARE = 0.18
+#: Queries that are compared with a leaf at once, and found rows that one merging group holds.
+QUERIES, MERGED = 256, 1 << 20
 
 
 class Tree:
@@ -101,6 +104,11 @@ class Forest:
         return found
 
 
+def visits(forest: Forest, share: float) -> int:
+    """Leaves that each query visits."""
+    return max(1, int(np.ceil(share * forest.first[-1])))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Equally long lists as rows, in double precision."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -126,42 +134,52 @@ def _place_stage(forest, longest: float):
 
 def _visit_stage(forest, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaves = max(1, int(np.ceil(share * forest.value.first[-1])))
-        for batch in batches:
-            for k, point in enumerate(_longer(_matrix(batch.column("vector")), 0.0) if batch.num_rows else ()):
-                found = forest.value.visit(point, leaves)
-                same = pa.array([k] * len(found))
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column("id").take(same), batch.column("vector").take(same)], names=["leaf", "id", "vector"])
+        leaves = visits(forest.value, share)
+        for whole in batches:
+            for at in range(0, whole.num_rows, QUERIES):
+                batch = whole.slice(at, QUERIES)
+                found = [forest.value.visit(point, leaves) for point in _longer(_matrix(batch.column("vector")), 0.0)]
+                same = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64()), batch.column("id").take(same), batch.column("vector").take(same)], names=["leaf", "id", "vector"])
 
     return run
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+def _best(queries: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best rows of each query, in order of query and rank, and their ranks from nought."""
+    order = np.lexsort((ids, -scores, queries))
+    queries = queries[order]
+    rank = np.arange(len(queries)) - np.searchsorted(queries, queries)
+    kept = rank < k
+    return queries[kept], ids[order][kept], scores[order][kept], rank[kept]
 
 
 def _leaf_stage(k: int):
     """Each query's nearest in one leaf."""
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if queries.num_rows and rows.num_rows:
             held = rows.column("ids").combine_chunks()
             counts = np.asarray(held.value_lengths())
             ids = np.asarray(held.flatten())
             points = _matrix(rows.column("vector"))
-            wanted = queries.column("id").to_pylist()
+            wanted = queries.column("id").to_numpy()
             vectors = _matrix(queries.column("vector"))
-            for at in range(0, len(wanted), 256):
-                for query, scores in zip(wanted[at : at + 256], vectors[at : at + 256] @ points.T):
-                    near = np.argpartition(-scores, k)[: k + 1] if len(scores) > k + 1 else np.arange(len(scores))
-                    near = np.flatnonzero(scores >= scores[near].min())  # with all ties of the last
-                    own = ids_of(near, counts, ids)
-                    value = np.repeat(scores[near], counts[near])
-                    other = own != query
-                    found.append((query, *_best(own[other], value[other], k)))
-        return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "ids": pa.array([x[1] for x in found], pa.list_(pa.int64())), "scores": pa.array([x[2] for x in found], pa.list_(pa.float64()))})
+            for at in range(0, len(wanted), QUERIES):
+                scores = vectors[at : at + QUERIES] @ points.T
+                if scores.shape[1] > k + 1:  # the query's own class and k others, with all ties of the last
+                    query, near = np.nonzero(scores >= np.partition(scores, -k - 1, axis=1)[:, -k - 1, None])
+                else:
+                    query, near = (x.ravel() for x in np.indices(scores.shape))
+                own, n = wanted[at + query], counts[near]
+                others, values, asked = ids_of(near, counts, ids), np.repeat(scores[query, near], n), np.repeat(own, n)
+                other = others != asked
+                found.append(_best(asked[other], others[other], values[other], k)[:3])
+        asked, others, values = (np.concatenate(x) for x in zip(*found))
+        start = np.flatnonzero(np.append(True, asked[1:] != asked[:-1])) if len(asked) else asked
+        size = np.diff(np.append(start, len(asked)))
+        return pa.table([pa.array(asked[start]), list_column(others, size, pa.int64()), list_column(values, size, pa.float64())], names=["id", "ids", "scores"])
 
     return run
 
@@ -174,24 +192,32 @@ def ids_of(which: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> np.ndarray
 
 
 def _merge_stage(k: int):
-    """Each query's nearest over all its leaves; a vector that several trees found counts once."""
+    """The nearest of some queries over all their leaves; a vector that several trees found counts once."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, first = np.unique(np.asarray(table.column("ids").combine_chunks().flatten()), return_index=True)
-        ids, scores = _best(ids, np.asarray(table.column("scores").combine_chunks().flatten())[first], k)
-        query = table.column("id")[0].as_py()
-        return pa.table({"query_id": pa.array([query] * len(ids), pa.int64()), "rank": pa.array(np.arange(1, len(ids) + 1), pa.int32()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
+        table = table.combine_chunks()
+        lists = table.column("ids").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int64()))
+        query = np.repeat(table.column("id").to_numpy(), np.asarray(lists.value_lengths()))
+        ids, scores = np.asarray(lists.flatten()), np.asarray(table.column("scores").combine_chunks().flatten())
+        order = np.lexsort((-scores, ids, query))
+        query, ids, scores = query[order], ids[order], scores[order]
+        new = np.ones(len(query), dtype=bool)
+        new[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
+        query, ids, scores, rank = _best(query[new], ids[new], scores[new], k)
+        return pa.table({"query_id": pa.array(query, pa.int64()), "rank": pa.array(rank + 1, pa.int32()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     return run
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """id, vector: rows that take part, in double precision, each once.
+    """id, vector: rows that take part, each once; vectors of floats stay so, all others are of doubles.
 
     Left out are null ids, null, empty and zero vectors, those with null or non-finite components,
     and those not of the most frequent length (the longer one, if two are).
     """
-    v = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vector")).where("id is not null and vector is not null")
+    kind = vectors.select(F.col(f"`{vector}`").alias("v")).schema["v"].dataType
+    kind = "array<float>" if kind.typeName() == "array" and kind.elementType.typeName() == "float" else "array<double>"
+    v = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(kind).alias("vector")).where("id is not null and vector is not null")
     finite = v.where(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0))
     size = finite.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).limit(1).collect()
     return finite.where(F.size("vector") == (size[0].size if size else 0)).distinct()
@@ -209,12 +235,17 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
     order = Window.partitionBy("vector").orderBy("id")
     least = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     classes = saved(least.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")))
-    count, longest = classes.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)))).first()
+    count, longest = classes.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)))).first()
     chosen = classes.select("vector").orderBy(F.xxhash64("vector")).limit(sample).collect()
     points = np.array([r.vector for r in chosen], dtype=np.float64).reshape(len(chosen), len(chosen[0].vector) if chosen else 1)
     held = max(LEAST, leaf * len(points) // max(count, 1))
-    forest = spark.sparkContext.broadcast(Forest(_longer(points, longest or 0.0), held, trees))
-    index = classes.mapInArrow(_place_stage(forest, longest or 0.0), "leaf long, ids array<long>, vector array<double>")
-    queries = rows.where(is_query(F.col("id"))).mapInArrow(_visit_stage(forest, share), "leaf long, id long, vector array<double>")
+    made = Forest(_longer(points, longest or 0.0), held, trees)
+    forest = spark.sparkContext.broadcast(made)
+    kind = rows.schema["vector"].dataType.simpleString()
+    index = classes.mapInArrow(_place_stage(forest, longest or 0.0), f"leaf long, ids array<long>, vector {kind}")
+    asking = saved(rows.where(is_query(F.col("id"))))
+    queries = asking.mapInArrow(_visit_stage(forest, share), f"leaf long, id long, vector {kind}")
     found = queries.groupBy("leaf").cogroup(index.groupBy("leaf")).applyInArrow(_leaf_stage(k), "id long, ids array<long>, scores array<double>")
-    return found.groupBy("id").applyInArrow(_merge_stage(k), "query_id long, rank int, vec_id long, score double")
+    groups = max(1, -(-asking.count() * visits(made, share) * k // MERGED))
+    dealt = found.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    return dealt.groupBy("group").applyInArrow(_merge_stage(k), "query_id long, rank int, vec_id long, score double")
