@@ -114,7 +114,7 @@ def _compared(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) ->
 
 
 def _block_stage(shingle: int, percent: int):
-    """One link of each asking set to each other component of its block."""
+    """Links of asking sets to sets of other components in their blocks, as few as connect what the call's links connect."""
 
     def run(table: pa.Table) -> pa.Table:
         reps, components_, asks = (table.column(c).to_numpy() for c in ("rep", "component", "asks"))
@@ -122,6 +122,14 @@ def _block_stage(shingle: int, percent: int):
         size = np.array([len(x) for x in sets])
         _, block = np.unique(np.stack([table.column("main").to_numpy(), table.column("block").to_numpy()]), axis=1, return_inverse=True)
         links = []
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := above.get(x, x)) != x:
+                above[x] = above.get(up, up)
+                x = up
+            return x
+
         for k in range(block.max() + 1 if len(block) else 0):
             inside = np.flatnonzero((block == k) & ~asks)
             if not len(inside):
@@ -136,8 +144,11 @@ def _block_stage(shingle: int, percent: int):
                 both = np.bincount(owner[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())], minlength=len(inside))
                 near = (both > 0) & (100 * both >= percent * (size[q] + size[inside] - both)) & (components_[inside] != components_[q])
                 found = inside[near]
-                first = np.unique(components_[found], return_index=True)[1]
-                links += [(reps[q], reps[j]) for j in found[first]]
+                for j in found[np.unique(components_[found], return_index=True)[1]].tolist():
+                    mine, other = root(int(components_[q])), root(int(components_[j]))
+                    if mine != other:
+                        above[mine] = other
+                        links.append((reps[q], reps[j]))
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
     return run
