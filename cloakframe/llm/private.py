@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cloakframe.functions.hof import let, running
 from cloakframe.llm.stage import saved
 
 # Kinds in their order and what matches them.  Each pattern finds what the plain one
@@ -46,19 +47,45 @@ _FOUND = "array<struct<start:int,end:int,value:string,before:string,after:string
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """Every match with its place in code points and what stands around it."""
-    gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.arrays_zip(values.alias("value"), gaps.alias("before"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("after"))
-    whole = F.filter(parts, lambda p: p["value"].isNotNull())
+    """Every match with its place in code points and what stands around it, cut between words."""
 
-    def add(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["before"])
-        end = start + F.length(part["value"])
-        row = F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value"), F.right(part["before"], F.lit(CONTEXT)).alias("before"), F.left(part["after"], F.lit(CONTEXT)).alias("after"))
-        return F.struct(end.alias("at"), F.concat(state["rows"], F.array(row)).alias("rows"))
+    def placed(parts: Column) -> Column:
+        values, gaps = parts["values"], parts["gaps"]
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("rows"))
-    return F.when(text.rlike(pattern), F.aggregate(whole, first, add, lambda s: s["rows"])).otherwise(F.array().cast(_FOUND))
+        def step(last: Column, i: Column) -> Column:
+            start = last["end"] + F.length(F.get(gaps, i))
+            return F.struct(start.alias("start"), (start + F.length(F.get(values, i))).alias("end"))
+
+        def row(place: Column, i: Column) -> Column:
+            before, after = F.get(gaps, i), F.get(gaps, i + 1)
+            before = F.when(F.length(before) > CONTEXT, F.regexp_replace(F.right(before, F.lit(CONTEXT)), r"^\S+", "")).otherwise(before)
+            after = F.when(F.length(after) > CONTEXT, F.regexp_replace(F.left(after, F.lit(CONTEXT)), r"\S+$", "")).otherwise(after)
+            return F.struct(place["start"].alias("start"), place["end"].alias("end"), F.get(values, i).alias("value"), before.alias("before"), after.alias("after"))
+
+        places = running(F.size(values), F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")), step)
+        return let(places, lambda found: F.transform(found, row))
+
+    parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps"))
+    return F.when(text.rlike(pattern), let(parts, placed)).otherwise(F.array().cast(_FOUND))
+
+
+def _apart(tokens: Column, base: Column) -> Column:
+    """The tokens, disjoint and in order, that overlap no base span: one pass over all ends of tokens and starts of spans."""
+
+    def swept(events: Column) -> Column:
+        def step(last: Column, k: Column) -> Column:
+            e = F.get(events, k)
+            span = e["token"] < 0
+            reach = F.when(span, F.greatest(last["reach"], e["other"])).otherwise(last["reach"])
+            return F.struct(reach.alias("reach"), F.when(~span & (last["reach"] <= e["other"]), e["token"]).otherwise(F.lit(-1)).alias("token"))
+
+        kept = running(F.size(events), F.struct(F.lit(-1).alias("reach"), F.lit(-1).alias("token")), step)
+        return F.transform(F.filter(kept, lambda r: r["token"] >= 0), lambda r: F.get(tokens, r["token"]))
+
+    # a span that starts where a token ends does not overlap it and comes after it
+    ends = F.transform(tokens, lambda t, i: F.struct(t["end"].alias("at"), F.lit(0).alias("order"), t["start"].alias("other"), i.alias("token")))
+    starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("order"), b["end"].alias("other"), F.lit(-1).alias("token")))
+    return F.when((F.size(tokens) > 0) & (F.size(base) > 0), let(F.array_sort(F.concat(ends, starts)), swept)).otherwise(tokens)
 
 
 def _digits(value: Column) -> Column:
@@ -118,8 +145,7 @@ def find_private(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     found = own.select("doc_id", F.monotonically_increasing_id().alias("row"), F.concat(*(F.transform(base[name], row(k)) for k, name in enumerate(KINDS, 1))).alias("base"), _matches(F.col("text"), CANDIDATE).alias("tokens"))
     trimmed = F.transform("tokens", lambda m: F.struct(m["start"].alias("start"), (m["start"] + F.length(F.rtrim(m["value"], F.lit(".,;:!?)")))).alias("end"), F.rtrim(m["value"], F.lit(".,;:!?)")).alias("value"), _contexts(m).alias("patterns")))
-    apart = F.filter("tokens", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    found = saved(found.withColumn("tokens", trimmed).withColumn("tokens", apart))
+    found = saved(found.withColumn("tokens", trimmed).withColumn("tokens", _apart(F.col("tokens"), F.col("base"))))
 
     seeds = found.select(F.explode("base").alias("b")).select("b.kind", "b.value", F.explode("b.patterns").alias("pattern")).where("pattern is not null")
     places = found.select("row", F.explode("tokens").alias("t")).select("row", "t.start", "t.end", "t.value", F.explode("t.patterns").alias("pattern")).where("pattern is not null")
