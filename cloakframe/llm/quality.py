@@ -1,228 +1,86 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney model of order four over text symbols.
+"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted texts, thresholds by language.
 
-Bytes of UTF-8 are read as one of ``SYMBOLS`` symbols: each ASCII letter, white space, groups of
-other characters.  Four-grams of all trusted texts are counted in blocks and summed by key; the
-lower orders' continuation counts, the contexts' totals and the discounts come from joins and
-groupings of that sharded table.  With 64 symbols no table has more than 64**4 rows, and what the last
-join gives (a probability for each four-gram seen, a back-off weight for each context) is bounded by
-the alphabet and not by the corpus.  So it reaches the scoring tasks as a broadcast: every text is
-scored in the scan, by one look-up per byte, and no text is shuffled.
-
-A text's threshold is its language's: the median of trusted texts' cross-entropies, and ``SPREAD``
-times the way from there to their ``UPPER`` quantile.
-
-Symbols do not show ordinary words in bad order, so a text has to pass the word model of ``word_model``
-as well, whose limit is the ``WORD_UPPER`` quantile of its language's trusted texts.
+The words of trusted texts are modelled by ``word_model``, whose tables grow with the corpus and stay
+sharded.  One in ``FOLD`` distinct trusted texts, chosen by a hash of the text so that copies stay
+together, is held out of the model: the limit of a language is the ``UPPER`` quantile of its held-out
+texts.  They are as new to the model as any other text, so that share of good texts is kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cloakframe.llm import word_model
 from cloakframe.llm.stage import saved, small
-from cloakframe.llm.words import texts_of
-
-ORDER, BITS = 4, 6
-SYMBOLS = 1 << BITS
-#: The threshold: median + SPREAD * (UPPER quantile - median), from LEAST trusted texts of a language or else from all.
-UPPER, SPREAD, LEAST = 0.99, 3.0, 100
-#: The quantile of trusted texts that is the limit of the word model.
-WORD_UPPER = 0.998
-#: Bytes that are counted or scored at once.
-STEP = 1 << 20
-
-
-def _symbols() -> np.ndarray:
-    """The symbol of each byte: letters, space, line feed, digits, punctuation, parts of other characters."""
-    groups = [*([b] for b in range(0x61, 0x7B)), *([b] for b in range(0x41, 0x5B)), [0x20], [0x0A], list(range(0x30, 0x3A)), [0x2E], [0x2C], list(b"!?;:'\"-()"), [0xC3], list(range(0x80, 0xA0)), list(range(0xA0, 0xC0)), [0xC2, *range(0xC4, 0x100)]]
-    out = np.zeros(256, dtype=np.int64)  # any other control or ASCII character
-    for k, group in enumerate(groups, 1):
-        out[group] = k
-    return out
-
-
-_SYMBOL = _symbols()
-_PAD = b"\n" * (ORDER - 1)
-
-
-def grams_of(text: bytes) -> Iterator[np.ndarray]:
-    """Codes of the four-grams that end at each byte, a step at a time."""
-    for at in range(0, len(text), STEP):
-        before = text[max(0, at - ORDER + 1) : at]
-        s = _SYMBOL[np.frombuffer(_PAD[: ORDER - 1 - len(before)] + before + text[at : at + STEP], dtype=np.uint8)]
-        code = s[: len(s) - ORDER + 1]
-        for k in range(1, ORDER):
-            code = (code << BITS) | s[k : len(s) - ORDER + 1 + k]
-        yield code
-
-
-def _count_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flushed(codes: list[np.ndarray]) -> pa.RecordBatch:
-        gram, n = np.unique(np.concatenate(codes), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
-
-    held: list[np.ndarray] = []
-    size = 0
-    for batch in batches:
-        for text in texts_of(batch.column(0)):
-            for codes in grams_of(text):
-                held.append(codes)
-                size += len(codes)
-                if size > 4 * STEP:
-                    yield flushed(held)
-                    held, size = [], 0
-    if held:
-        yield flushed(held)
-
-
-@dataclass
-class Model:
-    """Kneser-Ney probabilities of n-grams seen and back-off weights of contexts, for each order."""
-
-    grams: list[np.ndarray]
-    probabilities: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
-
-    def surprise(self) -> np.ndarray:
-        """-log p of each four-gram's last symbol after the others, seen or not; made once in each process."""
-        if not hasattr(self, "_surprise"):
-            p = np.full(1, 1.0 / SYMBOLS)
-            for grams, seen, contexts, weights in zip(self.grams, self.probabilities, self.contexts, self.weights):
-                back = np.ones(len(p) if len(p) > 1 else 1, dtype=np.float32)
-                back[contexts] = weights
-                lower = p.astype(np.float32)
-                if len(p) == 1:
-                    p = np.full(SYMBOLS, back[0] * lower[0], dtype=np.float32)
-                else:  # code = context * 64 + symbol; its suffix is the code without the first symbol
-                    p = (back.reshape(SYMBOLS, -1, 1) * lower.reshape(1, -1, SYMBOLS)).reshape(-1)
-                p[grams] = seen
-            self._surprise = np.negative(np.log(p, out=p), out=p)
-        return self._surprise
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_surprise"}
+
+#: The quantile of held-out trusted texts that is a language's limit.
+UPPER = 0.998
+#: Fewer texts than this do not reach the quantile: such a language has the limit of all.
+LEAST = round(1 / (1 - UPPER))
+#: One distinct trusted text in FOLD is held out of the model.
+FOLD = 3
+#: The least discount, so that what was not seen has a probability in small corpora too.
+FLOOR = 0.1
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """What modified Kneser-Ney takes from counts of one, two, and three or more."""
     y = n1 / (n1 + 2 * n2) if n1 else 0.0
     raw = [k - (k + 1) * y * above / here if here else 0.0 for k, here, above in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
-
-
-def train(texts: DataFrame, text: str = "text") -> Model | None:
-    """The model of all rows of ``texts``; none if they hold no text."""
-    counts = texts.select(F.col(f"`{text}`").cast("string")).mapInArrow(_count_stage, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("c"))
-    tables = [saved(counts)]
-    for n in range(ORDER - 1, 0, -1):  # lower orders count the symbols seen before them
-        tables.insert(0, saved(tables[0].select((F.col("gram") % F.lit(1 << (BITS * n))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))))
-    model = Model([], [], [], [])
-    lower = None
-    for n, table in enumerate(tables, 1):
-        n1, n2, n3, n4 = table.agg(*(F.count_if(F.col("c") == k) for k in (1, 2, 3, 4))).first()
-        d1, d2, d3 = discounts(n1, n2, n3, n4)
-        own = table.select("gram", "c", F.shiftright("gram", BITS).alias("context"), F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3).alias("d"))
-        contexts = own.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
-        joined = own.join(contexts, "context").select("gram", "context", ((F.col("c") - F.col("d")) / F.col("total")).alias("top"), "weight")
-        if lower is None:
-            p = joined.select("gram", (F.col("top") + F.col("weight") / SYMBOLS).alias("p"))
-        else:
-            suffix = (F.col("gram") % F.lit(1 << (BITS * (n - 1)))).alias("suffix")
-            p = joined.select("gram", "top", "weight", suffix).join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix").select("gram", (F.col("top") + F.col("weight") * F.col("below")).alias("p"))
-        lower = saved(p)
-        seen, back = lower.toArrow(), contexts.select("context", "weight").toArrow()
-        if not seen.num_rows:
-            return None
-        model.grams.append(seen.column(0).to_numpy())
-        model.probabilities.append(seen.column(1).to_numpy())
-        model.contexts.append(back.column(0).to_numpy())
-        model.weights.append(back.column(1).to_numpy())
-    return model
-
-
-def score(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
-    """``docs`` with the mean of -log p per byte added as ``name``; null where there is no text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surprise = sent.value.surprise()
-        for batch in batches:
-            texts = texts_of(batch.column(columns.index(text)).cast(pa.string()))
-            means = [sum(float(surprise[c].sum(dtype=np.float64)) for c in grams_of(x)) / len(x) if x else None for x in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(means, pa.float64())], names=[*columns, name])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
-
-
-def thresholds(scores: DataFrame, upper: float = UPPER, spread: float = SPREAD) -> DataFrame:
+    return tuple(min(max(d, FLOOR), float(k)) for k, d in enumerate(raw, 1))
+
+
+def thresholds(scores: DataFrame, upper: float = UPPER) -> DataFrame:
     """lang, limit: from trusted texts' (lang, nats); the row of null lang holds for all other languages."""
 
     def limit(*by: str) -> DataFrame:
-        q = F.percentile_approx("nats", F.array(F.lit(0.5), F.lit(upper)), 10_000)
-        return scores.where("nats is not null").groupBy(*by).agg(F.count(F.lit(1)).alias("n"), q.alias("q")).withColumn("limit", F.col("q")[0] + spread * (F.col("q")[1] - F.col("q")[0]))
+        q = F.percentile_approx("nats", F.lit(upper), 10_000)
+        return scores.where("nats is not null").groupBy(*by).agg(F.count(F.lit(1)).alias("n"), q.alias("limit"))
 
     whole = limit().where("n > 0").select(F.lit(None).cast("string").alias("lang"), "limit")
     return limit("lang").where((F.col("n") >= LEAST) & F.col("lang").isNotNull()).select("lang", "limit").union(whole)
 
 
-def word_nats(docs: DataFrame, good_keys: DataFrame, key: str, text: str, lang: str) -> DataFrame | None:
-    """id (hash of the text), trusted, lang, nats: the mean of -log p per word; none if no trusted text has a word."""
-    own = docs.select(F.col(f"`{key}`").cast("long").alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    flagged = own.join(good_keys.withColumn("good", F.lit(True)), "_llm_key", "left").select("text", "lang", F.xxhash64("text").alias("id"), F.coalesce("good", F.lit(False)).alias("trusted"))
-    trained = word_model.train(flagged.where("trusted").select("text"))
-    if trained is None:
-        return None
+def held_out(text: Column, fold: int = FOLD) -> Column:
+    """Whether a trusted text is left out of the model."""
+    return F.pmod(F.xxhash64(text, F.lit("fold")), F.lit(fold)) == 0
+
+
+def word_nats(texts: DataFrame, trained: tuple[DataFrame, float]) -> DataFrame:
+    """id (hash of the text), nats: the mean of -log p per word of each text with a word, ends included."""
     model, base = trained
-    above = word_model.scores(flagged.select("id", "trusted", "text"), model)
     words = F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda x: x != ""))
-    sizes = flagged.select("id", "trusted", "lang", words.alias("n")).distinct()
-    return sizes.join(above, ["id", "trusted"]).select("id", "trusted", "lang", (-F.lit(base) - F.col("above") / (F.col("n") + 1)).alias("nats"))
+    sizes = texts.select(F.xxhash64("text").alias("id"), words.alias("n")).where("n > 0").distinct()
+    above = word_model.scores(texts.select(F.xxhash64("text").alias("id"), "text"), model)
+    return sizes.join(above, "id").select("id", (-F.lit(base) - F.col("above") / (F.col("n") + 1)).alias("nats"))
 
 
 def rate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", good: str = "quality") -> DataFrame:
-    """``docs`` with ``perplexity`` (per byte), its ``limit`` and ``kept`` added.
+    """``docs`` with ``perplexity`` (per word), its ``limit`` and ``kept`` added.
 
     Trusted are the rows of ``docs`` whose key has ``good`` = 1 in ``labels``; a key that repeats there
-    counts once.  A text is rejected if its perplexity per byte or per word is above its language's limit; languages
-    with few trusted texts, and null, have the limit of all.  Null and empty texts have no
-    perplexity and are kept, and all are kept where nothing is trusted.  Rows are independent, so
-    repeated ones get equal results.  Columns that have the names of the added ones are replaced.
+    counts once.  A text is rejected if its perplexity is above its language's limit; languages
+    with few held-out trusted texts, and null, have the limit of all.  Null, empty and blank texts have no
+    perplexity and are kept.  All are kept where nothing is trusted or nothing held out; without any
+    model there is no perplexity.  Rows are independent, so repeated ones get equal results.
+    Columns that have the names of the added ones are replaced.
     """
     docs = docs.drop("perplexity", "limit", "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     good_keys = saved(labels.where(F.col(f"`{good}`") == 1).select(F.col(f"`{key}`").cast("long").alias("_llm_key")).where("_llm_key is not null").distinct())
-    keys = small(good_keys, good_keys.count())
-    trusted = docs.select(F.col(f"`{key}`").cast("long").alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).join(keys, "_llm_key", "left_semi").select("text", "lang")
-    model = train(trusted)
-    if model is None:
+    own = docs.select(F.col(f"`{key}`").cast("long").alias("_llm_key"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    trusted = own.join(small(good_keys, good_keys.count()), "_llm_key", "left_semi")
+    trained = word_model.train(trusted.where(~held_out(F.col("text"))).select("text"))
+    if trained is None:
         return docs.select(*columns, F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("limit"), F.lit(True).alias("kept"))
-    limits = saved(thresholds(score(trusted, model, "text", "nats").select("lang", "nats")))
-    own = limits.where("lang is not null").select(F.col("lang").alias("_llm_lang"), F.col("limit").alias("_llm_own"))
-    whole = limits.where("lang is null").first().limit
-    rated = score(docs, model, text, "_llm_nats").join(small(own, own.count()), F.col(f"`{lang}`").cast("string") == F.col("_llm_lang"), "left")
-    limit = F.coalesce("_llm_own", F.lit(whole))
-    fits = F.coalesce(F.col("_llm_nats") <= limit, F.lit(True))
-    worded = word_nats(docs, keys, key, text, lang)
-    if worded is not None:
-        worded = saved(worded)
-        limits = saved(thresholds(worded.where("trusted").select("lang", "nats"), WORD_UPPER, 1.0))
-        most = limits.where("lang is null").first().limit
-        named = limits.where("lang is not null").select("lang", "limit")
-        odd = worded.join(small(named, named.count()), "lang", "left").where(F.col("nats") > F.coalesce("limit", F.lit(most)))
-        odd = saved(odd.select(F.col("id").alias("_llm_id"), F.col("trusted").alias("_llm_good"), F.col("lang").alias("_llm_odd_lang"), F.lit(True).alias("_llm_odd")))
-        flag = keys.withColumnRenamed("_llm_key", "_llm_good_key").withColumn("_llm_trusted", F.lit(True))
-        rated = rated.withColumn("_llm_hash", F.xxhash64(F.col(f"`{text}`").cast("string"))).join(flag, F.col(f"`{key}`").cast("long") == F.col("_llm_good_key"), "left")
-        same = (F.col("_llm_hash") == F.col("_llm_id")) & (F.coalesce("_llm_trusted", F.lit(False)) == F.col("_llm_good")) & F.col(f"`{lang}`").cast("string").eqNullSafe(F.col("_llm_odd_lang"))
-        rated = rated.join(small(odd, odd.count()), same, "left")
-        fits = fits & F.col("_llm_odd").isNull()
-    return rated.select(*columns, F.exp("_llm_nats").alias("perplexity"), F.exp(limit).alias("limit"), fits.alias("kept"))
+    nats = saved(word_nats(own, trained))
+    kept_out = trusted.where(held_out(F.col("text"))).select("lang", F.xxhash64("text").alias("id"))
+    limits = saved(thresholds(kept_out.join(nats, "id")))
+    whole = limits.where("lang is null").first()
+    named = limits.where("lang is not null").select(F.col("lang").alias("_llm_lang"), F.col("limit").alias("_llm_own"))
+    scored = nats.select(F.col("id").alias("_llm_id"), F.col("nats").alias("_llm_nats"))
+    rated = docs.withColumn("_llm_hash", F.xxhash64(F.col(f"`{text}`").cast("string"))).join(small(scored, nats.count()), F.col("_llm_hash") == F.col("_llm_id"), "left")
+    rated = rated.join(small(named, named.count()), F.col(f"`{lang}`").cast("string") == F.col("_llm_lang"), "left")
+    limit = F.coalesce("_llm_own", F.lit(whole.limit if whole else None).cast("double"))
+    return rated.select(*columns, F.exp("_llm_nats").alias("perplexity"), F.exp(limit).alias("limit"), F.coalesce(F.col("_llm_nats") <= limit, F.lit(True)).alias("kept"))

@@ -9,8 +9,7 @@ backed-off probability; both are zero for what was not seen.  So one table (n-gr
 holds the model, and the log p of a text is the sum of its n-grams' values: a join and a grouping.
 The table grows with the corpus, and neither it nor any part of it comes to the driver.
 
-Trusted texts must not know themselves: their n-grams that stand in no other trusted text are taken as
-not seen.  So a limit drawn from them holds for texts outside of the model too.
+Whoever needs an honest limit scores trusted texts that ``train`` has not seen.
 
 N-grams are summed in blocks before the shuffle.  A block's n-gram is one row with the list of texts
 that hold it, so a hot n-gram has a row for each block and not for each occurrence.
@@ -29,8 +28,6 @@ from cloakframe.llm.stage import saved
 from cloakframe.llm.words import SPACED, Block, blocks, grams, list_column, texts_of
 
 ORDER = 3
-#: The least discount, so that what was not seen has a probability in small corpora too.
-FLOOR = 0.1
 #: What stands before and behind each text.
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
@@ -69,41 +66,39 @@ def _count_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(texts_of(batch.column(0)), SPACED, lower=True, most=_STEP):
             words, _, _ = padded(b)
             below = {n: words if n == 1 else grams(words, n) for n in range(1, ORDER)}
-            for n, gram, at, owner in _ngrams(b):
-                order = np.argsort(gram, kind="stable")  # texts ascend within a gram
-                gram, at, owner = gram[order], at[order], owner[order]
+            for n, gram, at, _ in _ngrams(b):
+                order = np.argsort(gram)
+                gram = gram[order]
                 start = _runs(gram)
-                texts = np.add.reduceat(np.append(True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])), start, dtype=np.int64) if len(start) else start
-                last = at[start]
+                last = at[order[start]]
                 context, suffix = (below[n - 1][last - n + 1], below[n - 1][last - n + 2]) if n > 1 else (np.zeros(len(start), _U),) * 2
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(start), n, np.int8)), *(pa.array(x.view(np.int64)) for x in (gram[start], context, suffix)), pa.array(np.diff(np.append(start, len(gram)))), pa.array(texts)],
-                    names=["n", "gram", "context", "suffix", "c", "texts"],
+                    [pa.array(np.full(len(start), n, np.int8)), *(pa.array(x.view(np.int64)) for x in (gram[start], context, suffix)), pa.array(np.diff(np.append(start, len(gram))))],
+                    names=["n", "gram", "context", "suffix", "c"],
                 )
 
 
 def _ask_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each block's n-grams with the ids of the texts that hold them, as often as they do."""
     for batch in batches:
-        ids, trusted, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), texts_of(batch.column(2))
-        for kind in (False, True):
-            mine = np.flatnonzero(trusted == kind)
-            for b in blocks([texts[k] for k in mine], SPACED, lower=True, most=_STEP):
-                own = ids[mine[b.rows]]
-                for _, gram, _, owner in _ngrams(b):
-                    order = np.argsort(gram, kind="stable")
-                    gram, start = gram[order], _runs(gram[order])
-                    counts = np.diff(np.append(start, len(gram)))
-                    yield pa.RecordBatch.from_arrays([pa.array(gram[start].view(np.int64)), pa.array(np.full(len(start), kind)), list_column(own[owner[order]], counts, pa.int64())], names=["gram", "trusted", "ids"])
+        ids = batch.column(0).to_numpy()
+        for b in blocks(texts_of(batch.column(1)), SPACED, lower=True, most=_STEP):
+            own = ids[b.rows]
+            for _, gram, _, owner in _ngrams(b):
+                order = np.argsort(gram)
+                gram = gram[order]
+                start = _runs(gram)
+                counts = np.diff(np.append(start, len(gram)))
+                yield pa.RecordBatch.from_arrays([pa.array(gram[start].view(np.int64)), list_column(own[owner[order]], counts, pa.int64())], names=["gram", "ids"])
 
 
 def train(texts: DataFrame, text: str = "text") -> tuple[DataFrame, float] | None:
-    """The model of all rows of ``texts`` as a table (gram, value, texts) and its base; none if they hold no word."""
+    """The model of all rows of ``texts`` as a table (gram, value) and its base; none if they hold no word."""
     from cloakframe.llm.quality import discounts
 
     own = texts.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike(r"[^ \t-\r]"))
-    counted = own.mapInArrow(_count_stage, "n byte, gram long, context long, suffix long, c long, texts long")
-    counted = saved(counted.groupBy("n", "gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("c").alias("c"), F.sum("texts").alias("texts")))
+    counted = own.mapInArrow(_count_stage, "n byte, gram long, context long, suffix long, c long")
+    counted = saved(counted.groupBy("n", "gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("c").alias("c")))
     tables = [counted.where(F.col("n") == ORDER).drop("n")]
     for n in range(ORDER - 1, 0, -1):  # lower orders count the words seen before them
         before = tables[0].groupBy(F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("c"))
@@ -111,7 +106,7 @@ def train(texts: DataFrame, text: str = "text") -> tuple[DataFrame, float] | Non
     lower, parts, base = None, [], 0.0
     for table in tables:
         n1, n2, n3, n4 = table.agg(*(F.count_if(F.col("c") == k) for k in (1, 2, 3, 4))).first()
-        d1, d2, d3 = (max(d, FLOOR) for d in discounts(n1, n2, n3, n4))
+        d1, d2, d3 = discounts(n1, n2, n3, n4)
         own = table.withColumn("d", F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3))
         if lower is None:
             kinds, total, taken = own.agg(F.count(F.lit(1)), F.sum("c"), F.sum("d")).first()
@@ -124,22 +119,20 @@ def train(texts: DataFrame, text: str = "text") -> tuple[DataFrame, float] | Non
             contexts = own.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
             rated = own.join(contexts, "context").join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix")
             rated = rated.withColumn("backed", F.col("weight") * F.col("below")).withColumn("p", (F.col("c") - F.col("d")) / F.col("total") + F.col("backed")).withColumn("value", F.log("p") - F.log("backed"))
-            parts.append(contexts.select(F.col("context").alias("gram"), F.log("weight").alias("value"), F.lit(0).cast("long").alias("texts")))
-        parts.append(rated.select("gram", "value", "texts"))
+            parts.append(contexts.select(F.col("context").alias("gram"), F.log("weight").alias("value")))
+        parts.append(rated.select("gram", "value"))
         lower = rated
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.union(part)
-    return whole.groupBy("gram").agg(F.sum("value").alias("value"), F.max("texts").alias("texts")), base
+    return whole.groupBy("gram").agg(F.sum("value").alias("value")), base
 
 
 def scores(asking: DataFrame, model: DataFrame) -> DataFrame:
-    """id, trusted, above: the sum of the values of one text of ``asking`` (id, trusted, text).
+    """id, above: the sum of the values of one text of ``asking`` (id, text).
 
     Equal texts have one id; the ends that were seen tell how many of them the sum holds.
     """
-    end = F.lit(int(END))
-    asked = asking.where(F.col("text").rlike(r"[^ \t-\r]")).mapInArrow(_ask_stage, "gram long, trusted boolean, ids array<long>")
-    found = asked.join(model, "gram").where(~F.col("trusted") | (F.col("texts") != 1) | (F.col("gram") == end))
-    each = found.select(F.explode("ids").alias("id"), "trusted", "value", (F.col("gram") == end).alias("is_end"))
-    return each.groupBy("id", "trusted").agg((F.sum("value") / F.count_if("is_end")).alias("above"))
+    asked = asking.where(F.col("text").rlike(r"[^ \t-\r]")).mapInArrow(_ask_stage, "gram long, ids array<long>")
+    each = asked.join(model, "gram").select(F.explode("ids").alias("id"), "value", (F.col("gram") == F.lit(int(END))).alias("is_end"))
+    return each.groupBy("id").agg((F.sum("value") / F.count_if("is_end")).alias("above"))

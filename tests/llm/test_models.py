@@ -219,37 +219,24 @@ def test_neighbours_of_odd_tables(spark):
 # --- quality
 
 
-def brute_perplexity(trusted, texts):
-    symbols = lambda t: [int(quality._SYMBOL[b]) for b in b"\n\n\n" + t.encode()]
-    counts = {4: collections.Counter(tuple(v[k : k + 4]) for v in map(symbols, trusted) for k in range(len(v) - 3))}
-    for n in (3, 2, 1):
-        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
-    taken = {n: quality.discounts(*(sum(v == k for v in c.values()) for k in (1, 2, 3, 4))) for n, c in counts.items()}
-    held = {n: collections.defaultdict(lambda: [0, 0.0]) for n in counts}
-    for n, c in counts.items():
-        for g, v in c.items():
-            held[n][g[:-1]][0] += v
-            held[n][g[:-1]][1] += taken[n][min(v, 3) - 1]
-
-    def p(g):
-        if not g:
-            return 1 / 64
-        n, below = len(g), p(g[1:])
-        if g[:-1] not in held[n]:
-            return below
-        total, mass = held[n][g[:-1]]
-        v = counts[n].get(g, 0)
-        return (v - taken[n][min(v, 3) - 1] if v else 0) / total + mass / total * below
-
-    return [np.exp(np.mean([-np.log(p(tuple(v[k : k + 4]))) for k in range(len(v) - 3)])) for v in map(symbols, texts)]
-
-
-def test_perplexity_is_kneser_neys(spark):
-    docs = dict(documents(spark))
-    trusted = [docs[r.doc_id] for r in queries.table(spark, SF, "labels").where("quality = 1").collect()]
-    some = sorted(docs)[:25]
-    got = {r.doc_id: r.perplexity for r in queries.op1_quality(spark, SF).collect()}
-    assert np.allclose([got[k] for k in some], brute_perplexity(trusted, [docs[k] for k in some]), rtol=1e-4)
+def test_decision_is_the_quantile_of_texts_the_model_has_not_seen(spark):
+    docs, good = queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels").where("quality = 1").select("doc_id")
+    rows = docs.join(good.withColumn("good", F.lit(True)), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"), quality.held_out(F.col("text")).alias("out")).collect()
+    seen, out = [r.text for r in rows if r.good and not r.out], [r for r in rows if r.good and r.out]
+    assert seen and len(out) < quality.LEAST
+    nats = brute_word_nats(seen, [r.text for r in rows])
+    limit = max(n for n, r in zip(nats, rows) if r.good and r.out)
+    got = {r.doc_id: r for r in queries.op1_quality(spark, SF).collect()}
+    assert len(got) == len(rows) and 0 < sum(not r.kept for r in got.values())
+    for n, r in zip(nats, rows):
+        assert np.isclose(np.log(got[r.doc_id].perplexity), n) and np.isclose(np.log(got[r.doc_id].limit), limit)
+        assert got[r.doc_id].kept == (got[r.doc_id].perplexity <= got[r.doc_id].limit)
+
+
+def test_limits_by_language(spark):
+    scores = spark.createDataFrame([(lang, float(k)) for lang, n in (("en", 1000), ("de", 600), ("fr", 499), (None, 3)) for k in range(n)] + [("en", None)], "lang string, nats double")
+    got = {r.lang: r.limit for r in quality.thresholds(scores).collect()}
+    assert set(got) == {"en", "de", None} and abs(got["en"] - 997) <= 1 and abs(got["de"] - 598) <= 1 and abs(got[None] - 995) <= 2
 
 
 def test_quality_tells_held_out_texts_apart(spark):
@@ -270,52 +257,40 @@ def test_quality_of_odd_tables(spark, edge, nothing):
     assert quality.rate(edge, labels.limit(0)).where("kept").count() == edge.count()
 
 
-def brute_word_nats(trusted, text, own):
-    """Interpolated Kneser-Ney of order 3; for a trusted text (``own``) without what stands in no other one."""
-    pad = lambda t: ["<s>", "<s>", *t.lower().split(), "</s>"]
+def brute_word_nats(trusted, texts):
+    """Interpolated Kneser-Ney of order 3."""
+    pad = lambda t: ["<s>", "<s>", *t.encode().lower().split(), "</s>"]
     held = [pad(t) for t in trusted]
     counts = {3: collections.Counter(tuple(v[k : k + 3]) for v in held for k in range(len(v) - 2))}
     for n in (2, 1):
         counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
-    taken = {n: [max(d, 0.1) for d in quality.discounts(*(sum(v == k for v in c.values()) for k in (1, 2, 3, 4)))] for n, c in counts.items()}
+    taken = {n: quality.discounts(*(sum(v == k for v in c.values()) for k in (1, 2, 3, 4))) for n, c in counts.items()}
     totals = {n: collections.defaultdict(lambda: [0, 0.0]) for n in counts}
     for n, c in counts.items():
         for g, v in c.items():
             totals[n][g[:-1]][0] += v
             totals[n][g[:-1]][1] += taken[n][min(v, 3) - 1]
-    among = collections.Counter(g for v in held for g in {tuple(v[k : k + n]) for n in (1, 2) for k in range(len(v) - n + 1)} | {tuple(v[k : k + 3]) for k in range(len(v) - 2)})
-    lost = lambda g: own and among[g] == 1 and g != ("</s>",)
 
-    def p(g):  # the model's own value
+    def p(g):
         if not g:
             return 1 / (len(counts[1]) + 1)
-        total, mass = totals[len(g)][g[:-1]] if g[:-1] in totals[len(g)] else (1, 1.0)
+        if g[:-1] not in totals[len(g)]:
+            return p(g[1:])
+        total, mass = totals[len(g)][g[:-1]]
         v = counts[len(g)].get(g, 0)
         return (v - taken[len(g)][min(v, 3) - 1] if v else 0) / total + mass / total * p(g[1:])
 
-    def back(g):  # of a context
-        return np.log(totals[len(g) + 1][g][1] / totals[len(g) + 1][g][0]) if g in totals[len(g) + 1] and not lost(g) else 0.0
-
-    def log_p(g):
-        if not g:
-            return np.log(p(()))
-        below = back(g[:-1]) + log_p(g[1:])
-        seen = g in counts[len(g)] and not lost(g)
-        return below + (np.log(p(g)) - np.log(totals[len(g)][g[:-1]][1] / totals[len(g)][g[:-1]][0] * p(g[1:])) if seen else 0.0)
-
-    v = pad(text)
-    return -np.mean([log_p(tuple(v[k : k + 3])) for k in range(len(v) - 2)])
+    return [-np.mean([np.log(p(tuple(v[k : k + 3]))) for k in range(len(v) - 2)]) for v in map(pad, texts)]
 
 
-def test_word_perplexity_is_kneser_neys_with_a_text_left_out(spark):
+def test_word_perplexity_is_kneser_neys(spark):
     rng = random.Random(8)
     texts = [" ".join(rng.choice("abcdefghijkl") + rng.choice("xyz") for _ in range(rng.randrange(1, 12))) for _ in range(80)]
     texts += [texts[3], "never seen words", "ax"]
-    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
-    good = spark.createDataFrame([(k,) for k in range(40)], "_llm_key long")
-    got = {(r.id, r.trusted): r.nats for r in quality.word_nats(docs, good, "doc_id", "text", "lang").collect()}
-    for r in docs.select("doc_id", "text", F.xxhash64("text").alias("id")).collect():
-        assert np.isclose(got[r.id, r.doc_id < 40], brute_word_nats(texts[:40], r.text, r.doc_id < 40)), r
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.id: r.nats for r in quality.word_nats(docs, quality.word_model.train(docs.where("doc_id < 40"))).collect()}
+    for r, n in zip(docs.select("doc_id", "text", F.xxhash64("text").alias("id")).orderBy("doc_id").collect(), brute_word_nats(texts[:40], texts)):
+        assert np.isclose(got[r.id], n), r
 
 
 def test_ordinary_words_in_bad_order_are_rejected(spark):
