@@ -4,6 +4,7 @@ from cloakframe.functions.protection import Options, protect_col, register_prote
 from cloakframe.functions.recognizers import Gate, Pattern, Recognizer, default_recognizers
 from cloakframe.operators.detect import Detector, detect, detection_summary, with_recognizers
 from cloakframe.operators.evaluate import evaluate, evaluation_statistics, threshold_sweep
+from cloakframe.operators.phrases import find_phrases
 from cloakframe.operators.protect import protect, protection_summary
 from cloakframe.operators.schema_check import schema_check
 from cloakframe.operators.vault import detokenize, tokenize
@@ -16,7 +17,7 @@ from cloakframe.streaming.protect_stream import protect_arrivals, protect_stream
 __all__ = [
     "Detector", "Gate", "Options", "Pattern", "Policy", "Recognizer", "Rule", "Secrets",
     "classify_files", "default_policy", "default_recognizers", "detect", "detection_summary",
-    "detokenize", "effective_rules", "evaluate", "evaluation_statistics", "gate_files",
+    "detokenize", "effective_rules", "evaluate", "evaluation_statistics", "find_phrases", "gate_files",
     "load_policy", "protect", "protect_arrivals", "protect_col", "protect_files", "protect_stream",
     "protection_summary", "read_lake", "register_protection", "schema_check", "threshold_sweep",
     "tokenize", "unprotect_col", "with_recognizers",

@@ -15,6 +15,7 @@ from cloakframe.operators.evaluate import (
     evaluation_statistics,
     threshold_sweep,
 )
+from cloakframe.operators.phrases import find_phrases
 from cloakframe.plans.layout import spread
 from cloakframe.plans.policy import default_policy, effective_rules, policy_issues
 from suite.oracle_text import entities_sql
@@ -328,6 +329,46 @@ SELECT conv_id, turn, 'PERSON' AS entity_type, array_to_string(string_split("tex
 FROM conversations WHERE len(string_split("text", ' ')) >= 3 AND regexp_matches("text", '\\S')"""
 
 
+def detect_phrases_documents(spark, sf_dir):
+    """Two lists from the benchmark texts, all runs of two and of three words, found in the documents."""
+    words = table(spark, sf_dir, "benchmark").select(F.expr(r"regexp_extract_all(text, '[A-Za-z]+', 0)").alias("w"))
+
+    def listed(n: int, kind: str) -> DataFrame:
+        starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: i <= F.size("w") - (n - 1))
+        runs = F.transform(starts, lambda i: F.array_join(F.slice("w", i, n), " "))
+        return words.where(F.size("w") > 0).select(F.explode(runs).alias("phrase"), F.lit(kind).alias("entity_type"))
+
+    found = find_phrases(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", listed(2, "PAIR").union(listed(3, "TRIPLE")), ["text"])
+    return as_rows(found, "doc_id")
+
+
+_PIECES = r"[\s\x0B\p{Z}]*(?:[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s\x0B\p{Z}])"
+_SPACES = r"[\s\x0B\p{Z}]+"
+QUERIES["detect_phrases_documents"] = detect_phrases_documents
+ORACLES["detect_phrases_documents"] = f"""WITH RECURSIVE
+words AS (SELECT regexp_extract_all("text", '[A-Za-z]+') AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT lower(array_to_string(w[i:i + n - 1], ' ')) AS form, n FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (VALUES (2), (3)) AS sizes(n))),
+cut AS (SELECT doc_id, regexp_extract_all("text", '{_PIECES}') AS p FROM documents),
+placed AS (SELECT doc_id, p, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM cut),
+ended AS (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS till FROM placed),
+starts AS (SELECT doc_id, i, p, till, till - length(regexp_replace(piece, '^{_SPACES}', '')) AS start_at FROM ended),
+grams AS (
+  SELECT a.doc_id, a.i, n, a.start_at, regexp_replace(array_to_string(a.p[a.i:a.i + n - 1], ''), '^{_SPACES}', '') AS run
+  FROM starts a, (VALUES (2), (3)) AS sizes(n) WHERE a.i + n - 1 <= len(a.p)),
+m AS MATERIALIZED (
+  SELECT g.doc_id, g.n, g.run, g.start_at, g.start_at + length(g.run) AS end_at
+  FROM grams g JOIN phrases f ON f.n = g.n AND f.form = lower(regexp_replace(g.run, '{_SPACES}', ' ', 'g'))),
+after AS MATERIALIZED (SELECT a.doc_id, a.n, a.start_at, b.start_at AS next_at FROM m a ASOF JOIN m b ON a.doc_id = b.doc_id AND a.n = b.n AND a.end_at <= b.start_at),
+chain AS (
+  SELECT doc_id, n, min(start_at) AS start_at FROM m GROUP BY doc_id, n
+  UNION ALL SELECT c.doc_id, c.n, a.next_at FROM chain c JOIN after a USING (doc_id, n, start_at))
+SELECT doc_id, 'text' AS column_name, CASE n WHEN 2 THEN 'PAIR' ELSE 'TRIPLE' END AS entity_type, run AS "text",
+  CAST(start_at AS BIGINT) AS start_at, CAST(end_at AS BIGINT) AS end_at, CAST(0.85 AS DOUBLE) AS score,
+  CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start_at, n) - 1 AS BIGINT) AS ord
+FROM chain JOIN m USING (doc_id, n, start_at)"""
+
+
 # Accuracy ------------------------------------------------------------------
 
 def _labels(spark, sf_dir):
