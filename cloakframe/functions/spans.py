@@ -7,6 +7,7 @@ before one give its offset.  Offsets count code points, ``[start, end)``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -27,18 +28,30 @@ SPAN_TYPE = (
 )
 MODEL_SPAN_TYPE = "array<struct<entity_type:string,start:int,end:int,score:double>>"
 
-_HIT_TYPE = "array<struct<entity_type:string,score:double,parts:array<string>>>"
+_HIT_TYPE = "array<struct<entity_type:string,score:double,context:string,parts:array<string>>>"
 _RAW_TYPE = "array<struct<entity_type:string,text:string,start:int,end:int,score:double,before:string>>"
 
 
+# Matches from which on it pays to look first whether a text has a context word at all.
+DENSE = 64
+
+
+def _plain(words: Sequence[str]) -> str | None:
+    """A test that any text must pass that holds one of the words; none if they are more than plain words."""
+    if not words:
+        return "(?!)"
+    return "|".join(words) if all(re.fullmatch("[A-Za-z0-9_ ]+", w) for w in words) else None
+
+
 def _hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
     """One struct per pattern that occurs in the text, with the split pieces."""
 
-    def hit(entity_type: str, pattern: Pattern) -> Column:
+    def hit(r: Recognizer, pattern: Pattern) -> Column:
         marked = F.regexp_replace(text, pattern.java, f"{SEP}$0{SEP}")
         return F.struct(
-            F.lit(entity_type).alias("entity_type"),
+            F.lit(r.entity_type).alias("entity_type"),
             F.lit(pattern.score).alias("score"),
+            F.lit(_plain(r.context)).cast("string").alias("context"),
             F.when(text.rlike(pattern.java), F.split(marked, SEP)).alias("parts"),
         )
 
@@ -46,7 +59,7 @@ def _hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
     children: dict[Gate | None, list[Gate]] = {}
     for r in recognizers:
         for p in r.patterns:
-            behind.setdefault(p.gate, []).append(hit(r.entity_type, p))
+            behind.setdefault(p.gate, []).append(hit(r, p))
     for gate in list(behind):
         while gate is not None:
             known = children.setdefault(gate.parent, [])
@@ -66,8 +79,18 @@ def _hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
 
 
 def _locate(hit: Column, original: Column) -> Column:
-    """All matches of one pattern with offsets and the words before each."""
+    """All matches of one pattern with offsets and the words before each.
 
+    Without blanks the words before a match grow with the text.  So where matches are many, they are
+    gathered only if a context word of the type stands somewhere in the text.
+    """
+    blanks = r"(?U)\s+"
+    many = F.size(hit.parts) > 2 * DENSE
+    nowhere = many & ~F.rlike(F.lower(F.regexp_replace(original, blanks, " ")), hit.context)
+    return let(~F.coalesce(nowhere, F.lit(False)), lambda gather: _located(hit, original, gather))
+
+
+def _located(hit: Column, original: Column, gather: Column) -> Column:
     def step(prev: Column, i: Column) -> Column:
         lead = F.get(hit.parts, i * 2)
         matched = F.get(hit.parts, i * 2 + 1)
@@ -76,9 +99,10 @@ def _locate(hit: Column, original: Column) -> Column:
             (prev.start + F.length(prev.text) + F.length(lead)).alias("start"),
             matched.alias("text"),
             # The last five words and whatever touches the match itself.
-            F.substring_index(
-                F.regexp_replace(words, r"(?U)\s+", " "), " ", -(CONTEXT_WORDS + 1)
-            ).alias("before"),
+            F.when(
+                gather,
+                F.substring_index(F.regexp_replace(words, r"(?U)\s+", " "), " ", -(CONTEXT_WORDS + 1)),
+            ).otherwise("").alias("before"),
         )
 
     seed = F.struct(F.lit(0).alias("start"), F.lit("").alias("text"), F.lit("").alias("before"))

@@ -239,3 +239,16 @@ def test_gates_are_necessary_conditions_at_any_length(spark):
                 missed.append(F.count_if(F.col("text").rlike(p.java) & ~gate.test(F.col("text"))).alias(f"{r.entity_type}_{k}_{len(missed)}"))
                 gate = gate.parent
     assert not any(df.agg(*missed).first())
+
+
+def test_dense_cells_have_the_same_scores(spark, monkeypatch):
+    mails = [f"user{k}@mail{k % 7}.org" for k in range(150)]
+    texts = [",".join(mails), "e-mail " + ",".join(mails), ",".join([*mails[:75], "EMAIL", *mails[75:]]), " ".join(mails), "Email: " + " ".join(mails), "07700 900123 " * 90, "mobile " + "07700 900123, " * 90]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+
+    def scores(dense):
+        monkeypatch.setattr("cloakframe.functions.spans.DENSE", dense)
+        # another threshold each time, as built expressions are kept
+        return sorted(tuple(r) for r in detect(df, "id", Detector(0.3 + dense / 1e9)).collect())
+
+    assert scores(1) == scores(1 << 20) and len(scores(2)) >= 5 * 150
