@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cloakframe.sources import lake
+from suite.check import TABLES, normal
 
 
 @pytest.fixture
@@ -30,3 +32,30 @@ def test_gate_of_nations_sees_one_file_per_nation(spark, tmp_path, small_partiti
     rows = entry.queries()["csv_gate_nations"](spark, str(tmp_path)).collect()
     assert sorted((r.nation, r.lines) for r in rows) == [(n, 201) for n in range(25)]
     assert {r.nation for r in rows if r.error} == {0, 5, 10, 15, 20}
+
+
+def tables_as_folders(spark, folder, names):
+    """Some tables as folders of part files, as Spark writes them."""
+    for name in TABLES:
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        if name in names:
+            df.repartition(3).write.parquet(f"{folder}/{name}.parquet")
+        else:
+            df.toPandas().to_parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("name", ["stream_protect_documents", "stream_monitor_events", "listing_tables", "parquet_gate_tables"])
+def test_tables_may_be_folders(spark, tmp_path, name):
+    tables_as_folders(spark, tmp_path, ["documents", "events"])
+    mine = entry.queries()[name](spark, str(tmp_path)).toPandas()
+    theirs = entry.queries()[name](spark, "/root/testdata/sf0.001").toPandas()
+    assert len(mine) > 0 and normal(mine) == normal(theirs)
+
+
+def test_folders_below_a_root_with_an_extension(spark, tmp_path):
+    root = tmp_path / "all.parquet"
+    spark.range(6).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(f"{root}/a.Parquet")
+    spark.range(6).repartition(2).write.csv(f"{root}/plain")
+    rows = lake.classify_files(spark, str(root), folders=True).collect()
+    assert sorted(r.file_name for r in rows if r.format == "parquet") == ["a.Parquet"]
+    assert sum(r.format == "csv" for r in rows) == 2
