@@ -13,7 +13,7 @@ def changed_cells(original: DataFrame, protected: DataFrame, key: str) -> DataFr
     names = [c for c in original.columns if c in set(protected.columns) and c != key]
     o = original.select(key, *[F.col(f"`{n}`").alias(f"o{i}") for i, n in enumerate(names)])
     p = protected.select(key, *[F.col(f"`{n}`").alias(f"p{i}") for i, n in enumerate(names)])
-    counted = o.join(p, key).agg(
+    counted = o.join(p.hint("merge"), key).agg(  # rows of both sides, never to be broadcast
         F.count("*").alias("rows"),
         *[F.count_if(~F.col(f"o{i}").eqNullSafe(F.col(f"p{i}"))).alias(f"c{i}") for i in range(len(names))],
     )
@@ -29,20 +29,21 @@ def preview(original: DataFrame, protected: DataFrame, key: str, columns: Sequen
     Top-n runs on the original before the join, so the join sees n rows.
     """
     first = original.orderBy(key).limit(n).select(key, *[F.col(c).alias(f"{c}_original") for c in columns])
-    return first.join(protected.select(key, *[F.col(c).alias(f"{c}_protected") for c in columns]), key)
+    return F.broadcast(first).join(protected.select(key, *[F.col(c).alias(f"{c}_protected") for c in columns]), key)
 
 
 def confusion(labels: DataFrame, entities: DataFrame, keys: Sequence[str]) -> DataFrame:
     """True positives, false positives and false negatives per entity type.
 
     ``labels`` has ``keys``, ``entity_type`` and ``is_pii``; ``entities`` is an
-    entity table with the same keys.
+    entity table with the same keys.  Spark takes findings, which are exploded cells, for far smaller
+    than they are, so the join is asked to sort and not to broadcast.
     """
     on = [*keys, "entity_type"]
     found = entities.select(*on).distinct().withColumn("detected", F.lit(True))
     hit = F.coalesce("detected", F.lit(False))
     return (
-        labels.join(found, on, "left")
+        labels.join(found.hint("merge"), on, "left")
         .groupBy("entity_type")
         .agg(
             F.count_if(F.col("is_pii") & hit).alias("tp"),

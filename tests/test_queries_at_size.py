@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cloakframe.functions import spans
+from cloakframe.functions.recognizers import default_recognizers
 from cloakframe.sources import lake
 from suite.check import TABLES, normal
 
@@ -59,3 +61,48 @@ def test_folders_below_a_root_with_an_extension(spark, tmp_path):
     rows = lake.classify_files(spark, str(root), folders=True).collect()
     assert sorted(r.file_name for r in rows if r.format == "parquet") == ["a.Parquet"]
     assert sum(r.format == "csv" for r in rows) == 2
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["accuracy_people", "leaks_people", "changed_cells_people"])
+def test_exploded_cells_are_not_broadcast(spark, tmp_path, name):
+    customers(spark, tmp_path, 50)
+    assert "Broadcast" not in plan(entry.queries()[name](spark, str(tmp_path)))
+
+
+def test_new_vault_rows_detect_once(spark, tmp_path):
+    customers(spark, tmp_path, 50)
+    df = entry.queries()["new_vault_rows_people"](spark, str(tmp_path))
+    assert "RoundRobinPartitioning" not in plan(df) and "Broadcast" not in plan(df)
+
+
+def test_preview_protects_only_the_rows_it_shows(spark, tmp_path):
+    customers(spark, tmp_path, 50)
+    df = entry.queries()["preview_people"](spark, str(tmp_path))
+    text = plan(df)
+    assert text.count("BroadcastHashJoin") == 2
+    assert [r.row_key for r in df.orderBy("row_key").collect()] == list(range(10))
+
+
+def test_few_and_many_spans_are_judged_alike(spark, monkeypatch):
+    """Nested, equal, touching and overlapping matches of many types, with either way to drop contained ones."""
+    numbers = ["4111111111111111", "07123 456789", "943 476 5919", "9434765919", "12-34-56", "GB82 WEST 1234 5698 7654 32", "AB123456C"]
+    mails = ["James Smith", "mail james.smith1@example.co.uk", "London", "passport 123456789", "10.1.2.3", "1 May 2020", "Dr Smith", "Wales"]
+    words = numbers + mails
+    texts = [" ".join(words[i % len(words)] for i in range(k, k + n)) for k in range(len(words)) for n in (1, 2, 3, 9, 40)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", " ", None, "a\u0001b 123456789"]], "text string")
+
+    def found(few):
+        monkeypatch.setattr(spans, "FEW", few)
+        return df.select("text", spans.find_spans(F.col("text"), default_recognizers(), 0.3).alias("s")).collect()
+
+    assert found(0) == found(8) == found(1000)
+
+
+def test_patterns_without_a_match_build_nothing(spark):
+    """The time of a cell goes into its matches: no result is made for patterns that do not occur."""
+    text = str(spans._hits(F.col("t"), default_recognizers()))
+    assert "context" not in text and "array_compact" in text
