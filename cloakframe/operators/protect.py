@@ -40,14 +40,17 @@ def _cached_results(
     policy: Policy,
     on_failure: str,
     by_offset: bool,
+    detail: bool,
 ) -> Column:
-    """``array<struct<value, entities, applied>>`` aligned with the cells."""
+    """``array<struct<value, entities, applied>>`` aligned with the cells; without ``detail`` the value alone."""
     rewrite = replace_by_offset if by_offset else replace_everywhere
 
     def result(c: Column) -> Column:
         spans = find_spans(c.text, recognizers, threshold, c.model if with_model else None)
 
         def with_spans(found: Column) -> Column:
+            if not detail:
+                return F.struct(rewrite(c.text, applied_actions(found, policy, secret_columns(), on_failure)).alias("value"))
             return let(
                 applied_actions(found, policy, secret_columns(), on_failure),
                 lambda applied: F.struct(
@@ -70,6 +73,7 @@ def protected_cells(
     columns: Sequence[str] | None = None,
     on_failure: str = "redact",
     by_offset: bool = False,
+    detail: bool = True,
 ) -> tuple[DataFrame, list[str]]:
     """``df`` with one result per scanned column, and the names of those columns."""
     if on_failure not in ON_FAILURE:
@@ -81,7 +85,7 @@ def protected_cells(
     ]
     cells = with_cells(secrets.attach(df), names, detector)
     results = _cached_results(
-        detector.active(), detector.threshold, detector.model is not None, policy, on_failure, by_offset
+        detector.active(), detector.threshold, detector.model is not None, policy, on_failure, by_offset, detail
     )
     return cells.withColumn(RESULTS, results).drop(CELLS, KEY_COLUMN, SALT_COLUMN, TOKEN_KEY_COLUMN), names
 
@@ -106,7 +110,7 @@ def protect(
         from cloakframe.sources.lake import stringify
 
         df = stringify(df)
-    done, names = protected_cells(df, policy, secrets, detector, columns, on_failure, by_offset)
+    done, names = protected_cells(df, policy, secrets, detector, columns, on_failure, by_offset, findings)
     at = {name: i for i, name in enumerate(names)}
     out = [
         F.get(F.col(RESULTS), F.lit(at[c])).getField("value").alias(c) if c in at else quoted(c)
@@ -204,14 +208,15 @@ def protection_summary(protected: DataFrame) -> DataFrame:
 def leaks(protected: DataFrame, key: str, entities: DataFrame) -> DataFrame:
     """Findings whose text still occurs, in any case, in the protected cell.
 
-    Must be empty for a policy that rewrites everything it finds.
+    Must be empty for a policy that rewrites everything it finds.  Both sides grow with the table, which
+    Spark's estimate of exploded rows does not tell, so the join is asked to sort and not to broadcast.
     """
     names = [c for c in text_columns(protected) if c != key]
     cells = protected.select(
         quoted(key),
         F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), quoted(n).alias("cell")) for n in names])).alias("c"),
     ).select(quoted(key), "c.column_name", "c.cell")
-    return entities.join(cells, [key, "column_name"]).filter(
+    return entities.join(cells.hint("merge"), [key, "column_name"]).filter(
         F.contains(F.lower("cell"), F.lower("text"))
     ).select(quoted(key), "column_name", "entity_type", "start", "end")
 
