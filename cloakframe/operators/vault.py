@@ -49,7 +49,7 @@ def new_pairs(pairs: DataFrame, vault: DataFrame) -> DataFrame:
     return (
         pairs.select("value", "prefix", "token")
         .distinct()
-        .join(vault, ["value", "prefix"], "left_anti")
+        .join(vault.hint("merge"), ["value", "prefix"], "left_anti")  # a vault grows with the data: never broadcast
         .select("value", "prefix", "token", F.current_timestamp().alias("created_at"))
     )
 
