@@ -17,7 +17,7 @@ from cloakframe.functions.rewrite import (
     replace_by_offset,
     replace_everywhere,
 )
-from cloakframe.functions.spans import find_spans
+from cloakframe.functions.spans import find_spans, may_hold, safe_text
 from cloakframe.operators.detect import CELLS, Detector, quoted, text_columns, with_cells
 from cloakframe.plans.policy import Policy
 from cloakframe.plans.secrets import (
@@ -65,6 +65,18 @@ def _cached_results(
     return F.transform(F.col(CELLS), result)
 
 
+def _cells_of_method(method: str, recognizers: tuple[Recognizer, ...], threshold: float, policy: Policy) -> Column:
+    """The cells, null where no type that the policy gives to ``method`` can be found."""
+    methods = {r.entity_type: r.protection_method for r in reversed(policy.effective())}
+    own = [r for r in recognizers if methods.get(r.entity_type, policy.default_protection) == method]
+
+    def cell(c: Column) -> Column:
+        text = F.when(let(safe_text(c.text), lambda t: may_hold(t, own, threshold)), c.text)
+        return F.struct(text.alias("text"), c.model.alias("model"))
+
+    return F.transform(F.col(CELLS), cell)
+
+
 def protected_cells(
     df: DataFrame,
     policy: Policy,
@@ -74,8 +86,13 @@ def protected_cells(
     on_failure: str = "redact",
     by_offset: bool = False,
     detail: bool = True,
+    method: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """``df`` with one result per scanned column, and the names of those columns."""
+    """``df`` with one result per scanned column, and the names of those columns.
+
+    With ``method``, cells in which no type of that method can be found are passed over, as null ones are:
+    of the results only the actions of that method count.
+    """
     if on_failure not in ON_FAILURE:
         raise ValueError(f"on_failure must be one of {ON_FAILURE}")
     secrets.check(policy.methods())
@@ -84,6 +101,8 @@ def protected_cells(
         n for n in text_columns(df, columns) if isinstance(df.schema[n].dataType, T.StringType)
     ]
     cells = with_cells(secrets.attach(df), names, detector)
+    if method and names and detector.model is None:
+        cells = cells.withColumn(CELLS, _cells_of_method(method, detector.active(), detector.threshold, policy))
     results = _cached_results(
         detector.active(), detector.threshold, detector.model is not None, policy, on_failure, by_offset, detail
     )
@@ -170,10 +189,11 @@ def applied_table(
     secrets: Secrets = Secrets(),
     detector: Detector | None = None,
     columns: Sequence[str] | None = None,
+    method: str | None = None,
 ) -> DataFrame:
-    """One row per applied action, with original and protected text (sensitive)."""
+    """One row per applied action, of one method if it is named, with original and protected text (sensitive)."""
     keys = [key] if isinstance(key, str) else list(key)
-    done, names = protected_cells(df, policy, secrets, detector, columns)
+    done, names = protected_cells(df, policy, secrets, detector, columns, method=method)
     labels = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
     rows = F.flatten(
         F.zip_with(
@@ -182,6 +202,8 @@ def applied_table(
             lambda name, r: F.transform(r.applied, lambda a, i: F.struct(name.alias("column_name"), i.alias("turn"), a.alias("a"))),
         )
     )
+    if method:
+        rows = F.filter(rows, lambda r: r.a.method == F.lit(method))
     return done.select(*map(quoted, keys), F.explode(rows).alias("r")).select(
         *map(quoted, keys), "r.column_name", "r.turn", "r.a.*"
     )

@@ -144,8 +144,8 @@ def detokenize(df: DataFrame, column: str, vault: DataFrame, options: Options =
 def token_pairs(df: DataFrame, key: str, policy, secrets: Secrets, detector=None, columns=None) -> DataFrame:
     """``(value, prefix, token)`` of all tokens a policy puts into a table."""
     return (
-        applied_table(df, key, policy, secrets, detector, columns)
-        .filter("method = 'tokenization' AND NOT failed")
+        applied_table(df, key, policy, secrets, detector, columns, method="tokenization")
+        .filter("NOT failed")
         .select(F.col("text").alias("value"), F.col("token_prefix").alias("prefix"), F.col("protected").alias("token"))
     )
 

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from cloakframe import Detector, Options, Policy, Rule, Secrets, default_policy, detect, protect, protect_col, register_protection, tokenize, unprotect_col
 from cloakframe.functions.protection import method_named, sha256_verify
+from cloakframe.functions.spans import may_hold
 from cloakframe.operators import vault
-from cloakframe.operators.protect import leaks, protection_summary
+from cloakframe.operators.protect import applied_table, leaks, protection_summary
 from cloakframe.plans.scratch import scratch_path
 from cloakframe.plans.secrets import SALT_COLUMN, secret_columns
 
@@ -224,3 +225,20 @@ def test_lookup_with_hot_key_equals_a_plain_join(spark):
     got = sorted(map(tuple, vault.lookup(left, "k", right).select("id", "k", "v").collect()))
     want = sorted(map(tuple, left.join(right, "k", "left").select("id", "k", "v").collect()))
     assert got == want
+
+
+def test_pairs_come_from_cells_that_can_hold_a_token(spark):
+    """Only cells in which a tokenized type can be found are searched; the pairs are those of a search of all."""
+    cells = ["nhs 9434765919", "943 476 5919", "\u00019434765919\u0001", "9434765918", "passport 123456789", "ref 123456789", "my\nTRAVEL  123456789",
+             "ann@example.com, 07123 456789, passport 123456789", "ABCDE123456ABCDE or London", "Mr Brown at ann@example.com", "", " ", None]
+    df = spark.createDataFrame(list(enumerate(cells)), "id long, text string")
+    policy = default_policy()
+    policies = [policy, Policy((Rule("UK_NHS", "masking"),), default_protection="tokenization"), replace(policy, confidence_threshold=0.3)]
+    for p in policies:
+        every = applied_table(df, "id", p, SECRETS).where("method = 'tokenization'")
+        some = applied_table(df, "id", p, SECRETS, method="tokenization")
+        assert some.columns == every.columns and some.count() > 3
+        assert sorted(map(str, some.collect())) == sorted(map(str, every.collect()))
+    own = [r for r in Detector().active() if r.entity_type in ("UK_NHS", "UK_PASSPORT", "UK_DRIVERS_LICENSE")]
+    held = df.select("id", may_hold(F.col("text"), own, 0.7).alias("may")).where("may").collect()
+    assert [r.id for r in held] == [0, 1, 2, 3, 4, 6, 7, 8]
