@@ -16,13 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloakframe.functions.hof import let, running
+from cloakframe.functions.hof import let, running, sums_before
 from cloakframe.operators.detect import quoted, text_columns
 
 WORD = r"\p{L}\p{M}\p{N}_"
 SPACE = r"\s\x0B\p{Z}"
 #: A piece with the white space before it.
-PIECE = rf"[{SPACE}]*(?:[{WORD}]+|[^{WORD}{SPACE}])"
+PIECE = rf"[{SPACE}]*([{WORD}]+|[^{WORD}{SPACE}])"
 
 #: A list of at most this many phrases and characters goes to every task; a larger one is shuffled with the runs.
 BROADCAST_PHRASES, BROADCAST_CHARS = 1 << 20, 32 << 20
@@ -30,8 +30,9 @@ BROADCAST_PHRASES, BROADCAST_CHARS = 1 << 20, 32 << 20
 DEFAULT_TYPE, DEFAULT_SCORE = "PHRASE", 0.85
 
 
-def pieces(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+def pieces(text: Column, bare: bool = False) -> Column:
+    """The pieces with the white space before each, or ``bare`` of it."""
+    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(1 if bare else 0))
 
 
 def canonical(run: Column) -> Column:
@@ -56,54 +57,41 @@ def phrase_list(phrases: DataFrame) -> DataFrame:
     return rows.where("n > 0").groupBy("form", "entity_type").agg(F.max("score").alias("score"), F.min("n").alias("n"))
 
 
-def _offsets(cut: Column, bare: Column) -> Column:
-    """For each piece: where its own characters start and end in the text, in code points."""
+def _places(text: Column, longest: int) -> Column:
+    """For each piece: the characters before it, and it and its followers, as they stand and as in forms.
 
-    def step(prev: Column, i: Column) -> Column:
-        end = prev.end + F.length(F.get(cut, i))
-        return F.struct((end - F.length(F.get(bare, i))).alias("start"), end.alias("end"))
-
-    return running(F.size(cut), F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")), step)
-
-
-def _all_runs(cut: Column, lengths: Sequence[int]) -> Column:
-    """Text, form, start and end of every run; white space is looked at once for each piece."""
-    every = F.array(*[F.lit(n) for n in lengths])
-
-    def placed(bare: Column, forms: Column, offsets: Column) -> Column:
-        def joined(first: Column, rest: Column, i: Column, n: Column) -> Column:
-            return F.concat(first, F.array_join(F.slice(rest, i + 2, n - 1), ""))
-
-        def at(i: Column) -> Column:
-            return F.transform(
-                F.filter(every, lambda n: i + n <= F.size(cut)),
-                lambda n: F.struct(
-                    joined(F.get(bare, i), cut, i, n).alias("text"),
-                    joined(F.lower(F.get(bare, i)), forms, i, n).alias("form"),
-                    F.get(offsets, i).start.alias("start"),
-                    F.get(offsets, i + n - 1).end.alias("end"),
-                ),
-            )
+    Followers beyond the end are null.  What depends on how many pieces a run has is left to plain columns.
+    """
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cut) - 1), at))
+    def ahead(all_: Column, k: int) -> Column:
+        return F.slice(all_, k + 1, F.greatest(F.size(all_) - k, F.lit(0))) if k else all_
 
-    def spaced(bare: Column) -> Column:
-        forms = F.zip_with(cut, bare, lambda c, b: F.when(F.length(c) > F.length(b), F.concat(F.lit(" "), F.lower(b))).otherwise(F.lower(b)))
-        return let(forms, lambda f: let(_offsets(cut, bare), lambda o: placed(bare, f, o)))
+    def zipped(cut: Column) -> Column:
+        forms = F.zip_with(cut, pieces(text, bare=True), lambda c, b: F.when(F.length(c) > F.length(b), F.concat(F.lit(" "), F.lower(b))).otherwise(F.lower(b)))
+        before = let(F.transform(cut, lambda c: F.length(c)), lambda sizes: sums_before(sizes))
+        return let(forms, lambda f: F.arrays_zip(before.alias("before"), *[ahead(x, k) for k in range(longest) for x in (cut, f)]))
 
-    return let(F.transform(cut, lambda c: F.regexp_replace(c, f"^[{SPACE}]+", "")), spaced)
+    names = ["before", *(f"{x}{k}" for k in range(longest) for x in "cf")]
+    kind = ",".join(f"{n}:{'int' if n == 'before' else 'string'}" for n in names)
+    return let(pieces(text), zipped).cast(f"array<struct<{kind}>>")
 
 
 def runs(df: DataFrame, keys: Sequence[str], names: Sequence[str], lengths: Sequence[int]) -> DataFrame:
-    """All runs of ``lengths`` pieces: _cell (a number of its cell), the keys, column_name, text, form, start, end."""
+    """All runs of ``lengths`` pieces: _cell (a number of its cell), the keys, column_name, form, raw, before.
+
+    ``raw`` is the run with the white space before it, ``before`` counts the characters before that.
+    """
     kept = [quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     labelled = F.array(*[F.struct(F.lit(n).alias("column_name"), quoted(n).cast("string").alias("text")) for n in names])
     cells = df.select(*kept, F.explode(labelled).alias("_c")).where("_c.text is not null")
     own = [f"_k{i}" for i in range(len(keys))]
     # made inside of one expression, so that no row carries the pieces of its whole text
-    found = F.when(F.col("_c.text").rlike(f"[^{SPACE}]"), let(pieces(F.col("_c.text")), lambda cut: _all_runs(cut, lengths)))
-    each = cells.select(*own, F.monotonically_increasing_id().alias("_cell"), F.col("_c.column_name").alias("column_name"), found.alias("_r"))
-    return each.select(*own, "_cell", "column_name", F.inline("_r"))
+    found = F.when(F.col("_c.text").rlike(f"[^{SPACE}]"), _places(F.col("_c.text"), max(lengths)))
+    each = cells.select(*own, F.monotonically_increasing_id().alias("_cell"), F.col("_c.column_name").alias("column_name"), found.alias("_p"))
+    placed = each.select(*own, "_cell", "column_name", F.inline("_p"))
+    sized = F.array(*[F.struct(*[F.concat(*[F.col(f"{x}{k}") for k in range(n)]).alias(a) for x, a in (("f", "form"), ("c", "raw"))]) for n in lengths])
+    some = placed.select(*own, "_cell", "column_name", "before", F.explode(sized).alias("_r")).where("_r.form is not null")
+    return some.select(*own, "_cell", "column_name", "before", F.ltrim("_r.form").alias("form"), F.col("_r.raw").alias("raw"))
 
 
 def _leftmost_longest(spans: Column) -> Column:
@@ -139,6 +127,8 @@ def find_phrases(df: DataFrame, key: str | Sequence[str], phrases: DataFrame, co
         return none.select(*[quoted(k) for k in keys], *[F.lit(None).cast(t).alias(c) for c, t in _FOUND])
     own = [f"_k{i}" for i in range(len(keys))]
     found = runs(df, keys, names, size.lengths).join(wanted, "form")
+    found = found.withColumn("text", F.regexp_replace("raw", f"^[{SPACE}]+", "")).withColumn("end", F.col("before") + F.length("raw"))
+    found = found.withColumn("start", F.col("end") - F.length("text"))
     span = F.struct(F.col("start"), (-F.col("end")).alias("back"), F.col("text"), F.col("score"))
     cells = found.groupBy("_cell", "column_name", "entity_type").agg(F.sort_array(F.collect_list(span)).alias("_s"), *[F.first(k).alias(k) for k in own])
     typed = cells.select("_cell", "column_name", *own, "entity_type", let(F.col("_s"), _leftmost_longest).alias("_s"))
