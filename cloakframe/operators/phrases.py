@@ -76,10 +76,16 @@ def _places(text: Column, longest: int) -> Column:
     return let(pieces(text), zipped).cast(f"array<struct<{kind}>>")
 
 
-def runs(df: DataFrame, keys: Sequence[str], names: Sequence[str], lengths: Sequence[int]) -> DataFrame:
+def heads(listed: DataFrame, least: int) -> DataFrame:
+    """head: the first ``least`` pieces of every form."""
+    return listed.select(F.array_join(F.slice(pieces(F.col("form")), 1, least), "").alias("head")).distinct()
+
+
+def runs(df: DataFrame, keys: Sequence[str], names: Sequence[str], lengths: Sequence[int], starts: DataFrame | None = None) -> DataFrame:
     """All runs of ``lengths`` pieces: _cell (a number of its cell), the keys, column_name, form, raw, before.
 
-    ``raw`` is the run with the white space before it, ``before`` counts the characters before that.
+    ``raw`` is the run with the white space before it, ``before`` counts the characters before that.  With
+    ``starts``, the ``heads`` of a list, only places at which the shortest run is one of them.
     """
     kept = [quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     labelled = F.array(*[F.struct(F.lit(n).alias("column_name"), quoted(n).cast("string").alias("text")) for n in names])
@@ -89,6 +95,9 @@ def runs(df: DataFrame, keys: Sequence[str], names: Sequence[str], lengths: Sequ
     found = F.when(F.col("_c.text").rlike(f"[^{SPACE}]"), _places(F.col("_c.text"), max(lengths)))
     each = cells.select(*own, F.monotonically_increasing_id().alias("_cell"), F.col("_c.column_name").alias("column_name"), found.alias("_p"))
     placed = each.select(*own, "_cell", "column_name", F.inline("_p"))
+    if starts is not None:
+        shortest = F.ltrim(F.concat(*[F.col(f"f{k}") for k in range(min(lengths))]))
+        placed = placed.join(F.broadcast(starts), shortest == F.col("head"), "left_semi")
     sized = F.array(*[F.struct(*[F.concat(*[F.col(f"{x}{k}") for k in range(n)]).alias(a) for x, a in (("f", "form"), ("c", "raw"))]) for n in lengths])
     some = placed.select(*own, "_cell", "column_name", "before", F.explode(sized).alias("_r")).where("_r.form is not null")
     return some.select(*own, "_cell", "column_name", "before", F.ltrim("_r.form").alias("form"), F.col("_r.raw").alias("raw"))
@@ -119,14 +128,16 @@ def find_phrases(df: DataFrame, key: str | Sequence[str], phrases: DataFrame, co
     listed = phrase_list(phrases)
     size = listed.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("form")).alias("chars"), F.sort_array(F.collect_set("n")).alias("lengths")).first()
     wanted = listed.select("form", "entity_type", "score")
+    starts = None
     if size.rows <= BROADCAST_PHRASES and (size.chars or 0) <= BROADCAST_CHARS:
         wanted = F.broadcast(wanted)
+        starts = heads(listed, min(size.lengths, default=1))
     types = {f.name: f.dataType for f in df.schema}
     if not names or not size.rows:
         none = df.limit(0).select(*[quoted(k) for k in keys])
         return none.select(*[quoted(k) for k in keys], *[F.lit(None).cast(t).alias(c) for c, t in _FOUND])
     own = [f"_k{i}" for i in range(len(keys))]
-    found = runs(df, keys, names, size.lengths).join(wanted, "form")
+    found = runs(df, keys, names, size.lengths, starts).join(wanted, "form")
     found = found.withColumn("text", F.regexp_replace("raw", f"^[{SPACE}]+", "")).withColumn("end", F.col("before") + F.length("raw"))
     found = found.withColumn("start", F.col("end") - F.length("text"))
     span = F.struct(F.col("start"), (-F.col("end")).alias("back"), F.col("text"), F.col("score"))

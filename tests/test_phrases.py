@@ -108,3 +108,13 @@ def test_work_per_piece_does_not_follow_the_text(spark):
     assert took[3] < 3 * took[2] + 3
     plan = module.runs(short, ["id"], ["text"], [1, 2]).columns
     assert plan == ["_k0", "_cell", "column_name", "before", "form", "raw"]  # offsets of runs are left to what matched
+
+
+def test_only_places_where_a_phrase_can_start_make_runs(spark):
+    df = spark.createDataFrame([(1, "New  York and new Yorkshire, ΑΣ.Α, a")], "id long, text string")
+    names = module.phrase_list(listed(spark, ["New York", "new york and", "ΑΣ.Α", "ασ.α"]))
+    starts = module.heads(names, 2)
+    got = module.runs(df, ["id"], ["text"], [2, 3], starts).collect()
+    assert sorted((r.before, r.form) for r in got if "y" in r.form) == [(0, "new york"), (0, "new york and")]
+    assert len(got) < module.runs(df, ["id"], ["text"], [2, 3]).count()
+    assert {r.text for r in find_phrases(df, "id", listed(spark, ["York", "New York", "a"])).collect()} == {"New  York", "a"}
