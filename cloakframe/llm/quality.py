@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cloakframe.llm import word_model
-from cloakframe.llm.stage import saved, small
+from cloakframe.llm.stage import forget, saved, small
 
 #: The quantile of held-out trusted texts that is a language's limit.
 UPPER = 0.998
@@ -75,6 +75,7 @@ def rate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     if trained is None:
         return docs.select(*columns, F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("limit"), F.lit(True).alias("kept"))
     nats = saved(word_nats(own, trained))
+    forget(trained[0])
     kept_out = trusted.where(held_out(F.col("text"))).select("lang", F.xxhash64("text").alias("id"))
     limits = saved(thresholds(kept_out.join(nats, "id")))
     whole = limits.where("lang is null").first()

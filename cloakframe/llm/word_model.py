@@ -6,34 +6,48 @@ Log p of a word w after u, v is a sum of one value for each n-gram that ends or
 
 where b is a context's log back-off weight and a is what an n-gram that was seen adds to its
 backed-off probability; both are zero for what was not seen.  So one table (n-gram hash, value)
-holds the model, and the log p of a text is the sum of its n-grams' values: a join and a grouping.
+holds the model, and the log p of a text is the sum of its n-grams' values.
 The table grows with the corpus, and neither it nor any part of it comes to the driver.
 
 Whoever needs an honest limit scores trusted texts that ``train`` has not seen.
 
-N-grams are summed in blocks before the shuffle.  A block's n-gram is one row with the list of texts
-that hold it, so a hot n-gram has a row for each block and not for each occurrence.
+What is counted are trigrams, as their words' hashes; all else follows from them.  They are summed in
+blocks before the shuffle, so a hot n-gram has a row for each block and not for each occurrence.
+Texts ask in packed rows, one for each block and range of hashes, and tasks merge them with the
+model's rows of that range.  Both go in rounds, each of which frees the disk of the one before:
+trigrams by the hash of their middle word, which their context and their suffix share, and what
+is asked by the n-gram's hash.  Trigrams are counted twice, for the discounts and for the values, and
+never kept as a whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloakframe.llm.stage import saved
-from cloakframe.llm.words import SPACED, Block, blocks, grams, list_column, texts_of
+from cloakframe.llm.stage import forget, pressed, saved, unpressed
+from cloakframe.llm.words import SPACED, Block, blocks, grams, joined, texts_of
 
 ORDER = 3
 #: What stands before and behind each text.
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
+#: Rounds of counting (the second a multiple of the first), and rounds of asking as bits of the hash; the next bits are
+#: the range within a round.
+DISCOUNT_ROUNDS, VALUE_ROUNDS, ASK_BITS, RANGE_BITS = 3, 9, 2, 6
 
-_STEP = 4 << 20
+_STEP = 6 << 20
+#: Rows of the model, or sums of texts, that a task gathers before it hands them on.
+_HELD = 1 << 20
 _U = np.uint64
 
+_Batches = Iterator[pa.RecordBatch]
+_PACKED = "turn int, range int, asks boolean, grams binary, values binary, counts binary, owners binary, ids binary"
+
 
 def padded(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes with two starts before and one end behind each text; each one's text, and its place there."""
@@ -46,14 +60,6 @@ def padded(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, owner, place
 
 
-def _ngrams(b: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order: hashes, places in the padded words of their last words, and the text of each."""
-    words, owner, place = padded(b)
-    for n in range(1, ORDER + 1):
-        at = np.flatnonzero(place >= max(1, n - 1))
-        yield n, (words if n == 1 else grams(words, n))[at - n + 1], at, owner[at]
-
-
 def _runs(sorted_: np.ndarray) -> np.ndarray:
     """Where runs of equal values start."""
     new = np.ones(len(sorted_), dtype=bool)
@@ -61,78 +67,208 @@ def _runs(sorted_: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _count_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for b in blocks(texts_of(batch.column(0)), SPACED, lower=True, most=_STEP):
-            words, _, _ = padded(b)
-            below = {n: words if n == 1 else grams(words, n) for n in range(1, ORDER)}
-            for n, gram, at, _ in _ngrams(b):
+def _count_stage(turn: int, rounds: int) -> Callable[[_Batches], _Batches]:
+    """Each block's trigrams around the words of one round, and how often they stand there."""
+
+    def run(batches: _Batches) -> _Batches:
+        for batch in batches:
+            for b in blocks(texts_of(batch.column(0)), SPACED, lower=True, most=_STEP):
+                words, _, place = padded(b)
+                at = np.flatnonzero(place >= ORDER - 1)
+                at = at[words[at - 1] % _U(rounds) == turn]
+                gram = joined(words[at - 2], words[at - 1], words[at])
                 order = np.argsort(gram)
-                gram = gram[order]
-                start = _runs(gram)
+                start = _runs(gram[order])
                 last = at[order[start]]
-                context, suffix = (below[n - 1][last - n + 1], below[n - 1][last - n + 2]) if n > 1 else (np.zeros(len(start), _U),) * 2
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(start), n, np.int8)), *(pa.array(x.view(np.int64)) for x in (gram[start], context, suffix)), pa.array(np.diff(np.append(start, len(gram))))],
-                    names=["n", "gram", "context", "suffix", "c"],
-                )
+                counts = np.diff(np.append(start, len(gram)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(words[last - k].view(np.int64)) for k in (2, 1, 0)), pa.array(counts)], names=["u", "v", "w", "c"])
+
+    return run
+
+
+def _ranges(gram: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Round, range and places (from, to) of ascending hashes."""
+    part = (gram >> _U(64 - ASK_BITS - RANGE_BITS)).astype(np.int64)
+    start = _runs(part)
+    return [(int(part[i]) >> RANGE_BITS, int(part[i]) & ((1 << RANGE_BITS) - 1), int(i), int(j)) for i, j in zip(start, np.append(start[1:], len(part)))]
+
 
+def _differences(gram: np.ndarray) -> bytes:
+    return pressed(np.diff(gram, prepend=_U(0)))
 
-def _ask_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block's n-grams with the ids of the texts that hold them, as often as they do."""
+
+def _packed_rows(rows: list[tuple]) -> pa.RecordBatch:
+    names = [x.split()[0] for x in _PACKED.split(", ")]
+    kinds = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds, strict=True)], names=names)
+
+
+def _model_stage(batches: _Batches) -> _Batches:
+    """Values by the hash of the words in all columns but the last one, packed by range."""
+
+    def packed(grams_: list[np.ndarray], values: list[np.ndarray]) -> pa.RecordBatch:
+        gram, value = np.concatenate(grams_), np.concatenate(values)
+        order = np.argsort(gram)
+        gram, value = gram[order], value[order]
+        return _packed_rows([(turn, part, False, _differences(gram[i:j]), pressed(value[i:j]), None, None, None) for turn, part, i, j in _ranges(gram)])
+
+    held, values = [], []
     for batch in batches:
-        ids = batch.column(0).to_numpy()
-        for b in blocks(texts_of(batch.column(1)), SPACED, lower=True, most=_STEP):
-            own = ids[b.rows]
-            for _, gram, _, owner in _ngrams(b):
+        if batch.num_rows:
+            words = [x.to_numpy().view(_U) for x in batch.columns[:-1]]
+            held.append(joined(*words) if len(words) > 1 else words[0])
+            values.append(batch.columns[-1].to_numpy())
+        if sum(map(len, held)) >= _HELD:
+            yield packed(held, values)
+            held, values = [], []
+    if held:
+        yield packed(held, values)
+
+
+def _ask_stage(asked_now: int) -> Callable[[_Batches], _Batches]:
+    """Each block's n-grams of one round, packed by range, with the texts that hold them, as often as they do."""
+
+    def run(batches: _Batches) -> _Batches:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for b in blocks(texts_of(batch.column(1)), SPACED, lower=True, most=_STEP):
+                words, owner, place = padded(b)
+                asked, asking = [], []
+                for n in range(1, ORDER + 1):
+                    gram = words if n == 1 else grams(words, n)
+                    own = np.flatnonzero((place[n - 1 :] >= max(1, n - 1)) & (gram >> _U(64 - ASK_BITS) == asked_now))
+                    asked.append(gram[own])
+                    asking.append(owner[own + n - 1])
+                gram, held = np.concatenate(asked), np.concatenate(asking).astype(np.uint32)
+                if not len(gram):
+                    continue
                 order = np.argsort(gram)
-                gram = gram[order]
+                gram, held = gram[order], held[order]
                 start = _runs(gram)
-                counts = np.diff(np.append(start, len(gram)))
-                yield pa.RecordBatch.from_arrays([pa.array(gram[start].view(np.int64)), list_column(own[owner[order]], counts, pa.int64())], names=["gram", "ids"])
+                counts, first = np.diff(np.append(start, len(gram))).astype(np.uint32), np.append(start, len(gram))
+                gram, name = gram[start], ids[b.rows].tobytes()
+                yield _packed_rows([(turn, part, True, _differences(gram[i:j]), None, pressed(counts[i:j]), pressed(held[first[i] : first[j]]), name) for turn, part, i, j in _ranges(gram)])
+
+    return run
+
+
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, ascending, and the sum of the values of each."""
+    key, value = np.concatenate(keys), np.concatenate(values).astype(np.float64)
+    order = np.argsort(key)
+    key = key[order]
+    start = _runs(key)
+    return key[start], np.add.reduceat(value[order], start) if len(key) else value
+
+
+def _answer_stage(batches: _Batches) -> _Batches:
+    """Sums of values by text; of each range the model's rows come first."""
+
+    def handed(ids: list[np.ndarray], sums: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, _summed(ids, sums))], names=["id", "above"])
+
+    at, keys, values, model = None, [], [], None
+    ids, sums = [], []
+    for batch in batches:
+        for k in range(batch.num_rows):
+            _, part, asks, gram, value, counts, owners, name = (c[k].as_py() for c in batch.columns)
+            if part != at:
+                at, keys, values, model = part, [], [], None
+            gram = np.cumsum(unpressed(gram, _U))
+            if not asks:
+                keys.append(gram)
+                values.append(unpressed(value, np.float32))
+            elif keys:
+                model = model or _summed(keys, values)
+                place = np.minimum(np.searchsorted(model[0], gram), len(model[0]) - 1)
+                got = np.where(model[0][place] == gram, model[1][place], 0.0)
+                name = np.frombuffer(name, np.int64)
+                ids.append(name)
+                sums.append(np.bincount(unpressed(owners, np.uint32), np.repeat(got, unpressed(counts, np.uint32)), len(name)))
+                if sum(map(len, ids)) >= _HELD:
+                    yield handed(ids, sums)
+                    ids, sums = [], []
+    if ids:
+        yield handed(ids, sums)
+
+
+def _together(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, tables)
 
 
 def train(texts: DataFrame, text: str = "text") -> tuple[DataFrame, float] | None:
-    """The model of all rows of ``texts`` as a table (gram, value) and its base; none if they hold no word."""
+    """The model of all rows of ``texts`` as packed rows of n-grams and values, and its base; none if they hold no word.
+
+    An n-gram may be in several rows, whose values are summed.
+    """
     from cloakframe.llm.quality import discounts
 
     own = texts.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike(r"[^ \t-\r]"))
-    counted = own.mapInArrow(_count_stage, "n byte, gram long, context long, suffix long, c long")
-    counted = saved(counted.groupBy("n", "gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("c").alias("c")))
-    tables = [counted.where(F.col("n") == ORDER).drop("n")]
-    for n in range(ORDER - 1, 0, -1):  # lower orders count the words seen before them
-        before = tables[0].groupBy(F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("c"))
-        tables.insert(0, saved(counted.where(F.col("n") == n).drop("n", "c").join(before, "gram")))
-    lower, parts, base = None, [], 0.0
-    for table in tables:
-        n1, n2, n3, n4 = table.agg(*(F.count_if(F.col("c") == k) for k in (1, 2, 3, 4))).first()
-        d1, d2, d3 = discounts(n1, n2, n3, n4)
-        own = table.withColumn("d", F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3))
-        if lower is None:
-            kinds, total, taken = own.agg(F.count(F.lit(1)), F.sum("c"), F.sum("d")).first()
-            if not kinds:
-                return None
-            unseen = taken / total / (kinds + 1)
-            base = float(np.log(unseen))
-            rated = own.withColumn("p", (F.col("c") - F.col("d")) / F.lit(float(total)) + F.lit(unseen)).withColumn("value", F.log("p") - F.lit(base))
-        else:
-            contexts = own.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
-            rated = own.join(contexts, "context").join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix")
-            rated = rated.withColumn("backed", F.col("weight") * F.col("below")).withColumn("p", (F.col("c") - F.col("d")) / F.col("total") + F.col("backed")).withColumn("value", F.log("p") - F.log("backed"))
-            parts.append(contexts.select(F.col("context").alias("gram"), F.log("weight").alias("value")))
-        parts.append(rated.select("gram", "value"))
-        lower = rated
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.union(part)
-    return whole.groupBy("gram").agg(F.sum("value").alias("value")), base
+
+    def trigrams(turn: int, rounds: int) -> DataFrame:
+        return own.mapInArrow(_count_stage(turn, rounds), "u long, v long, w long, c long").groupBy("u", "v", "w").agg(F.sum("c").alias("c"))
+
+    def tally(table: DataFrame) -> tuple[int, ...]:
+        return table.agg(*(F.count_if(F.col("c") == k) for k in (1, 2, 3, 4))).first()
+
+    def taken(tallied: tuple[int, ...]) -> Column:
+        d1, d2, d3 = discounts(*tallied)
+        return F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
+
+    def packed(table: DataFrame, *words: str) -> DataFrame:
+        return table.select(*words, F.col("value").cast("float")).mapInArrow(_model_stage, _PACKED)
+
+    def contexts(table: DataFrame, *words: str) -> DataFrame:
+        grouped = table.groupBy(*words).agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("weight"))
+        return saved(grouped.withColumn("value", F.log("weight")))
+
+    def rated(table: DataFrame, context: DataFrame, by: list[str], lower: DataFrame, suffix: list[str]) -> DataFrame:
+        below = lower.select(*suffix, F.col("p").alias("below"))
+        found = table.join(context.drop("value"), by).select(*dict.fromkeys([*by, *suffix]), ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "weight")
+        found = found.join(below, suffix).withColumn("backed", F.col("weight") * F.col("below")).withColumn("p", F.col("own") + F.col("backed"))
+        return found.withColumn("value", F.log("p") - F.log("backed"))
+
+    # Lower orders count the words seen before them.
+    seen = [F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    twos = [saved(trigrams(k, DISCOUNT_ROUNDS).groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"), *seen)) for k in range(DISCOUNT_ROUNDS)]
+    one = saved(_together(twos).groupBy("w").agg(F.count(F.lit(1)).alias("c")))
+    one = one.withColumn("d", taken(tally(one)))
+    kinds, total, mass = one.agg(F.count(F.lit(1)), F.sum("c"), F.sum("d")).first()
+    if not kinds:
+        return None
+    unseen = mass / total / (kinds + 1)
+    base = float(np.log(unseen))
+    one = one.withColumn("p", (F.col("c") - F.col("d")) / F.lit(float(total)) + F.lit(unseen)).withColumn("value", F.log("p") - F.lit(base))
+    parts, two = [saved(packed(one, "w"))], _together(twos)
+    taken2, taken3 = taken(tally(two)), taken(two.agg(*(F.sum(f"n{k}") for k in (1, 2, 3, 4))).first())
+    for turn in sorted(range(VALUE_ROUNDS), key=lambda k: k % DISCOUNT_ROUNDS):
+        three = saved(trigrams(turn, VALUE_ROUNDS))
+        upper, two = three.withColumn("d", taken3), twos[turn % DISCOUNT_ROUNDS]
+        context3 = contexts(upper, "u", "v")
+        if turn < DISCOUNT_ROUNDS:
+            lower = two.withColumn("d", taken2)
+            context2 = contexts(lower, "v")
+            lower = saved(rated(lower, context2, ["v"], one, ["w"]).select("v", "w", "p", "value"))
+            parts.append(saved(packed(lower, "v", "w").union(packed(context2, "v"))))
+            forget(two)
+            forget(context2)
+        parts.append(saved(packed(rated(upper, context3, ["u", "v"], lower, ["v", "w"]), "u", "v", "w").union(packed(context3, "u", "v"))))
+        forget(three)
+        forget(context3)
+        if turn + DISCOUNT_ROUNDS >= VALUE_ROUNDS:
+            forget(lower)
+    forget(one)
+    return _together(parts), base
 
 
 def scores(asking: DataFrame, model: DataFrame) -> DataFrame:
-    """id, above: the sum of the values of one text of ``asking`` (id, text).
+    """id, above: the sum of the values of one text of ``asking`` (id, text).  Equal texts have one id."""
+    asking = asking.where(F.col("text").rlike(r"[^ \t-\r]"))
 
-    Equal texts have one id; the ends that were seen tell how many of them the sum holds.
-    """
-    asked = asking.where(F.col("text").rlike(r"[^ \t-\r]")).mapInArrow(_ask_stage, "gram long, ids array<long>")
-    each = asked.join(model, "gram").select(F.explode("ids").alias("id"), "value", (F.col("gram") == F.lit(int(END))).alias("is_end"))
-    return each.groupBy("id").agg((F.sum("value") / F.count_if("is_end")).alias("above"))
+    def answered(turn: int) -> DataFrame:
+        both = model.where(F.col("turn") == turn).union(asking.mapInArrow(_ask_stage(turn), _PACKED)).repartition("range").sortWithinPartitions("range", "asks")
+        return both.mapInArrow(_answer_stage, "id long, above double").groupBy("id").agg(F.sum("above").alias("above"))
+
+    sums = _together([saved(answered(k)) for k in range(1 << ASK_BITS)]).groupBy("id").agg(F.sum("above").alias("above"))
+    copies = asking.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+    return copies.join(sums, "id", "left").select("id", (F.coalesce("above", F.lit(0.0)) / F.col("copies")).alias("above"))

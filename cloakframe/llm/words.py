@@ -81,14 +81,19 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix(out)
 
 
+def joined(*words: np.ndarray) -> np.ndarray:
+    """Hash of the words of each row, of which the n-th column holds the n-th."""
+    out = np.zeros(len(words[0]), dtype=_U)
+    for k, word in enumerate(words):
+        out = mix(out * _U(0xD6E8FEB86659FD93) + word + _U(k + 1))
+    return out
+
+
 def grams(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n words; shorter by n - 1 than ``words``."""
     if len(words) < n:
         return np.empty(0, dtype=_U)
-    out = np.zeros(len(words) - n + 1, dtype=_U)
-    for k in range(n):
-        out = mix(out * _U(0xD6E8FEB86659FD93) + words[k : k + len(out)] + _U(k + 1))
-    return out
+    return joined(*(words[k : len(words) - n + 1 + k] for k in range(n)))
 
 
 @dataclass
