@@ -50,10 +50,8 @@ def held_out(text: Column, fold: int = FOLD) -> Column:
 def word_nats(texts: DataFrame, trained: tuple[DataFrame, float]) -> DataFrame:
     """id (hash of the text), nats: the mean of -log p per word of each text with a word, ends included."""
     model, base = trained
-    words = F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda x: x != ""))
-    sizes = texts.select(F.xxhash64("text").alias("id"), words.alias("n")).where("n > 0").distinct()
     above = word_model.scores(texts.select(F.xxhash64("text").alias("id"), "text"), model)
-    return sizes.join(above, "id").select("id", (-F.lit(base) - F.col("above") / (F.col("n") + 1)).alias("nats"))
+    return above.select("id", (-F.lit(base) - F.col("above") / (F.col("n") + 1)).alias("nats"))
 
 
 def rate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", good: str = "quality") -> DataFrame:
