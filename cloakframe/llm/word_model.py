@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloakframe.llm.stage import forget, pressed, saved, unpressed
-from cloakframe.llm.words import SPACED, Block, blocks, grams, joined, texts_of
+from cloakframe.llm.words import SPACED, Block, blocks, joined, longer, texts_of
 
 ORDER = 3
 #: What stands before and behind each text.
@@ -41,7 +41,7 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 #: Ranges of middle words, as bits of the hash.
 MIDDLE_BITS = 7
 #: Rounds of asking as bits of the n-gram's hash; the next bits are the range within a round.  Each goes in rounds of texts.
-ASK_BITS, RANGE_BITS, TEXT_ROUNDS = 2, 6, 4
+ASK_BITS, RANGE_BITS, TEXT_ROUNDS = 2, 5, 3
 
 _STEP = 6 << 20
 #: Rows that a task hands on at once.
@@ -60,11 +60,14 @@ _MODEL = f"{_TRIGRAMS}, own binary, facts array<double>"
 def padded(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes with two starts before and one end behind each text; each one's text, and its place there."""
     n = np.diff(b.first) + ORDER
-    owner = np.repeat(np.arange(len(n)), n)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    last = np.cumsum(n)
+    owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    place = np.arange(len(owner), dtype=np.int32) - np.repeat((last - n).astype(np.int32), n)
     words = np.full(len(owner), START)
-    words[place == n[owner] - 1] = END
-    words[(place >= ORDER - 1) & (place < n[owner] - 1)] = b.hashed()
+    inside = place >= ORDER - 1
+    inside[last - 1] = False
+    words[inside] = b.hashed()
+    words[last - 1] = END
     return words, owner, place
 
 
@@ -75,6 +78,15 @@ def _runs(sorted_: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _places(gram: np.ndarray) -> np.ndarray:
+    """The stable order of hashes: a sort of their high bits, with their places as low ones, unless those bits are too few."""
+    bits = _U(len(gram).bit_length())
+    key = np.sort(gram >> bits << bits | np.arange(len(gram), dtype=_U))
+    order = (key & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    got = gram[order]
+    return order if (got[1:] >= got[:-1]).all() else np.argsort(gram, kind="stable")
+
+
 def _order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The order of rows of small numbers, and where runs of equal rows start in it."""
     bits = [int(x.max(initial=0)).bit_length() for x in columns]
@@ -258,21 +270,21 @@ def _differences(gram: np.ndarray) -> bytes:
 
 
 def _packed_values(gram: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(gram)
+    order = _places(gram)
     gram, value = gram[order], value[order]
     return _batch([(turn, part, False, _differences(gram[i:j]), pressed(value[i:j]), None, None, None) for turn, part, i, j in _ranges(gram)], _PACKED)
 
 
 def _sorted_stage(batches: _Batches) -> _Batches:
-    """Values of each range as one row, in which each n-gram stands once."""
+    """Values of each range as one row, in which each n-gram stands once; their sums, of 32-bit floats, are exact."""
     rows = (row for batch in batches for row in batch.to_pylist())
     for _, own in groupby(rows, key=lambda row: row["range"]):
         pieces = [(np.cumsum(unpressed(row["grams"], _U)), unpressed(row["values"], np.float32)) for row in own]
         gram, value = (np.concatenate(x) for x in zip(*pieces))
-        order = np.argsort(gram)
+        order = _places(gram)
         gram = gram[order]
         start = _runs(gram)
-        yield _packed_values(gram[start], np.add.reduceat(value[order].astype(np.float64), start).astype(np.float32))
+        yield _packed_values(gram[start], np.add.reduceat(value[order].astype(np.float64), start))
 
 
 def _ask_stage(asked_now: int) -> Callable[[_Batches], _Batches]:
@@ -283,16 +295,18 @@ def _ask_stage(asked_now: int) -> Callable[[_Batches], _Batches]:
             ids = batch.column(0).to_numpy()
             for b in blocks(texts_of(batch.column(1)), SPACED, lower=True, most=_STEP):
                 words, owner, place = padded(b)
-                asked, asking = [], []
+                asked, asking, gram = [], [], words
+                owner = owner.astype(np.uint32)
                 for n in range(1, ORDER + 1):
-                    gram = words if n == 1 else grams(words, n)
+                    if n > 1:  # as joined() of the n words
+                        gram = longer(joined(words[:-1]) if n == 2 else gram[:-1], words[n - 1 :], n)
                     own = np.flatnonzero((place[n - 1 :] >= max(1, n - 1)) & (gram >> _U(64 - ASK_BITS) == asked_now))
                     asked.append(gram[own])
                     asking.append(owner[own + n - 1])
-                gram, held = np.concatenate(asked), np.concatenate(asking).astype(np.uint32)
+                gram, held = np.concatenate(asked), np.concatenate(asking)
                 if not len(gram):
                     continue
-                order = np.argsort(gram)
+                order = _places(gram)
                 gram, held = gram[order], held[order]
                 start = _runs(gram)
                 counts, first = np.diff(np.append(start, len(gram))).astype(np.uint32), np.append(start, len(gram))
@@ -311,7 +325,7 @@ def _answer_stage(batches: _Batches) -> _Batches:
             _, part, asks, gram, value, counts, owners, name = (c[k].as_py() for c in batch.columns)
             gram = np.cumsum(unpressed(gram, _U))
             if not asks:
-                at, model = part, (gram, unpressed(value, np.float32))
+                at, model = part, (gram, unpressed(value, np.float64))
             elif part == at:
                 place = np.minimum(np.searchsorted(model[0], gram), len(model[0]) - 1)
                 got = np.where(model[0][place] == gram, model[1][place], 0.0)

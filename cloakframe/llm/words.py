@@ -48,9 +48,12 @@ _INVERSES = powers(_BASE_INVERSE, HASH_BYTES)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection that spreads every bit."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def spans(data: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,11 +87,16 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 def joined(*words: np.ndarray) -> np.ndarray:
     """Hash of the words of each row, of which the n-th column holds the n-th."""
     out = np.zeros(len(words[0]), dtype=_U)
-    for k, word in enumerate(words):
-        out = mix(out * _U(0xD6E8FEB86659FD93) + word + _U(k + 1))
+    for k, word in enumerate(words, 1):
+        out = longer(out, word, k)
     return out
 
 
+def longer(out: np.ndarray, word: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the words of each row and a further one, the k-th."""
+    return mix(out * _U(0xD6E8FEB86659FD93) + word + _U(k))
+
+
 def grams(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n words; shorter by n - 1 than ``words``."""
     if len(words) < n:

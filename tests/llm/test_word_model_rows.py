@@ -25,7 +25,7 @@ def test_a_row_that_asks_is_answered_by_one_row_of_all_its_texts():
     for row in rows.to_pylist():
         if not values or values[-1]["range"] != row["range"]:
             n = len(unpressed(row["counts"], np.uint32))
-            values.append(row | {"asks": False, "values": pressed(np.ones(n, np.float32)), "counts": None, "owners": None, "ids": None})
+            values.append(row | {"asks": False, "values": pressed(np.ones(n)), "counts": None, "owners": None, "ids": None})
     both = pa.Table.from_pylist([*values, *rows.to_pylist()], kinds).sort_by([("range", "ascending"), ("asks", "ascending")])
     answers = [r for b in word_model._answer_stage(iter(both.combine_chunks().to_batches())) for r in b.to_pylist()]
     assert len(answers) == rows.num_rows
